@@ -11,6 +11,7 @@ from care_episodes.functions.dates import day_of
 from care_episodes.functions.fixed_values import REPORT_ORDER
 from care_episodes.functions.primitives import points_in_intervals
 from care_episodes.functions.rules import is_in
+from care_episodes.session import materialize
 
 PREDICTION_COLUMNS = (
     "person_id", "episode_number", "episode_start_date", "episode_end_date", "outcome_category",
@@ -177,6 +178,7 @@ def match_episodes(predictions: DataFrame, registry: DataFrame, window_days: int
         pair = gt.withColumnRenamed("person_id", "_person")
         on = (F.col("person_id") == F.col("_person")) & (F.col("algo_order") == F.col("gt_order"))
         matched = algo.join(pair, on).drop("_person").withColumn("end_date_diff", F.lit(None).cast("int"))
+    matched = materialize(matched)
     return MatchResult(
         matched=matched,
         unmatched_predicted=algo.join(matched, ["person_id", "algo_episode_num"], "left_anti"),

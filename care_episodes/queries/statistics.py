@@ -1 +1,165 @@
+"""Queries for the study statistics."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from care_episodes import oracle
+from care_episodes.operators import stats, study
+from care_episodes.queries.base import r6, register
+from care_episodes.queries.study import analysis
+
+V = oracle.VIEWS
+TIME, EVENT, EXPOSURE = "time_to_any_days_4y", "any_event_4y", "hdp_indicator"
+CATEGORIES = ("outcome_category", "precision_category", "htn_before", "race_eth_5cat")
+NUMBERS = ("mom_age", "gestational_age_days", "bmi_prepreg")
+RACE = stats.Levels("race_eth_5cat", ("White", "Black or African American", "Hispanic or Latino", "Other"))
+
+
+@register(
+    "t1_table_one_categories",
+    f"""SELECT variable, grp AS "group", level, n, round(n / sum(CASE WHEN level IS NOT NULL THEN n END) OVER (PARTITION BY variable, grp) * 100, 6) pct
+FROM ({' UNION ALL '.join(f"SELECT '{v}' variable, {EXPOSURE}::VARCHAR grp, {v}::VARCHAR AS level, count(*) n FROM analysis GROUP BY 2, 3" for v in CATEGORIES)})""",
+)
+def t1_table_one_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = stats.table_one_categories(analysis(spark, sf_dir), CATEGORIES, EXPOSURE)
+    return out.withColumn("pct", F.round("pct", 6))
+
+
+@register(
+    "t1_table_one_numbers",
+    f"""SELECT variable, grp AS "group", count(v) n, count(*) - count(v) missing, round(median(v), 6) AS "median", round(quantile_cont(v, 0.25), 6) q1, round(quantile_cont(v, 0.75), 6) q3
+FROM ({' UNION ALL '.join(f"SELECT '{v}' variable, {EXPOSURE}::VARCHAR grp, {v}::DOUBLE v FROM analysis" for v in NUMBERS)}) GROUP BY 1, 2""",
+)
+def t1_table_one_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = stats.table_one_numbers(analysis(spark, sf_dir), NUMBERS, EXPOSURE)
+    return out.select("variable", "group", "n", "missing", r6("median"), r6("q1"), r6("q3"))
+
+
+V["at_times"] = f"""
+SELECT {EXPOSURE} grp, {TIME} t, sum({EVENT}) events, count(*) leaving FROM censored_analysis WHERE {TIME} IS NOT NULL GROUP BY 1, 2"""
+V["km"] = """
+SELECT *, CASE WHEN max((events = at_risk)::INT) OVER w = 1 THEN 0 ELSE exp(sum(CASE WHEN events < at_risk THEN ln(1 - events / at_risk) END) OVER w) END survival
+FROM (SELECT *, sum(leaving) OVER (PARTITION BY grp ORDER BY t DESC) at_risk FROM at_times) WINDOW w AS (PARTITION BY grp ORDER BY t)"""
+
+
+@register(
+    "t2_kaplan_meier",
+    """SELECT grp AS "group", t AS "time", at_risk::BIGINT at_risk, events::BIGINT events, (leaving - events)::BIGINT censored, round(survival, 6) survival,
+  round(1 - survival, 6) cumulative_incidence FROM km""",
+)
+def t2_kaplan_meier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = stats.kaplan_meier(analysis(spark, sf_dir), TIME, EVENT, EXPOSURE)
+    return out.withColumns({c: F.round(c, 6) for c in ("survival", "cumulative_incidence")})
+
+
+@register(
+    "t2_risk_table",
+    f"""SELECT {EXPOSURE} AS "group", count(*) FILTER ({TIME} >= 0) at_0, count(*) FILTER ({TIME} >= 365) at_365, count(*) FILTER ({TIME} >= 1000) at_1000
+FROM censored_analysis WHERE {TIME} IS NOT NULL GROUP BY 1""",
+)
+def t2_risk_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.risk_table(analysis(spark, sf_dir), TIME, EXPOSURE, (0, 365, 1000))
+
+
+V["lr_times"] = f"""
+SELECT t, d0, d1, (SELECT count(*) FROM censored_analysis a WHERE a.{EXPOSURE} = 0 AND a.{TIME} >= t) n0,
+  (SELECT count(*) FROM censored_analysis a WHERE a.{EXPOSURE} = 1 AND a.{TIME} >= t) n1
+FROM (SELECT {TIME} t, sum({EVENT}) FILTER ({EXPOSURE} = 0) d0, sum({EVENT}) FILTER ({EXPOSURE} = 1) d1 FROM censored_analysis
+  WHERE {EVENT} = 1 GROUP BY 1)"""
+V["lr_sums"] = """
+SELECT sum(coalesce(d0, 0)) o0, sum(coalesce(d1, 0)) o1, sum(d * n0 / n) e0, sum(d * n1 / n) e1,
+  sum(CASE WHEN n > 1 THEN d * (n - d) / (n - 1) * n0 / n * (1 - n0 / n) ELSE 0 END) v
+FROM (SELECT *, coalesce(d0, 0) + coalesce(d1, 0) d, (n0 + n1)::DOUBLE n FROM lr_times)"""
+
+
+@register(
+    "t3_log_rank",
+    """SELECT grp AS "group", CASE grp WHEN '0' THEN o0 ELSE o1 END::DOUBLE observed, round(CASE grp WHEN '0' THEN e0 ELSE e1 END, 6) expected,
+  round((o0 - e0) * (o0 - e0) / v, 6) chisq, 1 AS df FROM lr_sums, (VALUES ('0'), ('1')) g(grp)""",
+)
+def t3_log_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = stats.log_rank(analysis(spark, sf_dir), TIME, EVENT, EXPOSURE)
+    return out.select("group", "observed", r6("expected"), r6("chisq"), "df")
+
+
+@register("t3_log_rank_p_value")
+def t3_log_rank_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.log_rank(analysis(spark, sf_dir), TIME, EVENT, "outcome_category")
+
+
+@register(
+    "t4_incidence_rate",
+    f"""SELECT {EXPOSURE}, htn_before, count(*) n, sum({EVENT})::BIGINT events, round(sum({TIME} / 365.25), 6) person_years,
+  round(sum({EVENT}) * 1000 / sum({TIME} / 365.25), 6) rate_per_1000 FROM censored_analysis GROUP BY 1, 2""",
+)
+def t4_incidence_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = stats.incidence_rate(analysis(spark, sf_dir), EVENT, "time_to_any_years_4y", [EXPOSURE, "htn_before"])
+    return rates.withColumns({c: F.round(c, 6) for c in ("person_years", "rate_per_1000")})
+
+
+@register("t4_incidence_rate_ci")
+def t4_incidence_rate_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rates = stats.incidence_rate(analysis(spark, sf_dir), EVENT, "time_to_any_years_4y", [EXPOSURE])
+    return stats.incidence_rate_ci(rates)
+
+
+@register("t5_cox_ph")
+def t5_cox_ph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exposure, age and race, with ties."""
+    return stats.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "mom_age", RACE])
+
+
+@register("t5_cox_interaction")
+def t5_cox_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "htn_before", f"{EXPOSURE}:htn_before"])
+
+
+@register("t5_cox_intervals")
+def t5_cox_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = stats.follow_up_intervals(analysis(spark, sf_dir), "time_to_any_years_4y", EXPOSURE, (1, 2))
+    return stats.cox_ph(df, TIME, EVENT, [f"{EXPOSURE}_{part}" for part in ("early", "mid", "late")])
+
+
+@register("t5_cox_table")
+def t5_cox_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain and adjusted hazard ratios for two outcomes in persons engaged in care."""
+    engaged = study.engaged_subset(analysis(spark, sf_dir), "outpt_before", "outpt_after")
+    outcomes = {o: (f"time_to_{o}_days_4y", f"{o}_event_4y") for o in ("any", "mi")}
+    return stats.cox_table(engaged, outcomes, [EXPOSURE], ["mom_age"])
+
+
+def _incident(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = analysis(spark, sf_dir)
+    return df.withColumn("incident_htn", study.incident(F.col("htn_before"), F.col("htn_after")))
+
+
+@register("t6_logistic_or")
+def t6_logistic_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.logistic_or(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "mom_age", RACE])
+
+
+@register("t6_logistic_each")
+def t6_logistic_each(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.logistic_each(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "preterm", RACE])
+
+
+@register(
+    "t7_exposure_tables",
+    f"""SELECT variable, v AS "value", x AS exposure, count(*) n FROM ({' UNION ALL '.join(
+        f"SELECT '{v}' variable, {v}::INT v, {EXPOSURE} x FROM censored_analysis" for v in ('mi_event_4y', 'stroke_event_4y', 'htn_after', 'dm_after'))}) GROUP BY 1, 2, 3""",
+)
+def t7_exposure_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stats.exposure_tables(analysis(spark, sf_dir), EXPOSURE, ("mi_event_4y", "stroke_event_4y", "htn_after", "dm_after"))
+
+
+@register(
+    "t7_events_per_variable",
+    """SELECT variable, events, predictors, round(events / predictors, 6) events_per_variable FROM (
+  SELECT 'htn_after' variable, sum(htn_after)::BIGINT events, 4 predictors FROM censored_analysis
+  UNION ALL SELECT 'mi_event_4y', sum(mi_event_4y)::BIGINT, 5 FROM censored_analysis)""",
+)
+def t7_events_per_variable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = stats.events_per_variable(analysis(spark, sf_dir), {"htn_after": 4, "mi_event_4y": 5})
+    return out.withColumn("events_per_variable", F.round("events_per_variable", 6))
