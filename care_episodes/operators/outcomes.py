@@ -20,7 +20,7 @@ from care_episodes.functions.primitives import (
     points_in_intervals,
 )
 from care_episodes.functions.rules import Rules, is_in, lookup, rank_of
-from care_episodes.functions.fixed_values import WEEK_CONCEPTS
+from care_episodes.functions.fixed_values import OUTCOME_CHOICE_ORDER, WEEK_CONCEPTS
 from care_episodes.sources.cdm import DOMAINS
 
 # Order in which outcome groups enter the hierarchy.
@@ -36,6 +36,15 @@ def same_group_spacing(rules: Rules) -> dict[int, int]:
     return days
 
 
+def _record_order() -> Column:
+    """Order of records of one day as one number: domain, concept, and the category at the end.
+
+    A number, because an aggregate over it keeps a fixed-size buffer and can be hashed.
+    """
+    domain = lookup(F.col("domain"), DOMAIN_RANK, 9).cast("bigint")
+    return (domain * F.lit(1 << 48)) + F.col("concept_id") * 8 + rank_of(F.col("category"))
+
+
 def outcome_sessions(events: DataFrame, rules: Rules, categories: tuple[str, ...] = tuple(STEPS)) -> DataFrame:
     """H1: episodes of each outcome group by the gap to the previous record.
 
@@ -43,14 +52,11 @@ def outcome_sessions(events: DataFrame, rules: Rules, categories: tuple[str, ...
     n_visits (records).
     """
     step = lookup(F.col("category"), STEPS)
-    domain = lookup(F.col("domain"), DOMAIN_RANK, 9)
     daily = (
         events.filter(is_in(F.col("category"), categories) & F.col("event_date").isNotNull())
         .groupBy("person_id", step.alias("step"), day_of(F.col("event_date")).alias("day"))
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(domain, "concept_id", "value_as_number", "category")).alias("first"),
-        )
+        .agg(F.count(F.lit(1)).alias("n"), F.min(_record_order()).alias("first"))
+        .repartition("person_id")
     )
     order = Window.partitionBy("person_id", "step").orderBy("day")
     gap = F.col("day") - F.lag("day").over(order)
@@ -61,9 +67,11 @@ def outcome_sessions(events: DataFrame, rules: Rules, categories: tuple[str, ...
         .groupBy("person_id", "step", "session")
         .agg(
             F.max("day").alias("outcome_day"),
-            F.min_by("first.category", "day").alias("outcome_category"),
+            F.min_by("first", "day").alias("first"),
             F.sum("n").alias("n_visits"),
         )
+        .withColumn("outcome_category", lookup(F.col("first") % 8, dict(enumerate(OUTCOME_CHOICE_ORDER, 1))))
+        .drop("first")
     )
 
 
@@ -220,7 +228,7 @@ def add_gestation_only(episodes: DataFrame, gestation_only: DataFrame) -> DataFr
         "gestational_weeks", "n_gest_records", F.lit(1).cast("bigint").alias("n_copies"),
         F.lit(True).alias("known"),
     )
-    both = known.unionByName(gestation_only.withColumn("known", F.lit(False)))
+    both = known.unionByName(gestation_only.withColumn("known", F.lit(False))).repartition("person_id")
     taken = F.bool_or("known").over(Window.partitionBy("person_id", "outcome_day"))
     return number_by_outcome(both.withColumn("taken", taken).filter("known OR NOT taken")).drop("known", "taken")
 

@@ -194,12 +194,14 @@ def design_terms(covariates: Sequence[str | Levels]) -> dict[str, Column]:
     return terms
 
 
-def _model_rows(spark, names, beta, errors, level_z=1.959963984540054) -> DataFrame:
-    rows = []
+def _model_rows(spark, names, beta, errors, constant=(), level_z=1.959963984540054) -> DataFrame:
+    def exp(v: float) -> float:
+        return math.exp(v) if v < 700 else math.inf
+
+    rows = [(name, None, None, None, None, None, None) for name in constant]
     for name, b, se in zip(names, beta, errors, strict=True):
         rows.append((
-            name, float(b), float(se), float(math.exp(b)), float(math.exp(b - level_z * se)),
-            float(math.exp(b + level_z * se)), float(normal_two_sided(b / se)) if se > 0 else None,
+            name, float(b), float(se), exp(b), exp(b - level_z * se), exp(b + level_z * se), float(normal_two_sided(b / se)) if se > 0 else None,
         ))
     return spark.createDataFrame(
         rows, "term string, coefficient double, std_error double, ratio double, low double, high double, p_value double"
@@ -216,14 +218,22 @@ def cox_ph(
     gradient and information back to the driver.
     """
     terms = design_terms(covariates)
-    names, p = list(terms), len(terms)
-    x = [f"x{i}" for i in range(p)]
+    every = [f"x{i}" for i in range(len(terms))]
     rows = df.select(
         F.col(time).cast("double").alias("t"), F.col(event).cast("int").alias("e"),
-        *[c.alias(n) for c, n in zip(terms.values(), x, strict=True)],
+        *[c.alias(n) for c, n in zip(terms.values(), every, strict=True)],
     ).dropna()
-    counted = materialize(rows.groupBy("t", "e", *x).agg(F.count(F.lit(1)).alias("w")))
-    centre = counted.agg(*[(F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(c) for c in x]).first()
+    counted = materialize(rows.groupBy("t", "e", *every).agg(F.count(F.lit(1)).alias("w")))
+    facts = [F.sum(F.when(F.col("e") == 1, F.col("w")).otherwise(0)).alias("events")]
+    for c in every:
+        facts += [(F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(c), (F.min(c) < F.max(c)).alias(f"{c}_varies")]
+    centre = counted.agg(*facts).first()
+    if not centre["events"]:
+        raise ValueError(f"no events in {event}")
+    # A term without variation has no estimate; it is reported without one.
+    x = [c for c in every if centre[f"{c}_varies"]]
+    names, p = [n for n, c in zip(terms, every, strict=True) if c in x], len(x)
+    constant = [n for n, c in zip(terms, every, strict=True) if c not in x]
     centred = counted.withColumns({c: F.col(c) - F.lit(float(centre[c])) for c in x})
     pairs = [(i, j) for i in range(p) for j in range(i, p)]
     beta, step_size, last = np.zeros(p), 1.0, None
@@ -266,8 +276,6 @@ def cox_ph(
             mean = part(f"2_{i}_{j}") / s0 - (part(f"1_{i}") / s0) * (part(f"1_{j}") / s0)
             out.append(F.sum(mean).alias(f"i{i}_{j}"))
         row = tied.agg(*out).first()
-        if row["loglik"] is None:
-            raise ValueError("no events")
         loglik = float(row["loglik"])
         if last is not None and loglik < last - 1e-12 * abs(last):
             step_size /= 2
@@ -279,11 +287,13 @@ def cox_ph(
             info[i, j] = info[j, i] = float(row[f"i{i}_{j}"])
         if last is not None and abs(loglik - last) <= tolerance * (abs(last) + 1e-9):
             break
+        if np.linalg.matrix_rank(info) < p:
+            raise ValueError(f"terms are not independent: {names}")
         last, step_size = loglik, 1.0
         direction = np.linalg.solve(info, gradient)
         beta = beta + direction
     errors = np.sqrt(np.diag(np.linalg.inv(info)))
-    return _model_rows(df.sparkSession, names, beta, errors)
+    return _model_rows(df.sparkSession, names, beta, errors, constant)
 
 
 def cox_table(
@@ -313,27 +323,45 @@ def follow_up_intervals(df: DataFrame, years: str, exposure: str, cuts: tuple[fl
     )
 
 
-def logistic_or(df: DataFrame, outcome: str, covariates: Sequence[str | Levels]) -> DataFrame:
+def logistic_or(
+    df: DataFrame, outcome: str, covariates: Sequence[str | Levels], max_steps: int = 25, tolerance: float = 1e-10
+) -> DataFrame:
     """Odds ratios (`ratio`) with Wald limits; rows with a missing value are left out.
 
-    Rows equal in outcome and covariates are counted first and enter with that weight.
+    Rows equal in outcome and covariates are counted first.  A Newton step is one aggregate of the
+    counted rows that returns the gradient and the information matrix.
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GeneralizedLinearRegression
-
     terms = design_terms(covariates)
-    x = [f"x{i}" for i in range(len(terms))]
+    names = ["(Intercept)", *terms]
+    x = [f"x{i}" for i in range(len(names))]
+    columns = [F.lit(1.0), *terms.values()]
     rows = df.select(
-        F.col(outcome).cast("double").alias("label"), *[c.alias(n) for c, n in zip(terms.values(), x, strict=True)]
+        F.col(outcome).cast("double").alias("y"), *[c.alias(n) for c, n in zip(columns, x, strict=True)]
     ).dropna()
-    counted = materialize(rows.groupBy("label", *x).agg(F.count(F.lit(1)).cast("double").alias("w")))
-    features = VectorAssembler(inputCols=x, outputCol="features").transform(counted)
-    model = GeneralizedLinearRegression(
-        family="binomial", link="logit", weightCol="w", maxIter=50, tol=1e-10
-    ).fit(features)
-    errors = model.summary.coefficientStandardErrors
-    names = [*terms, "(Intercept)"]
-    beta = [*model.coefficients.toArray(), model.intercept]
+    counted = materialize(rows.groupBy("y", *x).agg(F.count(F.lit(1)).cast("double").alias("w")))
+    p = len(x)
+    pairs = [(i, j) for i in range(p) for j in range(i, p)]
+    beta, info = np.zeros(p), np.eye(p)
+    for _ in range(max_steps):
+        score = sum((F.lit(float(b)) * F.col(c) for b, c in zip(beta, x, strict=True)), F.lit(0.0))
+        mean = 1 / (1 + F.exp(-F.col("_eta")))
+        weighted = counted.withColumn("_eta", score).withColumn("_m", mean)
+        spread = F.col("w") * F.col("_m") * (1 - F.col("_m"))
+        sums = [F.sum(F.col("w") * (F.col("y") - F.col("_m")) * F.col(c)).alias(f"u{i}") for i, c in enumerate(x)]
+        sums += [F.sum(spread * F.col(x[i]) * F.col(x[j])).alias(f"i{i}_{j}") for i, j in pairs]
+        row = weighted.agg(*sums).first()
+        if row["u0"] is None:
+            raise ValueError(f"no complete rows for {outcome}")
+        gradient = np.array([row[f"u{i}"] for i in range(p)])
+        for i, j in pairs:
+            info[i, j] = info[j, i] = row[f"i{i}_{j}"]
+        if np.linalg.matrix_rank(info) < p:
+            raise ValueError(f"terms are not independent: {names}")
+        step = np.linalg.solve(info, gradient)
+        beta = beta + step
+        if np.max(np.abs(step)) < tolerance * (1 + np.max(np.abs(beta))):
+            break
+    errors = np.sqrt(np.diag(np.linalg.inv(info)))
     return _model_rows(df.sparkSession, names, beta, errors)
 
 

@@ -406,19 +406,36 @@ def concept_set_events(
         seen = events_in_window(cohort, days, start, end, key, bucket_days).select(*key).distinct()
         none = {c: F.lit(None).cast(t) for c, t in found.dtypes if c not in cohort.columns}
         return found.unionByName(cohort.join(seen, key, "left_anti").withColumns(none))
-    if start is None or end is None:
-        edge = F.min("concept_date") if start is None else F.max("concept_date")
-        edges = events.groupBy("person_id").agg(edge.alias("_edge"))
-        inside = F.lit(True)
-        if end:
-            inside = F.col("_edge") <= F.col(end)
-        if start:
-            inside = F.col("_edge") >= F.col(start)
-        flag = F.coalesce(F.col("_edge").isNotNull() & inside, F.lit(False)).cast("int")
-        return cohort.join(edges, "person_id", "left").withColumn(name, flag).drop("_edge")
-    daily = events.select("person_id", "concept_date").distinct()
-    found = events_in_window(cohort, daily, start, end, key, bucket_days).select(*key).distinct()
-    return cohort.join(found.withColumn(name, F.lit(1)), key, "left").fillna(0, [name])
+    found = window_indicator(cohort, events, start, end, name, key, bucket_days)
+    return cohort.join(found, key, "left").fillna(0, [name])
+
+
+def window_indicator(
+    cohort: DataFrame,
+    events: DataFrame,
+    start: str | None,
+    end: str | None,
+    name: str,
+    key: Sequence[str] = ("person_id", "episode_id"),
+    bucket_days: int = 366,
+) -> DataFrame:
+    """The keys of cohort rows with an event in the window, `name` = 1.
+
+    With one open side the earliest or latest event of the person decides.
+    """
+    key = list(key)
+    if start and end:
+        daily = events.select("person_id", "concept_date").distinct()
+        found = events_in_window(cohort, daily, start, end, key, bucket_days)
+        return found.select(*key).distinct().withColumn(name, F.lit(1))
+    edge = F.min("concept_date") if start is None else F.max("concept_date")
+    edges = events.groupBy("person_id").agg(edge.alias("_edge"))
+    inside = F.lit(True)
+    if end:
+        inside = F.col("_edge") <= F.col(end)
+    if start:
+        inside = F.col("_edge") >= F.col(start)
+    return cohort.join(edges, "person_id").filter(inside).select(*key).distinct().withColumn(name, F.lit(1))
 
 
 def collapse_indicator(found: DataFrame, prefix: str, key: Sequence[str] = EPISODE_KEY) -> DataFrame:
@@ -490,7 +507,11 @@ def observed_throughout(df: DataFrame, periods: DataFrame, start: str, end: str)
 
 
 def assemble_analysis(cohort: DataFrame, parts: Sequence[DataFrame], key: Sequence[str] = EPISODE_KEY) -> DataFrame:
-    """The cohort with all collapsed sets beside it.  All joins share one key."""
+    """The cohort with all collapsed sets beside it.  All joins share one key.
+
+    Build the parts from one stored cohort, not from each other: a part built on a joined result
+    repeats all earlier joins inside its own plan.
+    """
     for part in parts:
         cohort = cohort.join(part, list(key), "left")
     return cohort
@@ -586,7 +607,7 @@ def concept_frequency(found: DataFrame, name: str = "concept_id") -> DataFrame:
     )
 
 
-def closest_measurement(
+def nearest_measurement(
     cohort: DataFrame, events: DataFrame, prefix: str, latest_day: int | None = None,
     low: float | None = None, high: float | None = None,
 ) -> DataFrame:
@@ -607,11 +628,15 @@ def closest_measurement(
     best = linked.groupBy("person_id").agg(
         F.min(F.struct(F.abs("diff").alias("apart"), "concept_date", "value", "diff")).alias("b")
     )
-    nearest = best.select(
+    return best.select(
         "person_id", F.col("b.concept_date").alias(f"{prefix}_date"), F.col("b.value").alias(f"{prefix}_value"),
         F.col("b.diff").alias(f"{prefix}_days_from_start"),
     )
-    return cohort.join(nearest, "person_id", "left")
+
+
+def closest_measurement(cohort: DataFrame, events: DataFrame, prefix: str, **limits) -> DataFrame:
+    """The cohort with its nearest measurements beside it."""
+    return cohort.join(nearest_measurement(cohort, events, prefix, **limits), "person_id", "left")
 
 
 def weight_timing(df: DataFrame, date: str) -> DataFrame:
@@ -637,11 +662,10 @@ def max_measurement_after(cohort: DataFrame, events: DataFrame, prefix: str, fro
     best = linked.groupBy("person_id").agg(
         F.min(F.struct((-F.col("value")).alias("minus"), "concept_date", "diff")).alias("b")
     )
-    top = best.select(
+    return best.select(
         "person_id", F.col("b.concept_date").alias(f"{prefix}_date"), (-F.col("b.minus")).alias(f"{prefix}_value"),
         F.col("b.diff").alias(f"{prefix}_days_from_start"),
     )
-    return cohort.join(top, "person_id", "left")
 
 
 def obese_by_bmi(bmi: Column, race: Column) -> Column:

@@ -19,7 +19,7 @@ RACE = stats.Levels("race_eth_5cat", ("White", "Black or African American", "His
 
 @register(
     "t1_table_one_categories",
-    f"""SELECT variable, grp AS "group", level, n, round(n / sum(CASE WHEN level IS NOT NULL THEN n END) OVER (PARTITION BY variable, grp) * 100, 6) pct
+    f"""SELECT variable, grp AS "group", level, n, CASE WHEN level IS NOT NULL THEN round(n / sum(CASE WHEN level IS NOT NULL THEN n END) OVER (PARTITION BY variable, grp) * 100, 6) END pct
 FROM ({' UNION ALL '.join(f"SELECT '{v}' variable, {EXPOSURE}::VARCHAR grp, {v}::VARCHAR AS level, count(*) n FROM analysis GROUP BY 2, 3" for v in CATEGORIES)})""",
 )
 def t1_table_one_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,9 +140,29 @@ def t6_logistic_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.logistic_or(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "mom_age", RACE])
 
 
-@register("t6_logistic_each")
+_EACH = {EXPOSURE: ("0", "1"), "preterm": ("0", "1"), "race_eth_5cat": RACE.levels}
+V["two_by_two"] = " UNION ALL ".join(
+    f"""SELECT '{v}' variable, {i} AS pos, '{v if levels == ('0', '1') else f'{v}={level}'}' term,
+  count(*) FILTER (y = 1) a, count(*) FILTER (y = 0) b
+FROM (SELECT {v}::VARCHAR x, CASE WHEN htn_before = 1 THEN NULL ELSE htn_after END y FROM analysis) WHERE x = '{level}'"""
+    for v, levels in _EACH.items() for i, level in enumerate(levels)
+)
+V["single_fits"] = """
+SELECT t.variable, t.term, ln(t.a / t.b) - ln(r.a / r.b) coef, sqrt(1 / t.a + 1 / t.b + 1 / r.a + 1 / r.b) se
+FROM two_by_two t JOIN two_by_two r ON r.variable = t.variable AND r.pos = 0 AND t.pos > 0
+UNION ALL SELECT variable, '(Intercept)', ln(a / b), sqrt(1 / a + 1 / b) FROM two_by_two WHERE pos = 0"""
+
+
+@register(
+    "t6_logistic_each",
+    """SELECT variable, term, round(coef, 4) coefficient, round(se, 4) std_error, round(exp(coef), 4) ratio,
+  round(exp(coef - 1.959963984540054 * se), 4) low, round(exp(coef + 1.959963984540054 * se), 4) high FROM single_fits""",
+)
 def t6_logistic_each(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.logistic_each(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "preterm", RACE])
+    """One model per variable; with one categorical variable the odds ratios have a closed form."""
+    out = stats.logistic_each(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "preterm", RACE])
+    numbers = [F.round(c, 4).alias(c) for c in ("coefficient", "std_error", "ratio", "low", "high")]
+    return out.select("variable", "term", *numbers)
 
 
 @register(

@@ -16,7 +16,7 @@ from care_episodes.session import materialize
 
 V = oracle.VIEWS
 QUESTIONS = list(tm.QUESTIONS.values())
-FIRST_START = dt.date(1996, 1, 31)
+FIRST_START = dt.date(1998, 1, 31)
 KEY = ("person_id", "episode_id")
 OUTPATIENT = (9201, 9202)
 
@@ -63,8 +63,9 @@ SELECT c.*, observation_period_start_date, observation_period_end_date, inferred
 FROM outcome_eps c JOIN observation_period USING (person_id)"""
 V["phenotype"] = """
 SELECT person_id, condition_concept_id concept_id, condition_start_date concept_date FROM condition_occurrence"""
-V["first_eps"] = """
-SELECT * FROM buffered QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY inferred_episode_start, episode_id) = 1"""
+V["first_eps"] = f"""
+SELECT * FROM buffered WHERE outcome_category IN ('LB', 'DELIV', 'SB') AND gestational_age_days / 7 BETWEEN 20 AND 45
+  AND inferred_episode_start >= DATE '{FIRST_START}' QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY inferred_episode_start, episode_id) = 1"""
 
 
 def _found(concept: int, low: str, high: str) -> str:
@@ -178,9 +179,14 @@ def survey_person(spark: SparkSession, sf_dir: str) -> DataFrame:
     return study.survey_wide(tm.survey(spark, sf_dir), QUESTIONS)
 
 
+def study_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First eligible episode of each person."""
+    return study.first_episode(study.apply_exclusions(buffered(spark, sf_dir), FIRST_START))
+
+
 def build_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The analysis row of the study: first episode of each person with exposures, outcomes, risks."""
-    df = study.first_episode(buffered(spark, sf_dir))
+    df = study_cohort(spark, sf_dir)
     survey = study.recode_demographics(survey_person(spark, sf_dir)).select("person_id", "min_svy_date", "race_eth_5cat")
     person = tm.person(spark, sf_dir)
     birth = F.make_date("year_of_birth", F.coalesce("month_of_birth", F.lit(1)), F.coalesce("day_of_birth", F.lit(1)))
@@ -188,28 +194,33 @@ def build_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = df.withColumn("mom_age", F.datediff("inferred_episode_end", "dob") / F.lit(365.25))
     df = materialize(df)
 
-    def indicator(df: DataFrame, found: DataFrame, low: str, high: str, name: str) -> DataFrame:
-        return study.concept_set_events(df, found, low, high, "indicator", name, KEY)
-
     obs0, obs1 = "observation_period_start_date", "observation_period_end_date"
     start, end = "inferred_episode_start", "inferred_episode_end"
+    found = {n: events(spark, sf_dir, n) for n in ("hdp", "mi", "stroke", "hf", "htn", "dm")} | {
+        "outpt": visits(spark, sf_dir)
+    }
+    windows = {
+        "hdp_indicator": ("hdp", start, "end_plus_6wks"),
+        "htn_before": ("htn", obs0, start),
+        "htn_after": ("htn", end, obs1),
+        "dm_before": ("dm", obs0, start),
+        "dm_after": ("dm", end, obs1),
+        "outpt_before": ("outpt", "year_before_preg", start),
+        "outpt_after": ("outpt", end, "year_after_preg"),
+    }
     parts = [
-        study.set_summary(df, events(spark, sf_dir, o), end, obs1, o).drop(f"{o}_date_latest", f"{o}_concept_count")
+        study.set_summary(df, found[o], end, obs1, o, KEY).drop(f"{o}_date_latest", f"{o}_concept_count")
         for o in ("mi", "stroke", "hf")
     ]
-    out = study.assemble_analysis(df, parts)
-    out = indicator(out, events(spark, sf_dir, "hdp"), start, "end_plus_6wks", "hdp_indicator")
-    for name in ("htn", "dm"):
-        found = events(spark, sf_dir, name)
-        out = indicator(out, found, obs0, start, f"{name}_before")
-        out = indicator(out, found, end, obs1, f"{name}_after")
-    seen = visits(spark, sf_dir)
-    out = indicator(out, seen, "year_before_preg", start, "outpt_before")
-    out = indicator(out, seen, end, "year_after_preg", "outpt_after")
+    parts += [study.window_indicator(df, found[s], low, high, n, KEY) for n, (s, low, high) in windows.items()]
+    out = study.assemble_analysis(df, parts, KEY).fillna(0, list(windows))
     weights = measurements(spark, sf_dir, 3025315)
-    out = study.closest_measurement(out, weights, "weight", latest_day=91)
-    out = study.closest_measurement(out, measurements(spark, sf_dir, 3036277), "height", low=90, high=210)
-    out = study.max_measurement_after(out, weights, "top")
+    values = [
+        study.nearest_measurement(df, weights, "weight", latest_day=91),
+        study.nearest_measurement(df, measurements(spark, sf_dir, 3036277), "height", low=90, high=210),
+        study.max_measurement_after(df, weights, "top"),
+    ]
+    out = study.assemble_analysis(out, values, ["person_id"])
     out = out.withColumns(
         {
             "bmi_prepreg": study.body_mass_index(F.col("weight_value"), F.col("height_value")),
@@ -606,7 +617,7 @@ def k21_censor_at(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("k22_first_episode", "SELECT person_id, episode_id, inferred_episode_start, inferred_episode_end, outcome_category FROM first_eps")
 def k22_first_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return study.first_episode(outcome_episodes(spark, sf_dir)).select(
+    return study.first_episode(study.apply_exclusions(buffered(spark, sf_dir), FIRST_START)).select(
         "person_id", "episode_id", "inferred_episode_start", "inferred_episode_end", "outcome_category"
     )
 
@@ -660,7 +671,7 @@ _NEAR = "person_id, {0}_date, {0}_value, {0}_days_from_start"
 FROM first_eps f LEFT JOIN near_weight USING (person_id) LEFT JOIN near_height USING (person_id)""",
 )
 def k25_closest_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = study.first_episode(buffered(spark, sf_dir))
+    first = study_cohort(spark, sf_dir)
     df = study.closest_measurement(first, measurements(spark, sf_dir, 3025315), "weight", latest_day=91)
     df = study.closest_measurement(df, measurements(spark, sf_dir, 3036277), "height", low=90, high=210)
     bmi = study.body_mass_index(F.col("weight_value"), F.col("height_value"))
@@ -671,8 +682,9 @@ def k25_closest_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("k26_max_measurement_after", "SELECT f.person_id, top_date, top_value, top_days_from_start FROM first_eps f LEFT JOIN top_weight USING (person_id)")
 def k26_max_measurement_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = study.first_episode(buffered(spark, sf_dir))
-    return study.max_measurement_after(first, measurements(spark, sf_dir, 3025315), "top").select(*_names(_NEAR.format("top")))
+    first = study_cohort(spark, sf_dir)
+    top = study.max_measurement_after(first, measurements(spark, sf_dir, 3025315), "top")
+    return first.join(top, "person_id", "left").select(*_names(_NEAR.format("top")))
 
 
 _ASIAN = "CASE WHEN person_id % 3 = 0 THEN 'Asian' WHEN person_id % 17 <> 0 THEN 'White' END"

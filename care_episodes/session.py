@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,19 +23,21 @@ def shared_folder(spark: SparkSession) -> str:
         return known
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="care-episodes-")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="care-episodes-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared folder and go on from the written copy.
+    """Write `df` once as a table in the shared folder and go on from the written copy.
 
-    Used where one compact intermediate result feeds several branches: the branches then
-    read it instead of each repeating the scan, and a lost executor costs a re-read only.
+    Used where one compact intermediate result feeds several branches.  The branches then read
+    just the columns they need, Spark knows the real size of what it joins, and losing an executor
+    costs a re-read instead of a re-computation.  Files stay until the folder is cleaned.
     """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/care-episodes-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
