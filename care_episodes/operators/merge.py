@@ -15,6 +15,7 @@ from care_episodes.functions.dates import date_of, day_of
 from care_episodes.functions.primitives import clip_to_previous
 from care_episodes.functions.rules import is_in
 from care_episodes.operators.progression import best_outcome
+from care_episodes.session import materialize
 
 MATCH_ROUNDS = 5
 MATCHED_PPS_LIMIT = 310
@@ -85,9 +86,9 @@ def episode_overlaps(hip: DataFrame, pps: DataFrame) -> DataFrame:
     )
 
 
-def _flag_duplicates(df: DataFrame, *extra: str) -> DataFrame:
+def _flag_duplicates(df: DataFrame) -> DataFrame:
     for flag, key in (("hip_dup", "hip_id"), ("pps_dup", "pps_id")):
-        n = F.count(F.lit(1)).over(Window.partitionBy("person_id", key, *extra))
+        n = F.count(F.lit(1)).over(Window.partitionBy("person_id", key))
         df = df.withColumn(flag, F.when(F.col(key).isNotNull(), (n > 1).cast("int")))
     return df
 
@@ -132,15 +133,16 @@ def one_to_one_match(pairs: DataFrame, config: EpisodeConfig | None = None) -> D
     """M4: keep one partner per episode, in up to five rounds.
 
     In a round every duplicated episode of either source names its best partner: the closest end
-    date, then the longest timing episode of at most 310 days.  Named pairs stay, the others go;
-    pairs that are unique on both sides are settled, the rest enter the next round.  A round works
-    on rows already partitioned by person and does nothing to persons that are settled.
+    date, then the longest timing episode of at most 310 days.  Named pairs stay, the others go.
+    A pair that is unique on both sides is settled: no other pair shares its ids, so later rounds
+    leave it alone.  Most pairs are settled from the start; the pairs are stored once, so that the
+    rounds read only the contested ones.  Within a round nothing is shuffled.
     """
+    pairs = materialize(pairs)
     hip_dup, pps_dup = F.col("hip_dup") == 1, F.col("pps_dup") == 1
     has_both = F.col("hip_id").isNotNull() & F.col("pps_id").isNotNull()
-    unclear = F.coalesce((hip_dup | pps_dup) & has_both, F.lit(False))
-    unique = (F.coalesce("hip_dup", F.lit(0)) == 0) & (F.coalesce("pps_dup", F.lit(0)) == 0)
-    df = pairs.withColumn("open", unclear).filter(F.col("open") | unique)
+    settled = pairs.filter((F.coalesce("hip_dup", F.lit(0)) == 0) & (F.coalesce("pps_dup", F.lit(0)) == 0))
+    contested = pairs.filter((hip_dup | pps_dup) & has_both).repartition("person_id")
     apart = F.abs(F.datediff("hip_end", "pps_end"))
     length = F.abs(F.datediff("pps_end", "pps_start"))
     no_outcome = F.col("pps_category").isNull()
@@ -151,15 +153,12 @@ def one_to_one_match(pairs: DataFrame, config: EpisodeConfig | None = None) -> D
     ]
     for_pps = [apart, F.when(length > MATCHED_PPS_LIMIT, -1).otherwise(length).desc(), F.col("hip_id")]
     for _ in range(MATCH_ROUNDS):
-        named_by_hip = F.row_number().over(Window.partitionBy("person_id", "hip_id", "open").orderBy(*for_hip)) == 1
-        named_by_pps = F.row_number().over(Window.partitionBy("person_id", "pps_id", "open").orderBy(*for_pps)) == 1
-        df = (
-            df.withColumns({"_by_hip": named_by_hip, "_by_pps": named_by_pps})
-            .filter(~F.col("open") | (hip_dup & F.col("_by_hip")) | (pps_dup & F.col("_by_pps")))
-            .drop("_by_hip", "_by_pps")
-        )
-        df = _flag_duplicates(df, "open").withColumn("open", F.col("open") & (hip_dup | pps_dup))
-    matched = _flag_duplicates(df.drop("open"))
+        named_by_hip = F.row_number().over(Window.partitionBy("person_id", "hip_id").orderBy(*for_hip)) == 1
+        named_by_pps = F.row_number().over(Window.partitionBy("person_id", "pps_id").orderBy(*for_pps)) == 1
+        stays = (~hip_dup & ~pps_dup) | (hip_dup & F.col("_by_hip")) | (pps_dup & F.col("_by_pps"))
+        named = contested.withColumns({"_by_hip": named_by_hip, "_by_pps": named_by_pps}).filter(stays)
+        contested = _flag_duplicates(named.drop("_by_hip", "_by_pps"))
+    matched = settled.unionByName(contested)
     if config is None or not config.keep_unmatched:
         return matched
     return _with_losers(pairs, matched)
