@@ -40,10 +40,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", folder: str | None = None
+) -> SparkSession:
     """A single-machine session for tests and the bench."""
+    builder = SparkSession.builder
+    if folder:
+        builder = builder.config(CHECKPOINT_KEY, folder)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder
+        .master(f"local[{cores}]")
         .appName("care-episodes")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
