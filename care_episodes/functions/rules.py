@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from care_episodes.functions import fixed_values as fv
+from care_episodes.session import small_table
 
 Pair = tuple[str, str]
 
@@ -46,24 +47,24 @@ class Rules:
 
 def default_timing_concepts(spark: SparkSession) -> DataFrame:
     rows = [(cid, name, low, high, "Medium") for cid, low, high, name in fv.TIMING_CONCEPTS]
-    return spark.createDataFrame(rows, TIMING_CONCEPT_SCHEMA)
+    return small_table(spark, rows, TIMING_CONCEPT_SCHEMA)
 
 
 def default_term_limits(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        fv.TERM_LIMITS, "category string, min_term int, max_term int, hierarchy int"
+    return small_table(
+        spark, fv.TERM_LIMITS, "category string, min_term int, max_term int, hierarchy int"
     )
 
 
 def default_spacing(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        fv.SPACING, "first_preg_category string, outcome_preg_category string, min_days int"
+    return small_table(
+        spark, fv.SPACING, "first_preg_category string, outcome_preg_category string, min_days int"
     )
 
 
 def default_term_durations(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        fv.TERM_DURATIONS, "category string, max_term int, min_term int, retry int"
+    return small_table(
+        spark, fv.TERM_DURATIONS, "category string, max_term int, min_term int, retry int"
     )
 
 

@@ -11,7 +11,7 @@ from care_episodes.functions.dates import day_of
 from care_episodes.functions.fixed_values import REPORT_ORDER
 from care_episodes.functions.primitives import points_in_intervals
 from care_episodes.functions.rules import is_in
-from care_episodes.session import materialize
+from care_episodes.session import materialize, small_table
 
 PREDICTION_COLUMNS = (
     "person_id", "episode_number", "episode_start_date", "episode_end_date", "outcome_category",
@@ -169,16 +169,16 @@ def match_episodes(predictions: DataFrame, registry: DataFrame, window_days: int
         gt.filter("gt_end IS NOT NULL").withColumn("gt_day", day_of(F.col("gt_end"))),
         ["person_id"], low, high, "gt_day", 4 * window_days + 1,
     ).withColumn("end_date_diff", F.datediff("algo_end", "gt_end"))
-    by_date = not near.isEmpty()
-    if by_date:
-        payload = ["gt_episode_num", "gt_start", "gt_end", "gt_outcome", "gt_ga_days", "end_date_diff"]
-        best = F.min(F.struct(F.abs("end_date_diff").alias("apart"), "gt_order", *payload)).alias("best")
-        matched = near.groupBy(*algo.columns).agg(best).select(*algo.columns, "best.gt_order", *[f"best.{c}" for c in payload])
-    else:
+    payload = ["gt_episode_num", "gt_start", "gt_end", "gt_outcome", "gt_ga_days", "end_date_diff"]
+    best = F.min(F.struct(F.abs("end_date_diff").alias("apart"), "gt_order", *payload)).alias("best")
+    nearest = near.groupBy(*algo.columns).agg(best)
+    matched = materialize(nearest.select(*algo.columns, "best.gt_order", *[f"best.{c}" for c in payload]))
+    by_date = not matched.isEmpty()
+    if not by_date:
         pair = gt.withColumnRenamed("person_id", "_person")
         on = (F.col("person_id") == F.col("_person")) & (F.col("algo_order") == F.col("gt_order"))
-        matched = algo.join(pair, on).drop("_person").withColumn("end_date_diff", F.lit(None).cast("int"))
-    matched = materialize(matched)
+        in_order = algo.join(pair, on).drop("_person").withColumn("end_date_diff", F.lit(None).cast("int"))
+        matched = materialize(in_order)
     return MatchResult(
         matched=matched,
         unmatched_predicted=algo.join(matched, ["person_id", "algo_episode_num"], "left_anti"),
@@ -189,8 +189,8 @@ def match_episodes(predictions: DataFrame, registry: DataFrame, window_days: int
 
 def confusion_matrix(matched: DataFrame) -> DataFrame:
     """V5: matched episodes by both outcomes, all 7 x 7 cells."""
-    cells = matched.sparkSession.createDataFrame(
-        [(a, g) for a in REPORT_ORDER for g in REPORT_ORDER], "algo_outcome string, gt_outcome string"
+    cells = small_table(
+        matched.sparkSession, [(a, g) for a in REPORT_ORDER for g in REPORT_ORDER], "algo_outcome string, gt_outcome string"
     )
     counts = matched.groupBy("algo_outcome", "gt_outcome").agg(F.count(F.lit(1)).alias("n"))
     return cells.join(counts, ["algo_outcome", "gt_outcome"], "left").fillna(0, ["n"])

@@ -135,10 +135,9 @@ def one_to_one_match(pairs: DataFrame, config: EpisodeConfig | None = None) -> D
     In a round every duplicated episode of either source names its best partner: the closest end
     date, then the longest timing episode of at most 310 days.  Named pairs stay, the others go.
     A pair that is unique on both sides is settled: no other pair shares its ids, so later rounds
-    leave it alone.  Most pairs are settled from the start; the pairs are stored once, so that the
-    rounds read only the contested ones.  Within a round nothing is shuffled.
+    leave it alone.  Most pairs are settled from the start, and the rounds see only the contested
+    ones; within a round nothing is shuffled.  Give stored pairs: both groups read them.
     """
-    pairs = materialize(pairs)
     hip_dup, pps_dup = F.col("hip_dup") == 1, F.col("pps_dup") == 1
     has_both = F.col("hip_id").isNotNull() & F.col("pps_id").isNotNull()
     settled = pairs.filter((F.coalesce("hip_dup", F.lit(0)) == 0) & (F.coalesce("pps_dup", F.lit(0)) == 0))
@@ -314,8 +313,11 @@ def episode_output(episodes: DataFrame) -> DataFrame:
 
 def merge_matched(hip: DataFrame, pps: DataFrame, config: EpisodeConfig | None = None) -> DataFrame:
     """M3-M5, M8, M9: the merge when the sources overlap somewhere (M7 has no window to use)."""
-    merged = format_merged(one_to_one_match(interval_full_join(hip, pps), config))
-    return episode_output(finalize_episodes(merged))
+    return _merge_pairs(materialize(interval_full_join(hip, pps)), config)
+
+
+def _merge_pairs(pairs: DataFrame, config: EpisodeConfig | None) -> DataFrame:
+    return episode_output(finalize_episodes(format_merged(one_to_one_match(pairs, config))))
 
 
 def merge_disjoint(hip: DataFrame, pps: DataFrame, outcomes: DataFrame) -> DataFrame:
@@ -329,13 +331,16 @@ def merge_episodes(
 ) -> DataFrame:
     """One history per person.
 
-    Which way to go depends on three facts about the whole input, each found by reading up to the
-    first row only.
+    Which way to go depends on facts about the whole input.  Empty sources show in the first row.
+    A pair whose episodes themselves meet proves that windows overlap; only if the stored pairs
+    hold none is the window join (M2) run to find out.
     """
     if pps.isEmpty():
         return episode_output(hip.withColumn("algorithm_used", F.lit("HIP")))
     if hip.isEmpty():
         return episode_output(pps.withColumn("algorithm_used", F.lit("PPS")))
-    if episode_overlaps(episode_windows(hip), episode_windows(pps)).isEmpty():
+    pairs = materialize(interval_full_join(hip, pps))
+    meets = (F.col("hip_start") <= F.col("pps_end")) & (F.col("hip_end") >= F.col("pps_start"))
+    if pairs.filter(meets).isEmpty() and episode_overlaps(episode_windows(hip), episode_windows(pps)).isEmpty():
         return merge_disjoint(hip, pps, outcomes)
-    return merge_matched(hip, pps, config)
+    return _merge_pairs(pairs, config)

@@ -53,7 +53,7 @@ def outcome_sessions(events: DataFrame, rules: Rules, categories: tuple[str, ...
     """
     step = lookup(F.col("category"), STEPS)
     daily = (
-        events.filter(is_in(F.col("category"), categories) & F.col("event_date").isNotNull())
+        events.filter(F.col("category").isin(*categories) & F.col("event_date").isNotNull())
         .groupBy("person_id", step.alias("step"), day_of(F.col("event_date")).alias("day"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(_record_order()).alias("first"))
         .repartition("person_id")

@@ -24,7 +24,7 @@ from care_episodes.config import MONTH_DAYS, EpisodeConfig
 from care_episodes.functions.dates import date_of, day_of
 from care_episodes.functions.fixed_values import OUTCOME_CHOICE_ORDER
 from care_episodes.functions.primitives import number_groups, points_in_intervals
-from care_episodes.functions.rules import is_in, rank_of
+from care_episodes.functions.rules import rank_of
 from care_episodes.session import materialize
 
 BLOCK_GAP = 120
@@ -149,7 +149,7 @@ def progression_bounds(assigned: DataFrame) -> DataFrame:
 def daily_outcomes(events: DataFrame) -> DataFrame:
     """One row per person, day and outcome category."""
     return (
-        events.filter(is_in(F.col("category"), OUTCOME_CHOICE_ORDER))
+        events.filter(F.col("category").isin(*OUTCOME_CHOICE_ORDER))
         .select(
             "person_id", day_of(F.col("event_date")).alias("outcome_day"),
             rank_of(F.col("category")).alias("outcome_rank"), F.col("category").alias("found"),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from care_episodes.functions.special import chi_square_tail, normal_two_sided, poisson_interval
-from care_episodes.session import materialize
+from care_episodes.session import materialize, small_table
 
 RESULT_ROWS = 10_000
 
@@ -136,7 +136,7 @@ def log_rank(df: DataFrame, time: str, event: str, group: str) -> DataFrame:
     p = chi_square_tail(chisq, k - 1) if k > 1 else 1.0
     rows = [(str(v), s[f"o{i}"], s[f"e{i}"], chisq, k - 1, p) for i, v in enumerate(values)]
     schema = "group string, observed double, expected double, chisq double, df int, p_value double"
-    return df.sparkSession.createDataFrame(rows, schema)
+    return small_table(df.sparkSession, rows, schema)
 
 
 # ---- T4 -------------------------------------------------------------------------------------
@@ -165,7 +165,7 @@ def incidence_rate_ci(rates: DataFrame, level: float = 0.95) -> DataFrame:
         limits = (low / years * 1000, high / years * 1000) if years else (None, None)
         out.append((*r, *limits))
     schema = rates.schema.add("rate_low", "double").add("rate_high", "double")
-    return rates.sparkSession.createDataFrame(out, schema)
+    return small_table(rates.sparkSession, out, schema)
 
 
 # ---- T5, T6 ---------------------------------------------------------------------------------
@@ -203,8 +203,8 @@ def _model_rows(spark, names, beta, errors, constant=(), level_z=1.9599639845400
         rows.append((
             name, float(b), float(se), exp(b), exp(b - level_z * se), exp(b + level_z * se), float(normal_two_sided(b / se)) if se > 0 else None,
         ))
-    return spark.createDataFrame(
-        rows, "term string, coefficient double, std_error double, ratio double, low double, high double, p_value double"
+    return small_table(
+        spark, rows, "term string, coefficient double, std_error double, ratio double, low double, high double, p_value double"
     )
 
 

@@ -36,6 +36,8 @@ def extract_cohort(tables: Tables, rules: Rules, config: EpisodeConfig, store: b
     """Extract once.  With `store` the extracted rows are written to the shared folder, because
     five later steps read them; what is written is the listed concepts only."""
     persons = select_persons(tables["person"], config)
+    if store:
+        persons = materialize(persons)
     events = union_domains(tables, rules, persons)
     timing = extract_timing(tables, rules, persons, config)
     if store:

@@ -12,7 +12,7 @@ from care_episodes import testmap as tm
 from care_episodes.functions import study_values as sv
 from care_episodes.operators import study
 from care_episodes.queries.base import r6, register, stages
-from care_episodes.session import materialize
+from care_episodes.session import materialize, small_table
 
 V = oracle.VIEWS
 QUESTIONS = list(tm.QUESTIONS.values())
@@ -166,12 +166,12 @@ def events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def measurements(spark: SparkSession, sf_dir: str, concept: int) -> DataFrame:
-    wanted = spark.createDataFrame([(concept,)], "concept_id long")
+    wanted = small_table(spark, [(concept,)], "concept_id long")
     return study.set_events({"measurement": tm.measurement(spark, sf_dir)}, wanted, ["measurement"])
 
 
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wanted = spark.createDataFrame([(c,) for c in OUTPATIENT], "concept_id long")
+    wanted = small_table(spark, [(c,) for c in OUTPATIENT], "concept_id long")
     return study.set_events({"visit_occurrence": tm.visit_occurrence(spark, sf_dir)}, wanted, ["visit"])
 
 
@@ -445,7 +445,7 @@ FROM concept_relationship r JOIN concept s ON s.concept_id = r.concept_id_1 AND
 LEFT JOIN concept t ON t.concept_id = r.concept_id_2 WHERE relationship_id = 'Maps to'""",
 )
 def k11_map_icd_to_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = spark.createDataFrame([(c,) for c in CODES], "concept_code string")
+    codes = small_table(spark, [(c,) for c in CODES], "concept_code string")
     return study.map_icd_to_standard(codes, tm.concept(spark, sf_dir), tm.concept_relationship(spark, sf_dir))
 
 
@@ -455,7 +455,7 @@ def k11_map_icd_to_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
 UNION SELECT descendant_concept_id FROM concept_ancestor WHERE ancestor_concept_id IN (1016, 1017, 5)""",
 )
 def k12_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    roots = spark.createDataFrame([(1016,), (1017,), (5,)], "concept_id long")
+    roots = small_table(spark, [(1016,), (1017,), (5,)], "concept_id long")
     return study.descendants(roots, tm.concept_ancestor(spark, sf_dir))
 
 

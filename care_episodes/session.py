@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -40,6 +44,19 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_table(spark: SparkSession, rows: Sequence[tuple], schema: str | StructType) -> DataFrame:
+    """Rows known on the driver, as a local relation.
+
+    Spark knows the exact size of a local relation and broadcasts it by its own threshold.  A
+    DataFrame made from a plain list counts as endlessly large and would force a shuffle join.
+    """
+    struct = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    arrow = to_arrow_schema(struct)
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(arrow)
+    arrays = [pa.array(c, type=f.type) for c, f in zip(columns, arrow, strict=True)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema=struct)
+
+
 def local_session(
     cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g", folder: str | None = None
 ) -> SparkSession:

@@ -187,21 +187,14 @@ def _events(table: DataFrame, domain: Domain) -> DataFrame:
     )
 
 
-def extract_domain(
-    tables: Tables, domain: Domain, concepts: DataFrame, persons: DataFrame
-) -> DataFrame:
-    """Rows of one domain whose concept is on the list and whose person is in the cohort.
-
-    The code list comes first: it is small enough for Spark to broadcast and removes nearly all
-    rows before anything has to be shuffled for the person filter.
-    """
+def _listed(tables: Tables, domain: Domain, concepts: DataFrame) -> DataFrame:
+    """Rows of one domain whose concept is on the list, with the columns of the list."""
     listed = concepts_of_domain(concepts, domain.name).select(
         "concept_id", "concept_name", "category", "gest_value"
     )
     return (
         _events(tables[domain.table], domain)
         .join(listed, "concept_id")
-        .join(persons.select("person_id"), "person_id", "left_semi")
         .select(
             "person_id", "concept_id", "event_date", "domain", "concept_name", "category",
             "gest_value", "value_as_number", "value_as_string",
@@ -209,6 +202,26 @@ def extract_domain(
     )
 
 
+def extract_domain(
+    tables: Tables, domain: Domain, concepts: DataFrame, persons: DataFrame
+) -> DataFrame:
+    """Rows of one domain whose concept is on the list and whose person is in the cohort.
+
+    The code list comes first: it is small enough for Spark to broadcast and removes nearly all
+    rows before anything has to be shuffled for the person filter.
+    """
+    return _of_persons(_listed(tables, domain, concepts), persons)
+
+
+def _of_persons(events: DataFrame, persons: DataFrame) -> DataFrame:
+    """Events of the cohort's persons.
+
+    An inner join with distinct ids, not a semi join: a semi join is pushed below the code-list
+    join and would shuffle the whole clinical table by person.
+    """
+    return events.join(persons.select("person_id").distinct(), "person_id")
+
+
 def extract_by_ids(
     tables: Tables, domain: Domain, concepts: DataFrame, person_ids: DataFrame
 ) -> DataFrame:
@@ -217,12 +230,12 @@ def extract_by_ids(
 
 
 def union_domains(tables: Tables, rules: Rules, persons: DataFrame) -> DataFrame:
-    """Extracted rows of all four domains as one DataFrame."""
+    """Extracted rows of all four domains as one DataFrame, with one person filter for all."""
     out = None
     for domain in DOMAINS:
-        part = extract_domain(tables, domain, rules.outcome_concepts, persons)
+        part = _listed(tables, domain, rules.outcome_concepts)
         out = part if out is None else out.unionByName(part)
-    return out
+    return _of_persons(out, persons)
 
 
 def extract_timing(
@@ -239,12 +252,9 @@ def extract_timing(
     if not config.fractional_months:
         for c in ("min_month", "max_month"):
             out = out.withColumn(c, F.col(c).cast("int").cast("double"))
-    return (
-        out.join(persons.select("person_id"), "person_id", "left_semi")
-        .select(
-            "person_id", "concept_id", "event_date", F.col("domain").alias("domain_name"),
-            "value_as_number", "value_as_string", "min_month", "max_month",
-        )
+    return _of_persons(out, persons).select(
+        "person_id", "concept_id", "event_date", F.col("domain").alias("domain_name"),
+        "value_as_number", "value_as_string", "min_month", "max_month",
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from care_episodes.functions import fixed_values as fv
 from care_episodes.functions import rules as r
+from care_episodes.session import small_table
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
@@ -210,7 +211,7 @@ def check_concept_coverage(outcomes: DataFrame, timing: DataFrame) -> DataFrame:
     spark = outcomes.sparkSession
 
     def missing(expected: tuple[str, ...], column: str, issue: str) -> DataFrame:
-        want = spark.createDataFrame([(v,) for v in expected], f"{column} string")
+        want = small_table(spark, [(v,) for v in expected], f"{column} string")
         return want.join(outcomes, column, "left_anti").select(
             F.lit(issue).alias("issue"), F.col(column).alias("value")
         )

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from care_episodes.config import EpisodeConfig
 from care_episodes.functions.rules import OUTCOME_CONCEPT_SCHEMA, TIMING_CONCEPT_SCHEMA, Rules
+from care_episodes.session import small_table
 from care_episodes.sources.cdm import Tables
 
 AS_OF = dt.date(2001, 12, 31)
@@ -176,14 +177,14 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 def rules(spark: SparkSession) -> Rules:
     return Rules(
-        outcome_concepts=spark.createDataFrame(OUTCOME_ROWS, OUTCOME_CONCEPT_SCHEMA),
-        timing_concepts=spark.createDataFrame(TIMING_ROWS, TIMING_CONCEPT_SCHEMA),
+        outcome_concepts=small_table(spark, OUTCOME_ROWS, OUTCOME_CONCEPT_SCHEMA),
+        timing_concepts=small_table(spark, TIMING_ROWS, TIMING_CONCEPT_SCHEMA),
     )
 
 
 def concept_set(spark: SparkSession, *names: str) -> DataFrame:
     ids = sorted(set(chain.from_iterable(PHENOTYPES[n] for n in names)))
-    return spark.createDataFrame([(i,) for i in ids], "concept_id long")
+    return small_table(spark, [(i,) for i in ids], "concept_id long")
 
 
 OUTCOME_OF_ORDER = (
