@@ -148,7 +148,6 @@ def match_episodes(predictions: DataFrame, registry: DataFrame, window_days: int
     Best is the closest end date within the window.  If no end date of the whole input is that
     close (dates shifted per person), the k-th episodes of a person are matched instead.
     """
-    by_end = Window.partitionBy("person_id").orderBy("algo_end", "algo_episode_num")
     algo = predictions.select(
         "person_id",
         F.col("episode_number").alias("algo_episode_num"),
@@ -157,28 +156,21 @@ def match_episodes(predictions: DataFrame, registry: DataFrame, window_days: int
         F.col("outcome_category").alias("algo_outcome"),
         F.col("gestational_age_days").alias("algo_ga_days"),
         F.col("algorithm_used").alias("algo_method"),
-    ).withColumn("algo_order", F.row_number().over(by_end))
-    by_gt_end = Window.partitionBy("person_id").orderBy("gt_end", "gt_episode_num")
-    gt = registry.select(
-        "person_id", "gt_episode_num", "gt_start", "gt_end", "gt_outcome", "gt_ga_days"
-    ).withColumn("gt_order", F.row_number().over(by_gt_end))
-
+    )
+    gt = registry.select("person_id", "gt_episode_num", "gt_start", "gt_end", "gt_outcome", "gt_ga_days")
     low, high = day_of(F.col("algo_end")) - window_days, day_of(F.col("algo_end")) + window_days
     near = points_in_intervals(
         algo.filter("algo_end IS NOT NULL"),
         gt.filter("gt_end IS NOT NULL").withColumn("gt_day", day_of(F.col("gt_end"))),
         ["person_id"], low, high, "gt_day", 4 * window_days + 1,
     ).withColumn("end_date_diff", F.datediff("algo_end", "gt_end"))
-    payload = ["gt_episode_num", "gt_start", "gt_end", "gt_outcome", "gt_ga_days", "end_date_diff"]
-    best = F.min(F.struct(F.abs("end_date_diff").alias("apart"), "gt_order", *payload)).alias("best")
-    nearest = near.groupBy(*algo.columns).agg(best)
-    matched = materialize(nearest.select(*algo.columns, "best.gt_order", *[f"best.{c}" for c in payload]))
+    found = ["gt_end", "gt_episode_num", "gt_start", "gt_outcome", "gt_ga_days", "end_date_diff"]
+    best = F.min(F.struct(F.abs("end_date_diff").alias("apart"), *found)).alias("best")
+    nearest = near.groupBy(*algo.columns).agg(best).select(*algo.columns, *[f"best.{c}" for c in found])
+    matched = materialize(nearest)
     by_date = not matched.isEmpty()
     if not by_date:
-        pair = gt.withColumnRenamed("person_id", "_person")
-        on = (F.col("person_id") == F.col("_person")) & (F.col("algo_order") == F.col("gt_order"))
-        in_order = algo.join(pair, on).drop("_person").withColumn("end_date_diff", F.lit(None).cast("int"))
-        matched = materialize(in_order)
+        matched = materialize(_match_in_order(algo, gt))
     return MatchResult(
         matched=matched,
         unmatched_predicted=algo.join(matched, ["person_id", "algo_episode_num"], "left_anti"),
@@ -187,6 +179,18 @@ def match_episodes(predictions: DataFrame, registry: DataFrame, window_days: int
     )
 
 
+def _match_in_order(algo: DataFrame, gt: DataFrame) -> DataFrame:
+    """The k-th predicted episode of a person with the k-th registry pregnancy, by end date."""
+    def numbered(df: DataFrame, *order: str) -> DataFrame:
+        by_end = Window.partitionBy("person_id").orderBy(*order)
+        return df.withColumn("algo_order", F.row_number().over(by_end))
+
+    pairs = numbered(algo, "algo_end", "algo_episode_num").join(
+        numbered(gt, "gt_end", "gt_episode_num"), ["person_id", "algo_order"]
+    )
+    return pairs.withColumn("end_date_diff", F.lit(None).cast("int"))
+
+
 def confusion_matrix(matched: DataFrame) -> DataFrame:
     """V5: matched episodes by both outcomes, all 7 x 7 cells."""
     cells = small_table(

@@ -44,36 +44,41 @@ def survey_wide(answers: DataFrame, questions: Sequence[str]) -> DataFrame:
 def closest_episode_to_survey(episodes: DataFrame) -> DataFrame:
     """K2: flag the episode that holds the survey date, else the one with the nearest edge.
 
-    Ties: when several are flagged, only those of the greatest length stay; if that still leaves
-    several or none, all nearest ones are flagged.
+    If several are flagged, only a single longest one stays, and only when no other episode of the
+    person is unflagged; when that leaves none, all nearest ones are flagged.  The facts per person
+    come from aggregates joined back, so a person with very many rows is not gathered in one place.
     """
     start, end, survey = F.col("inferred_episode_start"), F.col("inferred_episode_end"), F.col("min_svy_date")
-    person = Window.partitionBy("person_id")
-    flag, length = F.col("closest_pregnancy"), F.col("length_closest")
+    days = F.col("gestational_age_days")
     df = episodes.withColumns(
         {
             "time_from_end": F.datediff(survey, end),
             "time_to_start": F.datediff(start, survey),
-            "holds": F.coalesce(survey.between(start, end), F.lit(False)),
+            "_holds": F.coalesce(survey.between(start, end), F.lit(False)),
         }
     ).withColumn("min_time", F.least(F.abs("time_from_end"), F.abs("time_to_start")))
-    nearest = F.col("min_time") == F.min("min_time").over(person)
-    df = df.withColumns({"nearest": nearest, "any_holds": F.bool_or("holds").over(person)})
-    df = df.withColumn(
-        "closest_pregnancy",
-        F.when(F.col("holds") | (F.col("nearest") & ~F.col("any_holds")), 1).otherwise(0),
-    )
-    df = df.withColumn("length_closest", F.when(flag == 1, F.col("gestational_age_days")).otherwise(10000000))
-    df = df.withColumns({"n_flagged": F.sum(flag).over(person), "longest": F.max(length).over(person)})
-    shorter = (F.col("n_flagged") > 1) & (flag == 1) & (length != F.col("longest"))
-    df = df.withColumn("closest_pregnancy", F.when(shorter, 0).otherwise(flag))
-    df = df.withColumn("n_flagged", F.sum(flag).over(person))
-    df = df.withColumn("closest_pregnancy", F.when((F.col("n_flagged") > 1) & (flag == 1), 0).otherwise(flag))
-    df = df.withColumn("n_flagged", F.sum(flag).over(person))
-    last = F.when((F.col("n_flagged") == 0) & F.col("nearest"), 1).otherwise(flag)
-    return df.withColumn("closest_pregnancy", last).drop(
-        "holds", "nearest", "any_holds", "n_flagged", "longest", "length_closest"
-    )
+    nearest = df.groupBy("person_id").agg(
+        F.min("min_time").alias("_least"), F.bool_or("_holds").alias("_any_holds")
+    )
+    df = df.join(nearest, "person_id").withColumn("_nearest", F.col("min_time") == F.col("_least"))
+    flagged = F.col("_holds") | (F.col("_nearest") & ~F.col("_any_holds"))
+    df = df.withColumn("_flagged", F.coalesce(flagged, F.lit(False)))
+    by_length = df.groupBy("person_id", days.alias("_days")).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("_flagged").alias("_n_flagged")
+    )
+    facts = by_length.groupBy("person_id").agg(
+        F.sum("_n").alias("_rows"), F.sum("_n_flagged").alias("_flags"),
+        F.max("_days").alias("_longest"), F.max_by("_n", "_days").alias("_n_longest"),
+    )
+    single_longest = (F.col("_flags") == F.col("_rows")) & (F.col("_n_longest") == 1)
+    is_longest = F.col("_flagged") & (days == F.col("_longest"))
+    closest = (
+        F.when(F.col("_flags") == 1, F.col("_flagged"))
+        .when((F.col("_flags") > 1) & single_longest, is_longest)
+        .otherwise(F.col("_nearest"))
+    )
+    out = df.join(facts, "person_id").withColumn("closest_pregnancy", F.coalesce(closest, F.lit(False)).cast("int"))
+    return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
 def survey_timing(episodes: DataFrame) -> DataFrame:
