@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property, lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,6 +42,13 @@ class Stages:
 
     spark: SparkSession
     sf_dir: str
+    stored: dict[str, DataFrame] = field(default_factory=dict)
+
+    def once(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A further table, stored at first use."""
+        if name not in self.stored:
+            self.stored[name] = materialize(build())
+        return self.stored[name]
 
     @cached_property
     def rules(self):

@@ -234,10 +234,7 @@ def build_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The analysis rows, stored once per session and folder."""
-    s = stages(spark, sf_dir)
-    if not hasattr(s, "_analysis"):
-        s._analysis = materialize(build_analysis(spark, sf_dir))
-    return s._analysis
+    return stages(spark, sf_dir).once("analysis", lambda: build_analysis(spark, sf_dir))
 
 
 # ---- queries --------------------------------------------------------------------------------
@@ -768,3 +765,32 @@ def k30_split_by_enrollment(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def k31_follow_up_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return study.follow_up_stats(analysis(spark, sf_dir), "time_to_any_days").withColumn("mean_days", F.round("mean_days", 6))
+
+
+V["found_eps"] = """
+SELECT f.person_id, f.episode_number episode_id, f.episode_start_date inferred_episode_start, f.episode_end_date inferred_episode_end,
+  f.outcome_category, f.gestational_age_days, f.precision_category, observation_period_start_date, observation_period_end_date
+FROM final f JOIN observation_period USING (person_id)"""
+
+
+@register(
+    "pipeline_first_episodes",
+    f"""SELECT person_id, episode_id, inferred_episode_start, inferred_episode_end, outcome_category, precision_category, {_flag(1017, _END, _OBS1)} mi
+FROM (SELECT * FROM found_eps WHERE outcome_category IN ('LB', 'DELIV', 'SB') AND gestational_age_days / 7 BETWEEN 20 AND 45
+    AND inferred_episode_start >= DATE '{FIRST_START}'
+  QUALIFY row_number() OVER (PARTITION BY person_id ORDER BY inferred_episode_start, episode_id) = 1) f""",
+)
+def pipeline_first_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The study on the pipeline's own episodes: exclusions, first episode, outcome afterwards."""
+    found = stages(spark, sf_dir).final.select(
+        "person_id", F.col("episode_number").alias("episode_id"),
+        F.col("episode_start_date").alias("inferred_episode_start"), F.col("episode_end_date").alias("inferred_episode_end"),
+        "outcome_category", "gestational_age_days", "precision_category",
+    )
+    observed = study.join_observation_period(found, tm.observation_period(spark, sf_dir))
+    first = study.first_episode(study.apply_exclusions(observed, FIRST_START))
+    return study.concept_set_events(
+        first, events(spark, sf_dir, "mi"), "inferred_episode_end", "observation_period_end_date", "indicator", "mi"
+    ).select(
+        "person_id", "episode_id", "inferred_episode_start", "inferred_episode_end", "outcome_category", "precision_category", "mi"
+    )

@@ -126,6 +126,16 @@ def load_spacing(spark: SparkSession, path: str | None = None) -> DataFrame:
     )
 
 
+def load_term_durations(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Term durations with the retry time of each outcome."""
+    if path is None or not _exists(spark, path):
+        return r.default_term_durations(spark)
+    raw = _read(spark, path)
+    _require(raw, ["category", "max_term", "min_term", "retry"], "the term durations")
+    days = [F.col(c).cast("int").alias(c) for c in ("max_term", "min_term", "retry")]
+    return raw.select("category", *days)
+
+
 def load_rules(
     spark: SparkSession,
     outcome_path: str,

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from care_episodes.operators.report import episode_summary
+
 ANALYSIS_VERSION = "2.0.0"
 
 
@@ -41,6 +43,16 @@ def write_episodes(
         writer.save(path)
 
 
+def write_summary(episodes: DataFrame, folder: str, as_of: dt.date) -> list[str]:
+    """The summary tables of the episodes, one CSV folder each."""
+    paths = []
+    for name, table in episode_summary(episodes).items():
+        path = f"{folder}/pregnancy_summary_{as_of:%Y%m%d}_{name}"
+        table.write.mode("overwrite").option("header", True).csv(path)
+        paths.append(path)
+    return paths
+
+
 def export_for_analysis(
     episodes: DataFrame, folder: str, as_of: dt.date, formats: tuple[str, ...] = ("csv",)
 ) -> list[str]:

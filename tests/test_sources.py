@@ -53,6 +53,9 @@ def test_rule_tables(spark, tmp_path):
     assert (bundle.spacing, bundle.max_term["ECT"]) == ({("LB", "SB"): 168}, 84)
     assert rule_files.rules_summary(bundle).first().timing_concepts == 76
     assert bundle.timing_span_days() == 360
+    assert rule_files.load_term_durations(spark, str(tmp_path / "none.csv")).count() == 6
+    durations = write(tmp_path / "d.csv", "category,max_term,min_term,retry\nSA,139,28,14\n")
+    assert tuple(rule_files.load_term_durations(spark, durations).first()) == ("SA", 139, 28, 14)
 
 
 def test_concept_set_folder(spark, tmp_path):
@@ -137,6 +140,8 @@ def test_writing(spark, tmp_path):
     paths = sinks.export_for_analysis(eps, str(tmp_path), dt.date(2020, 1, 2))
     assert paths == [f"{tmp_path}/pregnancy_analysis_20200102_csv"]
     assert spark.read.csv(paths[0], header=True).count() == 1
+    summaries = sinks.write_summary(eps, str(tmp_path), dt.date(2020, 1, 2))
+    assert spark.read.csv(summaries[0], header=True).first().total_episodes == "1"
     assert sinks.to_cohort(eps, 3).columns == ["subject_id", "cohort_start_date", "cohort_end_date", "cohort_definition_id"]
 
 
