@@ -109,13 +109,11 @@ def apply_step(episodes: DataFrame, step: int, rules: Rules, config: EpisodeConf
 
     Rows of earlier steps stay as they are; rows of later steps are not looked at.
     """
-    order = Window.partitionBy("person_id").orderBy("outcome_day", "step", "session")
+    # Offsets that skip the null of rows not looked at: one pass over the sorted rows for both.
+    over = "IGNORE NULLS OVER (PARTITION BY person_id ORDER BY outcome_day, step, session)"
     seen = F.when(F.col("step") <= step, F.struct("outcome_category", "outcome_day"))
-    df = episodes.withColumns(
-        {
-            "_prev": F.last(seen, True).over(order.rowsBetween(Window.unboundedPreceding, -1)),
-            "_next": F.first(seen, True).over(order.rowsBetween(1, Window.unboundedFollowing)),
-        }
+    df = episodes.withColumn("_seen", seen).withColumns(
+        {"_prev": F.expr(f"lag(_seen) {over}"), "_next": F.expr(f"lead(_seen) {over}")}
     )
     prev_cat, next_cat = F.col("_prev.outcome_category"), F.col("_next.outcome_category")
     prev_gap = F.col("outcome_day") - F.col("_prev.outcome_day")
@@ -130,7 +128,7 @@ def apply_step(episodes: DataFrame, step: int, rules: Rules, config: EpisodeConf
         df = df.withColumn(
             "outcome_day", F.when(earlier, F.col("_prev.outcome_day")).otherwise(F.col("outcome_day"))
         )
-    return df.filter((F.col("step") != step) | keep).drop("_prev", "_next")
+    return df.filter((F.col("step") != step) | keep).drop("_seen", "_prev", "_next")
 
 
 def number_by_outcome(episodes: DataFrame) -> DataFrame:
