@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_episodes.llm import mixing
+from care_episodes.llm import language, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,3 +27,8 @@ def op9_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op9_mix_to_weights"] = mixing.ORACLE
+
+
+@query
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_digest(table(spark, sf_dir, "documents"))
