@@ -11,8 +11,8 @@ rows that repeat a doc_id stand at one place of the order and are taken together
 sizes 0 give targets 0.  Input columns named like an added column are replaced by it, others pass through.
 
 Scale: texts are read once for sizes and once for the output.  All else works on (source, size, order) rows, summed on the
-map side into 65,536 buckets of the order per source, so that a hot source is spread out; only the one bucket that holds a
-source's cut is ordered row by row.  A filling round sums one row from the table of sources; two numbers reach the driver.
+map side into 65,536 buckets of the order per source, so that a hot source is spread out.  The cut is sought in 256 pieces of
+256 buckets, then in the buckets of one piece; only the one bucket that holds it is ordered row by row.  A filling round sums one row from the table of sources; two numbers reach the driver.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from care_episodes.llm.columns import packed, seeded_order, unpacked, word_count
 from care_episodes.session import materialize
 
 WEIGHTS = (5, 2, 1)
-ORDER_BITS, BUCKET_BITS = 60, 16
+ORDER_BITS, BUCKET_BITS, COARSE_TO_FINE = 60, 16, (8, 16)
 IN_BUCKET = 1 << (ORDER_BITS - BUCKET_BITS)
 
 
@@ -78,14 +78,22 @@ def source_plan(
         plan.withColumn("whole", whole)
         .withColumn("wanted", F.when(whole < max_epochs, F.col("target") - whole * F.col("source_size")).otherwise(F.lit(0.0)))
     )
-    upto = F.sum("words").over(Window.partitionBy("source").orderBy("bucket"))
-    cut = (
-        counts.withColumn("upto", upto)
-        .join(plan.select(F.col("source").alias("s"), "wanted"), F.col("source").eqNullSafe(F.col("s")))
-        .where((F.col("wanted") > 0) & (F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("words") < F.col("wanted")))
-        .select(F.col("s").alias("cut_source"), F.col("bucket").alias("cut_bucket"), "wanted", (F.col("upto") - F.col("words")).alias("base"))
-    )  # one bucket for each source
-    cut = materialize(cut)
+    cut = materialize(
+        plan.where("wanted > 0").select(F.col("source").alias("cut_source"), F.lit(0).cast("long").alias("cut_bucket"), F.lit(0).cast("long").alias("base"), "wanted")
+    )
+    for bits in COARSE_TO_FINE:  # the piece of the order that holds the cut, then the piece of that piece
+        part = F.expr(f"shiftright(bucket, {BUCKET_BITS - bits})")
+        whole_piece = F.expr(f"shiftright(bucket, {BUCKET_BITS - bits + 8})")
+        pieces = (
+            counts.join(cut, F.col("source").eqNullSafe(F.col("cut_source")) & (whole_piece == F.col("cut_bucket")))
+            .groupBy("cut_source", part.alias("part"), "base", "wanted").agg(F.sum("words").alias("words"))
+        )  # 256 rows for each source at most
+        upto = F.col("base") + F.sum("words").over(Window.partitionBy("cut_source").orderBy("part"))
+        cut = materialize(
+            pieces.withColumn("upto", upto)
+            .where((F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("words") < F.col("wanted")))
+            .select("cut_source", F.col("part").alias("cut_bucket"), (F.col("upto") - F.col("words")).alias("base"), "wanted")
+        )
     inside = (
         sized.withColumn("bucket", bucket)
         .join(cut, F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("bucket") == F.col("cut_bucket")))
