@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_episodes.llm import language, mixing
+from care_episodes.llm import language, licenses, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +32,8 @@ ORACLE["op9_mix_to_weights"] = mixing.ORACLE
 @query
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_digest(table(spark, sf_dir, "documents"))
