@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_episodes.llm import language, licenses, mixing
+from care_episodes.llm import language, licenses, lsh_forest, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +37,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.deduplicate(table(spark, sf_dir, "documents"))
