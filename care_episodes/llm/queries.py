@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_episodes.llm import language, licenses, lsh_forest, mixing
+from care_episodes.llm import language, licenses, line_dedup, lsh_forest, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,3 +42,11 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.deduplicate(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op2_line_dedup"] = line_dedup.ORACLE
