@@ -1,6 +1,6 @@
 """Benchmark decontamination: rare n-gram seeds find candidates, Smith-Waterman alignment scores them.
 
-Words: A-Z in lower case; runs of letters a-z, digits and anything beyond ASCII.  First pass: in how many documents each
+Words: the text in lower case; runs of letters a-z, digits and anything beyond ASCII.  First pass: in how many documents each
 `SEED_WORDS`-gram of the benchmark occurs, counted over all documents.  An item's seeds are the rarest gram of every `STRETCH`
 consecutive ones, so that any copy with `SEED_WORDS + STRETCH - 1` words left in a row holds a seed, however often the item is
 copied.  Second pass: hits of one item on near diagonals of a document form a window, and the item is aligned with each window
@@ -178,7 +178,7 @@ def _aligned(values: np.ndarray, owners: list[np.ndarray], words: np.ndarray, bo
 
 def blocks(benchmark: DataFrame) -> Iterator[tuple[list, list]]:
     """The benchmark in blocks of bounded size: (item ids, texts)."""
-    sized = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
+    sized = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).where("text is not null")
     total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
     n = 1 + total // (3 * BLOCK_WORDS)  # a word and its gap have three characters at least, as a rule
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
@@ -192,7 +192,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_id long, item_id long, score double"
     out = docs.sparkSession.createDataFrame([], schema)
-    rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_id"), "text")
+    rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_id"), F.lower("text").alias("text"))
     for ids, texts in blocks(benchmark):
         words, bounds = text_words(pa.array(texts, pa.string()))
         found, at = grams(words, bounds)
