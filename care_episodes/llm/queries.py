@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_episodes.llm import contamination, language, licenses, line_dedup, lsh_forest, mixing
+from care_episodes.llm import contamination, language, licenses, line_dedup, lsh_forest, mixing, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -55,3 +55,8 @@ ORACLE["op2_line_dedup"] = line_dedup.ORACLE
 @query
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
