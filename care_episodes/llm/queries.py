@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_episodes.llm import contamination, language, licenses, line_dedup, lsh_forest, mixing, suffix_dedup
+from care_episodes.llm import contamination, language, licenses, line_dedup, lsh_forest, mixing, page_templates, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,3 +60,8 @@ def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_templates.extraction_digest(table(spark, sf_dir, "pages"))
