@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_episodes.llm import contamination, language, licenses, line_dedup, lsh_forest, mixing, page_templates, suffix_dedup
+from care_episodes.llm import contamination, language, licenses, line_dedup, line_quality, lsh_forest, mixing, page_templates, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -65,3 +65,8 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_templates.extraction_digest(table(spark, sf_dir, "pages"))
+
+
+@query
+def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
