@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_episodes.llm import contamination, language, licenses, line_dedup, line_quality, lsh_forest, mixing, page_templates, suffix_dedup
+from care_episodes.llm import contamination, cover_tree, language, licenses, line_dedup, line_quality, lsh_forest, mixing, page_templates, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -70,3 +70,11 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.quality_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_cover_tree_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.linked(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op1_cover_tree_links"] = cover_tree.ORACLE
