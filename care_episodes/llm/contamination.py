@@ -146,6 +146,8 @@ def _aligned(values: np.ndarray, owners: list[np.ndarray], words: np.ndarray, bo
             item = np.searchsorted(bounds, place, side="right") - 1
             row = np.searchsorted(rows, where, side="right") - 1
             diagonal = (where - rows[row]) - (place - bounds[item])
+            if not len(row):
+                continue
             order = np.lexsort((diagonal, item, row))
             row, item, diagonal = row[order], item[order], diagonal[order]
             slack = np.maximum(4, length[item] // 4)
