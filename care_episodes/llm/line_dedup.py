@@ -9,9 +9,10 @@ depends on no order of work.
 1. Each line becomes a 128-bit hash of its words; equal lines form a class with its earliest place.
 2. Two lines within one edit have their first or their last half in common, where a half is a run of words whose length
    comes from the line's length.  Classes that share no half with another class have no neighbour and stop here.
-3. The others emit the deletion neighbourhood as hashed keys: the whole line, and for every word the line without it.
-   Equal keys are joined by minima, not by pairs: lines of one length that agree after losing the word at one position are
-   within one replacement of each other, and a line equal to another one that lost a word is within one insertion.
+3. The others are numbered by place and emit the deletion neighbourhood as hashed keys: the whole line, and for every word the
+   line without it.  Keys of one line only go.  Equal keys are joined by minima, not by pairs: lines of one length that agree
+   after losing the word at one position are within one replacement of each other, and a line equal to another one that lost a
+   word is within one insertion.
 4. For every line that got an earlier neighbour this way the edit distance is verified on the words themselves; only then
    does the neighbour count.
 
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 
 from care_episodes.llm.buffers import slices, utf8
 from care_episodes.llm.columns import packed, unpacked
+from care_episodes.llm.mixing import ranked
 from care_episodes.llm.words import LETTERS, LOWER, mixed, powers, word_hashes
 from care_episodes.session import materialize
 
@@ -100,15 +102,13 @@ class Lines:
                 keys.append(mixed(key + h.astype(np.uint64) * np.uint64(4) + np.uint64(side)).view(np.int64))
         return keys
 
-    def neighbourhood(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """For line k: key for replacement at each position, and key of the line without the word there."""
+    def neighbourhood(self, k: int) -> np.ndarray:
+        """For line k: keys of the line without the word at each position."""
         a, b = int(self.begin[k]), int(self.end[k])
         at = np.arange(a, b)
         low, high = self._one[at] - self._one[a], self._one[b] - self._one[at + 1]
-        whole = low * self._inv[a] + high * self._inv[a + 1] if a + 1 <= b else low
-        gone = mixed(whole + np.uint64((b - a - 1) * int(_STEP) % (1 << 64)))
-        replaced = mixed(gone ^ mixed((at - a + 1).astype(np.uint64) * _STEP + np.uint64(b - a)))
-        return replaced.view(np.int64), gone.view(np.int64)
+        whole = low * self._inv[a] + high * self._inv[a + 1]
+        return mixed(whole + np.uint64((b - a - 1) * int(_STEP) % (1 << 64))).view(np.int64)
 
 
 def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,35 +130,26 @@ KEYS = ("k1", "k2", "k3", "k4")
 
 
 def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of all lines that are long enough: kind 0 replaced at a position, 1 the whole line, 2 the line less a word."""
+    """(no, key, at, length, words) of the wanted lines: the whole line at -1 with its words, and less the word at each position."""
     for batch in slices(batches, "text", most_rows=64):
         lines = Lines(batch.column(0))
         one, two = lines.names()
-        wanted = {(w["h1"], w["h2"]) for row in batch.column(1).to_pylist() for w in row}
-        out: dict[str, list] = {"h1": [], "h2": [], "kind": [], "key": [], "words": []}
-        for k in np.flatnonzero(lines.words >= NEAR_WORDS):
-            name = (int(one[k]), int(two[k]))
-            if name not in wanted:
-                continue
-            wanted.discard(name)
-            replaced, gone = lines.neighbourhood(k)
-            gone = np.unique(gone)
-            n = len(replaced) + 1 + len(gone)
-            out["h1"].append(np.full(n, name[0]))
-            out["h2"].append(np.full(n, name[1]))
-            out["kind"].append(np.concatenate([np.zeros(len(replaced), np.int8), np.ones(1, np.int8), np.full(len(gone), 2, np.int8)]))
-            out["key"].append(np.concatenate([replaced, one[k : k + 1], gone]))
-            out["words"] += [None] * len(replaced) + [lines.hashes[lines.begin[k] : lines.end[k]].tobytes()] + [None] * len(gone)
-            if len(out["words"]) > 100_000:
-                yield _variant_batch(out)
-                out = {c: [] for c in out}
-        if out["words"]:
-            yield _variant_batch(out)
-
-
-def _variant_batch(out: dict[str, list]) -> pa.RecordBatch:
-    columns = {c: pa.array(np.concatenate(out[c])) for c in ("h1", "h2", "kind", "key")}
-    return pa.RecordBatch.from_pydict(columns | {"words": pa.array(out["words"], pa.binary())})
+        wanted = {(w["h1"], w["h2"]): w["no"] for row in batch.column(1).to_pylist() for w in row}
+        found = [(k, wanted.pop((int(one[k]), int(two[k])), None)) for k in np.flatnonzero(lines.words >= NEAR_WORDS)]
+        found = [(k, no) for k, no in found if no is not None]
+        for start in range(0, len(found), 500):
+            part = found[start : start + 500]
+            sizes = np.array([lines.words[k] for k, _ in part])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat([no for _, no in part], sizes + 1)),
+                    pa.array(np.concatenate([np.append(one[k], lines.neighbourhood(k)) for k, _ in part])),
+                    pa.array(np.concatenate([np.arange(-1, n) for n in sizes]).astype(np.int32)),
+                    pa.array(np.repeat(sizes, sizes + 1).astype(np.int32)),
+                    pa.array([w for (k, _), n in zip(part, sizes, strict=True) for w in [lines.hashes[lines.begin[k] : lines.end[k]].tobytes()] + [None] * n], pa.binary()),
+                ],
+                names=["no", "key", "at", "length", "words"],
+            )
 
 
 def edit_distance_within_one(a: bytes, b: bytes) -> bool:
@@ -178,7 +169,22 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         a, b = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         good = [edit_distance_within_one(x, y) for x, y in zip(a, b, strict=True)]
-        yield batch.select([0, 1]).filter(pa.array(good, pa.bool_())) if good else batch.select([0, 1])
+        yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+
+
+def earlier_neighbours(variants: DataFrame) -> DataFrame:
+    """(no, other): the earliest line within one edit that stands before line `no`."""
+    shared = variants.groupBy("key").agg(F.min("no").alias("x"), F.max("no").alias("y")).where("x < y").select("key")
+    keys = materialize(variants.join(shared, "key"))
+    replaced = keys.where("at >= 0").groupBy("key", "length", "at").agg(F.min("no").alias("other"), F.max("no").alias("last")).where("other < last")
+    moved = keys.groupBy("key").agg(
+        F.min(F.when(F.col("at") < 0, F.col("no"))).alias("whole"), F.min(F.when(F.col("at") >= 0, F.col("no"))).alias("longer")
+    ).where("whole is not null and longer is not null")
+    return (
+        keys.join(replaced.drop("last"), ["key", "length", "at"]).select("no", "other")
+        .union(keys.join(moved, "key").select("no", F.when(F.col("at") < 0, F.col("longer")).otherwise(F.col("whole")).alias("other")))
+        .where("other < no").groupBy("no").agg(F.min("other").alias("other"))
+    )
 
 
 def place() -> Column:
@@ -203,37 +209,22 @@ def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shared = halves.groupBy("key").agg(F.min("h1").alias("a"), F.max("h1").alias("b"), F.min("h2").alias("c"), F.max("h2").alias("d"))
     shared = shared.where("a != b or c != d").select("key")
     meeting = halves.join(shared, "key").select("h1", "h2").distinct()
-    meeting = materialize(classes.join(meeting, ["h1", "h2"], "left_semi").select("h1", "h2", "first"))
+    meeting = classes.join(meeting, ["h1", "h2"], "left_semi").select("h1", "h2", "first")
+    meeting = materialize(ranked(meeting.withColumn("order", F.struct("first", "h1", "h2")), "order", "no").drop("order"))
     # The words of those classes come from the texts that hold their earliest lines.
-    owners = meeting.groupBy(F.col("first.doc_id").alias("owner")).agg(F.collect_set(F.struct("h1", "h2")).alias("wanted"))
+    owners = meeting.groupBy(F.col("first.doc_id").alias("owner")).agg(F.collect_list(F.struct("h1", "h2", "no")).alias("wanted"))
     texts = docs.select("doc_id", "text").join(owners, F.col("doc_id").eqNullSafe(F.col("owner"))).select("text", "wanted")
-    variants = materialize(
-        texts.mapInArrow(_variants, "h1 long, h2 long, kind byte, key long, words binary")
-        .join(meeting, ["h1", "h2"])
-        .select("h1", "h2", "kind", "key", "words", F.struct(F.col("first.doc_id").alias("doc_id"), F.col("first.line").alias("line"), "h1", "h2").alias("at"))
-    )
-    keys = variants.drop("words")
-    least = keys.groupBy((F.col("kind") > 0).alias("moved"), "key").agg(
-        F.min(F.when(F.col("kind") == 0, F.col("at"))).alias("replaced"),
-        F.min(F.when(F.col("kind") == 1, F.col("at"))).alias("whole"),
-        F.min(F.when(F.col("kind") == 2, F.col("at"))).alias("shorter"),
-        F.min("h1").alias("x"), F.max("h1").alias("y"),
-    ).where("x != y")
-    other = F.when(F.col("kind") == 0, F.col("replaced")).when(F.col("kind") == 1, F.col("shorter")).otherwise(F.col("whole"))
-    earlier = (
-        keys.join(least.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & ((F.col("kind") > 0) == F.col("moved")))
-        .withColumn("other", other)
-        .where("other < at")
-        .groupBy("h1", "h2").agg(F.min("other").alias("other"))
-    )
-    words = variants.where("kind = 1").dropDuplicates(["h1", "h2"]).select("h1", "h2", "words")
+    variants = materialize(texts.mapInArrow(_variants, "no long, key long, at int, length int, words binary"))
+    words = variants.where("at < 0").dropDuplicates(["no"]).select("no", "words")
     near = (
-        earlier.join(words.withColumnRenamed("words", "own"), ["h1", "h2"])
-        .select(F.struct("h1", "h2").alias("id"), "other", "own", F.col("other.h1").alias("h1"), F.col("other.h2").alias("h2"))
-        .join(words, ["h1", "h2"])
-        .select("id", F.struct("other.doc_id", "other.line").alias("near"), "own", "words")
-        .mapInArrow(_verified, f"id struct<h1:bigint,h2:bigint>, near struct<doc_id:{kind},line:bigint>")
-        .select("id.h1", "id.h2", "near")
+        earlier_neighbours(variants.drop("words"))
+        .join(words.withColumnRenamed("words", "own"), "no")
+        .join(words.select(F.col("no").alias("other"), "words"), "other")
+        .select("no", "other", "own", "words")
+        .mapInArrow(_verified, "no long, other long")
+        .join(meeting.select("no", "h1", "h2"), "no")
+        .join(meeting.select(F.col("no").alias("other"), F.col("first").alias("near")), "other")
+        .select("h1", "h2", "near")
     )
     return lines.drop(*KEYS), materialize(
         classes.select("h1", "h2", "n", "first").join(near, ["h1", "h2"], "left").where("n > 1 or near is not null")
