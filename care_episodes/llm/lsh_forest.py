@@ -11,8 +11,10 @@ its whole word sequence if that is shorter.  Two documents are linked when 100 *
    in the order that share a prefix.  In a thin region these are all classes of the prefix; in a thick one the nearest have
    the longest common prefixes, so the depth adapts to the region and the work stays linear in its size.
 4. Candidates whose estimate from 8-bit minhashes is too low are dropped (5 standard deviations below the threshold).
-5. Rounds of confirmation on the full sets: first each class with its best candidate, then the candidates that still join
-   different components, until none is left.  A confirmed link never joins two documents below the threshold.
+5. Two rounds: first the very nearest classes in every order, of which each class confirms its best on the full sets; then the
+   orders once more with the components found, where classes of one component are no candidates for each other and thick
+   regions have thinned out.  All candidates of the second round are confirmed on the full sets.  A confirmed link never joins
+   two documents below the threshold.
 
 A pair at the threshold shares a prefix of 2 in a tree with probability 0.56, so the 20 trees miss it with 6e-8 where
 regions are thin; tests and README measure the recall against brute force.
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from care_episodes.llm.buffers import slices, utf8
@@ -38,12 +40,15 @@ from care_episodes.llm.words import LOWER, NOT_SPACE, mixed, sequence_hash, wind
 from care_episodes.session import materialize
 
 WIDTH = 5
-TREES, DEPTH, MIN_DEPTH = 20, 4, 2
+TREES, DEPTH, MIN_DEPTH = 20, 8, 2
 HASHES = TREES * DEPTH
-#: Classes before a class in the order that it is compared with.
-NEAREST = 12
+#: Classes before a class in the order that it is compared with, in the two rounds.
+NEAREST = (2, 64)
 #: A pair at the threshold falls below this estimate with a chance of about 1 in 4 million.
-SURE = 0.25
+SURE = 0.17
+#: Of the candidates that would join a class to one component, those count whose estimate is this near to the best one's (two
+#: standard deviations): in a thick region a class has many, and one link is enough.
+LIKELY = 0.07
 
 _RANDOM = np.random.default_rng(20_240_517)
 _FACTORS = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -136,66 +141,72 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(start, 1000)
             n = part.num_rows
             raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(n, HASHES)
-            # Big-endian words, so that bytes sort as numbers; what follows a tree's own values breaks ties by similarity.
-            rolled = np.concatenate([raw, raw[:, : 2 * DEPTH]], axis=1).astype(">u4")
+            ordered = raw.astype(">u4")  # bytes that sort as the numbers do
             few = raw.astype(np.uint8)
-            keys = [
-                bytes([t]) + rolled[i, t * DEPTH : (t + 2) * DEPTH].tobytes() for i in range(n) for t in range(TREES)
-            ]
+            keys = [bytes([t]) + ordered[i, t * DEPTH : (t + 1) * DEPTH].tobytes() for i in range(n) for t in range(TREES)]
             sketch = [few[i].tobytes() for i in range(n) for _ in range(TREES)]
             take = pa.array(np.repeat(np.arange(n), TREES))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), part.column(0).take(take), pa.array(sketch, pa.binary())],
-                names=["place", "set_id", "sketch"],
+                [pa.array(keys, pa.binary()), part.column(0).take(take), part.column(2).take(take), pa.array(sketch, pa.binary())],
+                names=["place", "set_id", "root", "sketch"],
             )
 
 
-def _neighbours(threshold: float):
+def _neighbours(threshold: float, nearest: int):
+    prefix = 1 + 4 * MIN_DEPTH
     least = threshold - SURE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Compares each row with the ones just before it that share MIN_DEPTH values; rows come in order."""
-        prefix = 1 + 4 * MIN_DEPTH
-        tail: tuple[list, list, np.ndarray] = ([], [], np.zeros((0, HASHES), np.uint8))
+        """Compares each row with those just before it that share MIN_DEPTH values and are of another component; rows come in order."""
+        tail: tuple[list, list, list, np.ndarray] = ([], [], [], np.zeros((0, HASHES), np.uint8))
         for batch in batches:
             for start in range(0, batch.num_rows, 5000):
                 part = batch.slice(start, 5000)
                 keys = tail[0] + [k[:prefix] for k in part.column(0).to_pylist()]
-                names = tail[1] + part.column(1).to_pylist()
-                few = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(-1, HASHES)
-                few = np.concatenate([tail[2], few])
+                names, roots = tail[1] + part.column(1).to_pylist(), tail[2] + part.column(2).to_pylist()
+                few = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint8).reshape(-1, HASHES)
+                few = np.concatenate([tail[3], few])
                 fresh = len(tail[0])
                 key = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, prefix)
-                out_a, out_b, out_e = [], [], []
-                for back in range(1, min(NEAREST, len(keys) - 1) + 1):
+                group = np.unique(np.array(roots, object), return_inverse=True)[1]
+                found: dict[str, list] = {"a": [], "b": [], "root_a": [], "root_b": [], "estimate": []}
+                for back in range(1, min(nearest, len(keys) - 1) + 1):
                     late = np.arange(max(back, fresh), len(keys))
-                    late = late[(key[late] == key[late - back]).all(axis=1)]
+                    late = late[(key[late] == key[late - back]).all(axis=1) & (group[late] != group[late - back])]
                     if not len(late):
                         continue
                     share = (few[late] == few[late - back]).mean(axis=1)
                     estimate = (share - 1 / 256) / (1 - 1 / 256)
                     for i, e in zip(late[estimate >= least], estimate[estimate >= least], strict=True):
-                        if names[i] != names[i - back]:
-                            out_a.append(max(names[i], names[i - back]))
-                            out_b.append(min(names[i], names[i - back]))
-                            out_e.append(float(e))
-                tail = (keys[-NEAREST:], names[-NEAREST:], few[-NEAREST:])
-                if out_a:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(out_a, pa.binary()), pa.array(out_b, pa.binary()), pa.array(out_e)], names=["a", "b", "estimate"]
-                    )
+                        x, y = (i, i - back) if names[i] > names[i - back] else (i - back, i)
+                        for column, value in zip(found, (names[x], names[y], roots[x], roots[y], float(e)), strict=True):
+                            found[column].append(value)
+                tail = (keys[-nearest:], names[-nearest:], roots[-nearest:], few[-nearest:])
+                if found["a"]:
+                    yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.float64() if c == "estimate" else pa.binary()) for c, v in found.items()})
 
     return run
 
 
-def candidates(classes: DataFrame, threshold: float = 0.75) -> DataFrame:
-    """(a, b, estimate) of class pairs that are neighbours in some tree."""
+def meeting(classes: DataFrame) -> DataFrame:
+    """The classes that share a prefix with another one in some tree."""
     entries = classes.select("set_id", "signature").mapInArrow(_entries, "set_id binary, prefix long")
     shared = entries.groupBy("prefix").count().where("count > 1").select("prefix")
-    meeting = entries.join(shared, "prefix").select("set_id").distinct()
-    met = materialize(classes.join(meeting, "set_id", "left_semi").select("set_id", "signature"))
-    ordered = met.mapInArrow(_orders, "place binary, set_id binary, sketch binary").orderBy("place", "set_id")
-    pairs = ordered.mapInArrow(_neighbours(threshold), "a binary, b binary, estimate double")
+    found = entries.join(shared, "prefix").select("set_id").distinct()
+    return materialize(classes.join(found, "set_id", "left_semi").select("set_id", "signature"))
+
+
+def candidates(met: DataFrame, roots: DataFrame | None, threshold: float, nearest: int) -> DataFrame:
+    """(a, b, estimate) of neighbours in some tree that are not of one component; `roots` has (node, root)."""
+    if roots is None:
+        named = met.select("set_id", "signature", F.col("set_id").alias("root"))
+    else:
+        named = met.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "signature", F.coalesce("root", "set_id").alias("root"))
+    ordered = named.mapInArrow(_orders, "place binary, set_id binary, root binary, sketch binary").orderBy("place", "set_id")
+    pairs = ordered.mapInArrow(_neighbours(threshold, nearest), "a binary, b binary, root_a binary, root_b binary, estimate double")
+    for own, other in (("a", "root_b"), ("b", "root_a")):  # at most TREES * nearest rows for each class
+        best = F.max("estimate").over(Window.partitionBy(own, other))
+        pairs = pairs.withColumn("best", best).where(F.col("estimate") >= F.col("best") - LIKELY)
     return materialize(pairs.groupBy("a", "b").agg(F.max("estimate").alias("estimate")))
 
 
@@ -217,22 +228,15 @@ def near_classes(docs: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, D
         )
     )
     classes = signed.where("n_shingles > 0").groupBy("set_id").agg(F.any_value("signature").alias("signature"))
-    pairs = candidates(materialize(classes), threshold)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    # One text for each class that has a candidate; its set is made again from the whole text.
-    owners = signed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("owner"))
+    met = meeting(materialize(classes))
+    # One text for each class that met another one; its set is made again from the whole text.
+    owners = signed.select("doc_id", "set_id").join(met.select("set_id"), "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("owner"))
     texts = docs.select("doc_id", "text").join(owners.select(F.col("owner").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = materialize(texts.select("text").mapInArrow(_sets, "set_id binary, shingles array<long>").dropDuplicates(["set_id"]))
-    best = pairs.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
+    nearest = candidates(met, None, threshold, NEAREST[0])
+    best = nearest.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
     links = confirmed(best, sets, threshold)
-    known = components(links)
-    rest = (
-        pairs.join(best.withColumnRenamed("b", "done"), "a").where("b != done").select("a", "b")
-        .join(known.select(F.col("node").alias("a"), F.col("root").alias("root_a")), "a", "left")
-        .join(known.select(F.col("node").alias("b"), F.col("root").alias("root_b")), "b", "left")
-        .where(~F.col("root_a").eqNullSafe(F.col("root_b")) | F.col("root_a").isNull())
-        .select("a", "b")
-    )
+    rest = candidates(met, components(links), threshold, NEAREST[1])
     links = links.union(confirmed(rest, sets, threshold))
     return signed, components(links)
 
@@ -242,7 +246,7 @@ def judged(docs: DataFrame, threshold: float = 0.75) -> DataFrame:
     signed, roots = near_classes(docs, threshold)
     rows = signed.drop("signature").join(roots.withColumnRenamed("node", "set_id"), "set_id", "left")
     rows = rows.withColumn("part", F.when(F.col("n_shingles") > 0, F.coalesce("root", "set_id")))
-    least = rows.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("least"))
+    least = materialize(rows.where("part is not null").groupBy("part").agg(F.min("doc_id").alias("least")))
     named = rows.join(least, "part", "left").withColumn("component_id", F.coalesce("least", "doc_id"))
     return named.select("doc_id", "text_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
