@@ -46,6 +46,9 @@ def parse_dates(df: DataFrame, name: str, output: str | None = None) -> DataFram
         return df.withColumn(output, F.to_date(col))
     if isinstance(kind, T.StringType):
         parts = F.trim(F.regexp_replace(col, "[/.]", "-"))
+        # Two-digit years first: 69-99 belong to the last century.
+        century = F.when(parts.substr(1, 2) >= "69", "19").otherwise("20")
+        parts = F.when(parts.rlike(r"^\d{2}-\d{1,2}-\d{1,2}$"), F.concat(century, parts)).otherwise(parts)
         formats = ("y-M-d", "yyyyMMdd", "M-d-y", "d-M-y")
         iso = parts.substr(1, 10)
         tries = [F.try_to_date(iso, "yyyy-MM-dd")] + [F.try_to_date(parts, f) for f in formats]

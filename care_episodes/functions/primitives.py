@@ -73,15 +73,15 @@ def points_in_intervals(
     point has one bucket, so each pair meets exactly once.  That bounds the pairs looked at by
     the interval length, and splits a person with very many rows over many join keys.
 
-    With how='left' an interval comes back once per bucket even without points; the callers
-    group by interval afterwards, which folds those rows together.
+    With how='left' an interval comes back once per bucket even without points, and once if a
+    bound is empty; the callers group by interval afterwards, which folds those rows together.
     """
     bucket = "_bucket"
     left = intervals.withColumn("_low", low).withColumn("_high", high)
     first = F.floor(F.col("_low") / bucket_days)
     last = F.floor(F.col("_high") / bucket_days)
     listed = left.withColumn(
-        bucket, F.explode(F.sequence(first, F.greatest(first, last)))
+        bucket, (F.explode_outer if how == "left" else F.explode)(F.sequence(first, F.greatest(first, last)))
     )
     right = points.withColumn(bucket, F.floor(F.col(point) / bucket_days))
     renamed = [(k, f"_p_{k}") for k in keys] + [(bucket, f"_p{bucket}")]

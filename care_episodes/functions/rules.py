@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -39,10 +40,16 @@ class Rules:
     spacing: Mapping[Pair, int] = field(default_factory=lambda: dict(SPACING))
     max_term: Mapping[str, int] = field(default_factory=lambda: dict(MAX_TERM))
 
-    def timing_span_days(self) -> int:
-        """Longest time that two agreeing timing records can lie apart."""
-        first, last = self.timing_concepts.agg(F.min("min_month"), F.max("max_month")).first()
-        return 0 if first is None else int((last - first + 2) * 30)
+    def timing_span_days(self, fractional_months: bool = False) -> int:
+        """Longest time that two agreeing timing records can lie apart.
+
+        Taken from the months that the records carry: whole ones unless `fractional_months`.
+        """
+        low, high = F.col("min_month"), F.col("max_month")
+        if not fractional_months:
+            low, high = F.floor(low).cast("double"), F.floor(high).cast("double")
+        first, last = self.timing_concepts.agg(F.min(low), F.max(high)).first()
+        return 0 if first is None else math.ceil((last - first + 2) * 30)
 
 
 def default_timing_concepts(spark: SparkSession) -> DataFrame:

@@ -3,6 +3,12 @@
 from __future__ import annotations
 
 import math
+import sys
+
+from pyspark import cloudpickle
+
+# These functions also run in tasks; they travel by value, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def gamma_p(a: float, x: float) -> float:

@@ -14,11 +14,13 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from care_episodes.functions.special import chi_square_tail, normal_two_sided, poisson_interval
 from care_episodes.session import materialize, small_table
 
-RESULT_ROWS = 10_000
+#: Tied events that one task lists at a time.
+TIES = 10_000
 
 
 # ---- T1 -------------------------------------------------------------------------------------
@@ -91,11 +93,9 @@ def risk_table(df: DataFrame, time: str, group: str, at: Sequence[float]) -> Dat
     return known.groupBy(F.col(group).alias("group")).agg(*counts)
 
 
-def _group_values(df: DataFrame, group: str, most: int = 50) -> list:
-    values = sorted(r[0] for r in df.select(group).filter(F.col(group).isNotNull()).distinct().limit(most + 1).collect())
-    if len(values) > most:
-        raise ValueError(f"{group} has more than {most} values")
-    return values
+def _group_values(df: DataFrame, group: str) -> list:
+    """The groups of the test: the size of its model, a row and a column of the covariance each."""
+    return sorted(r[0] for r in df.select(group).filter(F.col(group).isNotNull()).distinct().collect())
 
 
 def _log_rank_sums(df: DataFrame, time: str, event: str, group: str) -> tuple[list, dict]:
@@ -154,18 +154,16 @@ def incidence_rate(df: DataFrame, event: str, years: str, by: Sequence[str]) ->
 
 
 def incidence_rate_ci(rates: DataFrame, level: float = 0.95) -> DataFrame:
-    """T4: exact Poisson limits for the (few) rows of a rate table."""
-    rows = rates.limit(RESULT_ROWS + 1).collect()
-    if len(rows) > RESULT_ROWS:
-        raise ValueError(f"confidence limits are for result tables of at most {RESULT_ROWS} rows")
-    out = []
-    for r in rows:
-        low, high = poisson_interval(r["events"], level)
-        years = r["person_years"]
-        limits = (low / years * 1000, high / years * 1000) if years else (None, None)
-        out.append((*r, *limits))
-    schema = rates.schema.add("rate_low", "double").add("rate_high", "double")
-    return small_table(rates.sparkSession, out, schema)
+    """T4: exact Poisson limits for the rows of a rate table, however many there are."""
+
+    def limits(batches):
+        for rows in batches:
+            bounds = [poisson_interval(float(e), level) for e in rows["events"]]
+            years = rows["person_years"].where(rows["person_years"] != 0)
+            yield rows.assign(rate_low=[b[0] for b in bounds] / years * 1000, rate_high=[b[1] for b in bounds] / years * 1000)
+
+    schema = StructType([*rates.schema.fields, StructField("rate_low", DoubleType()), StructField("rate_high", DoubleType())])
+    return rates.mapInPandas(limits, schema)
 
 
 # ---- T5, T6 ---------------------------------------------------------------------------------
@@ -261,7 +259,11 @@ def cox_ph(
         sets = by_time.select(
             *[c for c in by_time.columns if c not in totals], *[F.sum(c).over(later).alias(c) for c in totals]
         ).filter("m > 0")
-        listed = sets.withColumn("_l", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("m") - 1)))
+        # The running sums end in one task; the events of a time are listed in others, some at a time.
+        some = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("m") - 1) / TIES)))
+        spread = sets.withColumn("_some", some).repartition("t", "_some")
+        ends = F.least(F.col("m"), (F.col("_some") + 1) * TIES) - 1
+        listed = spread.withColumn("_l", F.explode(F.sequence(F.col("_some") * TIES, ends)))
         tied = listed.withColumn("f", F.col("_l") / F.col("m"))
 
         def part(name: str) -> Column:
@@ -292,6 +294,8 @@ def cox_ph(
         last, step_size = loglik, 1.0
         direction = np.linalg.solve(info, gradient)
         beta = beta + direction
+    else:
+        raise RuntimeError(f"the model of {event} did not converge in {max_steps} steps")
     errors = np.sqrt(np.diag(np.linalg.inv(info)))
     return _model_rows(df.sparkSession, names, beta, errors, constant)
 
@@ -361,6 +365,8 @@ def logistic_or(
         beta = beta + step
         if np.max(np.abs(step)) < tolerance * (1 + np.max(np.abs(beta))):
             break
+    else:
+        raise RuntimeError(f"the model of {outcome} did not converge in {max_steps} steps")
     errors = np.sqrt(np.diag(np.linalg.inv(info)))
     return _model_rows(df.sparkSession, names, beta, errors)
 

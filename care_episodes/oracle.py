@@ -78,12 +78,12 @@ SELECT o_custkey person_id, 1000 + o_orderkey % 20 condition_concept_id, o_order
 FROM orders"""
 V["lines"] = "SELECT * FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 V["procedure_occurrence"] = """
-SELECT o_custkey person_id, 1050::BIGINT procedure_concept_id, l_shipdate::DATE procedure_date
-FROM lines WHERE l_returnflag = 'R' AND l_linenumber = 1 AND l_partkey % 5 = 0"""
+SELECT o_custkey person_id, (CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 AND l_partkey % 5 = 0 THEN 1050 ELSE 0 END)::BIGINT procedure_concept_id,
+  l_shipdate::DATE procedure_date FROM lines"""
 V["observation"] = """
-SELECT o_custkey person_id, 2000 + l_partkey % 12 observation_concept_id, l_shipdate::DATE observation_date,
-  NULL::DOUBLE value_as_number, l_linestatus value_as_string
-FROM lines WHERE l_linenumber = 1 AND l_orderkey % 4 = 0"""
+SELECT o_custkey person_id, (CASE WHEN l_linenumber = 1 AND l_orderkey % 4 = 0 THEN 2000 + l_partkey % 12 ELSE 0 END)::BIGINT observation_concept_id,
+  l_shipdate::DATE observation_date, NULL::DOUBLE value_as_number, l_linestatus value_as_string
+FROM lines"""
 V["measurement"] = """
 SELECT o_custkey person_id,
   (CASE l_partkey % 10 WHEN 0 THEN 3048230 WHEN 1 THEN 3025315 WHEN 2 THEN 3036277 ELSE 0 END)::BIGINT measurement_concept_id,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import warnings
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 
@@ -21,6 +22,7 @@ from care_episodes.sources.cdm import (
     select_persons,
     union_domains,
 )
+from care_episodes.sources.rule_files import enrich_domains, unmapped_concepts
 
 
 @dataclass
@@ -32,12 +34,30 @@ class Cohort:
     timing: DataFrame
 
 
+def rules_with_domains(tables: Tables, rules: Rules) -> Rules:
+    """The rules with the domains that the vocabulary table knows for listed concepts without one.
+
+    A concept without a domain meets no table.  How many such concepts are left is a warning.
+    """
+    concepts = rules.outcome_concepts
+    unknown = concepts.filter("domain_name IS NULL")
+    if unknown.isEmpty():
+        return rules
+    if "concept" in tables:
+        concepts = materialize(enrich_domains(concepts, tables["concept"]))
+    left = unmapped_concepts(concepts).count()
+    if left:
+        warnings.warn(f"{left} outcome concepts have no domain; their events are not extracted", stacklevel=2)
+    return replace(rules, outcome_concepts=concepts)
+
+
 def extract_cohort(tables: Tables, rules: Rules, config: EpisodeConfig, store: bool = True) -> Cohort:
     """Extract once.  With `store` the extracted rows are written to the shared folder, because
     five later steps read them; what is written is the listed concepts only."""
     persons = select_persons(tables["person"], config)
     if store:
         persons = materialize(persons)
+    rules = rules_with_domains(tables, rules)
     events = union_domains(tables, rules, persons)
     timing = extract_timing(tables, rules, persons, config)
     if store:
@@ -51,7 +71,7 @@ def outcome_stage(cohort: Cohort, rules: Rules, config: EpisodeConfig) -> DataFr
 
 def progression_stage(cohort: Cohort, rules: Rules, config: EpisodeConfig) -> DataFrame:
     eligible = filter_reproductive_age(cohort.timing, cohort.persons, config)
-    return progression_episodes(eligible, daily_outcomes(cohort.events), rules.timing_span_days(), config)
+    return progression_episodes(eligible, daily_outcomes(cohort.events), rules.timing_span_days(config.fractional_months), config)
 
 
 def merge_stage(hip: DataFrame, pps: DataFrame, cohort: Cohort, config: EpisodeConfig) -> DataFrame:

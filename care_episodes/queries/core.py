@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -314,14 +315,17 @@ _HALF_KNOWN = "(SELECT concept_id, concept_name, CASE WHEN concept_id % 2 = 0 TH
     "s15_enrich_domains",
     f"""SELECT o.concept_id, o.concept_name, coalesce(o.domain_name, c.domain_id) domain_name,
   coalesce(o.domain_name, c.domain_id) IS NULL unmapped
-FROM {_HALF_KNOWN.format(PART_OUTCOMES)} o LEFT JOIN (SELECT * FROM concept WHERE concept_id % 5 <> 0) c USING (concept_id)""",
+FROM (SELECT * REPLACE (CASE WHEN concept_id % 5 = 0 THEN concept_id + 10000000 ELSE concept_id END AS concept_id)
+  FROM {_HALF_KNOWN.format(PART_OUTCOMES)}) o LEFT JOIN concept c USING (concept_id)""",
 )
 def s15_enrich_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("concept_id")
     concepts = rule_files.clean_outcome_concepts(lists_from_parts(spark, sf_dir)[0]).select(
-        "concept_id", "concept_name", F.when(F.col("concept_id") % 2 == 0, F.col("domain_name")).alias("domain_name")
+        F.when(key % 5 == 0, key + 10_000_000).otherwise(key).alias("concept_id"),  # ids the vocabulary lacks
+        "concept_name",
+        F.when(key % 2 == 0, F.col("domain_name")).alias("domain_name"),
     )
-    vocabulary = tm.concept(spark, sf_dir).filter("concept_id % 5 <> 0")
-    enriched = rule_files.enrich_domains(concepts, vocabulary)
+    enriched = rule_files.enrich_domains(concepts, tm.concept(spark, sf_dir))
     unmapped = rule_files.unmapped_concepts(enriched).select("concept_id", F.lit(True).alias("unmapped"))
     return enriched.join(unmapped, "concept_id", "left").fillna(False, ["unmapped"])
 
@@ -380,6 +384,19 @@ def p6_union_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cdm.union_domains(t, rules, cdm.select_persons(t["person"], CONFIG))
 
 
+@register(
+    "p6_extract_raw_list",
+    """SELECT e.person_id, e.concept_id, e.event_date, e.domain, o.concept_name, o.category, o.gest_value, e.value_as_number, e.value_as_string
+FROM source_events e JOIN outcome_concepts o ON e.concept_id = o.concept_id JOIN concept c ON o.concept_id = c.concept_id AND e.domain = c.domain_id
+WHERE e.person_id IN (SELECT person_id FROM persons)""",
+)
+def p6_extract_raw_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A code list without domains: the vocabulary fills them in before extraction."""
+    rules = tm.rules(spark)
+    raw = rules.outcome_concepts.withColumn("domain_name", F.lit(None).cast("string"))
+    return pipeline.extract_cohort(tm.tables(spark, sf_dir), replace(rules, outcome_concepts=raw), CONFIG, store=False).events
+
+
 @register(
     "p7_filter_reproductive_age",
     "SELECT person_id, concept_id, event_date, min_month, max_month, round(age_at_event, 6) age_at_event FROM eligible",

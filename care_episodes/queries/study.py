@@ -334,15 +334,16 @@ def k5_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "k6_lump_rare",
-    """SELECT c_custkey, coalesce(new_level, NULL) AS level, dense_rank() OVER (ORDER BY total DESC, new_level)::INT level_rank FROM (
+    """SELECT c_custkey, new_level AS level, dense_rank() OVER (ORDER BY total DESC, new_level)::INT level_rank FROM (
   SELECT *, count(*) OVER (PARTITION BY new_level) total FROM (
-    SELECT c_custkey, CASE WHEN count(*) OVER (PARTITION BY c_nationkey) < (SELECT count(*) / 25 FROM customer) THEN 'Other' ELSE c_nationkey::VARCHAR END new_level
-    FROM customer))""",
+    SELECT c_custkey, CASE WHEN count(*) OVER (PARTITION BY named) < 20 THEN 'Other' ELSE named END new_level
+    FROM (SELECT c_custkey, CASE WHEN c_custkey % 100 = 0 THEN 'key ' || c_custkey % 10000 ELSE c_nationkey || ' ' || c_mktsegment END named FROM customer)))""",
 )
 def k6_lump_rare(spark: SparkSession, sf_dir: str) -> DataFrame:
     (customer,) = tm.read(spark, sf_dir, "customer")
-    df = customer.select("c_custkey", F.col("c_nationkey").cast("string").alias("level"))
-    return study.lump_rare(df, "level", least=customer.count() / 25)
+    rare = F.concat(F.lit("key "), (F.col("c_custkey") % 10000).cast("string"))
+    level = F.when(F.col("c_custkey") % 100 == 0, rare).otherwise(F.concat_ws(" ", "c_nationkey", "c_mktsegment"))
+    return study.lump_rare(customer.select("c_custkey", level.alias("level")), "level")
 
 
 @register(

@@ -62,21 +62,19 @@ def read_cdm(
         options = jdbc or {}
         schema = options.get("schema")
         plain = {k: v for k, v in options.items() if k != "schema"}
-        reader = spark.read.format("jdbc").option("url", location).options(**plain)
-        out: Tables = {}
+
+        def source(**more) -> DataFrame:
+            # A reader keeps its options, so each table gets one of its own.
+            return spark.read.format("jdbc").option("url", location).options(**plain, **more).load()
+
         person = f"{schema}.person" if schema else "person"
-        low, high = (
-            reader.option("query", f"select min(person_id) lo, max(person_id) hi from {person}").load().first()
-        )
-        for t in tables:
-            source = reader.option("dbtable", f"{schema}.{t}" if schema else t)
-            if not t.startswith("concept") and low is not None:
-                source = source.options(
-                    partitionColumn="person_id", lowerBound=low, upperBound=high + 1,
-                    numPartitions=partitions,
-                )
-            out[t] = source.load()
-        return out
+        low, high = source(query=f"select min(person_id) lo, max(person_id) hi from {person}").first()
+        ranges = {} if low is None else {
+            "partitionColumn": "person_id", "lowerBound": low, "upperBound": high + 1, "numPartitions": partitions,
+        }
+        return {
+            t: source(dbtable=f"{schema}.{t}" if schema else t, **({} if t.startswith("concept") else ranges)) for t in tables
+        }
     options = {"header": True} if fmt == "csv" else {}
     suffix = "" if fmt in ("parquet", "orc", "delta") else f".{fmt}"
     return {

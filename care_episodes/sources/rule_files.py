@@ -56,13 +56,18 @@ def clean_outcome_concepts(raw: DataFrame) -> DataFrame:
 def load_outcome_concepts(spark: SparkSession, path: str) -> DataFrame:
     """Outcome code list from a file, with a warning for categories nobody knows."""
     out = clean_outcome_concepts(_read(spark, path))
-    unknown = out.filter(~F.col("category").isin(*fv.OUTCOME_CHOICE_ORDER)).select("category").distinct()
-    names = [row[0] for row in unknown.limit(20).collect()]
-    if names:
-        warnings.warn(f"unexpected outcome categories: {', '.join(map(str, names))}", stacklevel=2)
+    unknown = unknown_categories(out).agg(F.count(F.lit(1)), F.sum("concepts")).first()
+    if unknown[0]:
+        warnings.warn(f"{unknown[0]} unexpected outcome categories on {unknown[1]} concepts, see unknown_categories()", stacklevel=2)
     return out
 
 
+def unknown_categories(concepts: DataFrame) -> DataFrame:
+    """Categories of a code list that no rule knows, with the number of their concepts."""
+    known = F.coalesce(F.col("category").isin(*fv.OUTCOME_CHOICE_ORDER), F.lit(False))
+    return concepts.filter(~known).groupBy("category").agg(F.count(F.lit(1)).alias("concepts"))
+
+
 def clean_timing_concepts(raw: DataFrame) -> DataFrame:
     """S3: timing list with months in 0..12 and in order; first row per concept."""
     if "_row" not in raw.columns:
@@ -142,10 +147,13 @@ def load_rules(
     timing_path: str | None = None,
     term_path: str | None = None,
     spacing_path: str | None = None,
+    vocabulary: DataFrame | None = None,
 ) -> r.Rules:
-    """All rules of a run."""
+    """All rules of a run.  With the vocabulary table missing domains are filled in at once;
+    the pipeline does so otherwise."""
+    outcomes = load_outcome_concepts(spark, outcome_path)
     return r.Rules(
-        outcome_concepts=load_outcome_concepts(spark, outcome_path),
+        outcome_concepts=outcomes if vocabulary is None else enrich_domains(outcomes, vocabulary),
         timing_concepts=load_timing_concepts(spark, timing_path),
         spacing=r.spacing_literals(load_spacing(spark, spacing_path)),
         max_term=r.max_term_literals(load_term_limits(spark, term_path)),

@@ -2,7 +2,8 @@
 
 The test tables are not clinical.  This maps them to the layout the operators read: customers
 become persons, orders become conditions and visits, line items become measurements,
-observations and procedures.  Every view covers its whole source table.
+observations and procedures.  Every view covers its whole source table; rows that are not meant
+to be found carry concept 0, which is on no list.
 """
 
 from __future__ import annotations
@@ -85,21 +86,19 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def procedure_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines(spark, sf_dir).filter(
-        (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1) & (F.col("l_partkey") % 5 == 0)
-    )
-    return lines.select(
+    listed = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1) & (F.col("l_partkey") % 5 == 0)
+    return _lines(spark, sf_dir).select(
         F.col("o_custkey").alias("person_id"),
-        F.lit(1050).cast("bigint").alias("procedure_concept_id"),
+        F.when(listed, 1050).otherwise(0).cast("bigint").alias("procedure_concept_id"),
         day("l_shipdate").alias("procedure_date"),
     )
 
 
 def observation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines(spark, sf_dir).filter((F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 4 == 0))
-    return lines.select(
+    listed = (F.col("l_linenumber") == 1) & (F.col("l_orderkey") % 4 == 0)
+    return _lines(spark, sf_dir).select(
         F.col("o_custkey").alias("person_id"),
-        (2000 + F.col("l_partkey") % 12).alias("observation_concept_id"),
+        F.when(listed, 2000 + F.col("l_partkey") % 12).otherwise(0).cast("bigint").alias("observation_concept_id"),
         day("l_shipdate").alias("observation_date"),
         F.lit(None).cast("double").alias("value_as_number"),
         F.col("l_linestatus").alias("value_as_string"),
