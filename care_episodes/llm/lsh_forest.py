@@ -152,6 +152,17 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def likely(x: np.ndarray, y: np.ndarray, estimate: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that come near the best estimate between a class and a component, seen from either side."""
+    keep = np.ones(len(x), bool)
+    for own, other in ((x, y), (y, x)):
+        which = np.unique(np.stack([own, group[other]], axis=1), axis=0, return_inverse=True)[1].ravel()
+        best = np.zeros(which.max() + 1 if len(which) else 0)
+        np.maximum.at(best, which, estimate)
+        keep &= estimate >= best[which] - LIKELY
+    return x[keep], y[keep], estimate[keep]
+
+
 def _neighbours(threshold: float, nearest: int):
     prefix = 1 + 4 * MIN_DEPTH
     least = threshold - SURE
@@ -169,7 +180,7 @@ def _neighbours(threshold: float, nearest: int):
                 fresh = len(tail[0])
                 key = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, prefix)
                 group = np.unique(np.array(roots, object), return_inverse=True)[1]
-                found: dict[str, list] = {"a": [], "b": [], "root_a": [], "root_b": [], "estimate": []}
+                pairs = []
                 for back in range(1, min(nearest, len(keys) - 1) + 1):
                     late = np.arange(max(back, fresh), len(keys))
                     late = late[(key[late] == key[late - back]).all(axis=1) & (group[late] != group[late - back])]
@@ -177,13 +188,18 @@ def _neighbours(threshold: float, nearest: int):
                         continue
                     share = (few[late] == few[late - back]).mean(axis=1)
                     estimate = (share - 1 / 256) / (1 - 1 / 256)
-                    for i, e in zip(late[estimate >= least], estimate[estimate >= least], strict=True):
-                        x, y = (i, i - back) if names[i] > names[i - back] else (i - back, i)
-                        for column, value in zip(found, (names[x], names[y], roots[x], roots[y], float(e)), strict=True):
-                            found[column].append(value)
+                    good = estimate >= least
+                    pairs.append((late[good], late[good] - back, estimate[good]))
                 tail = (keys[-nearest:], names[-nearest:], roots[-nearest:], few[-nearest:])
-                if found["a"]:
-                    yield pa.RecordBatch.from_pydict({c: pa.array(v, pa.float64() if c == "estimate" else pa.binary()) for c, v in found.items()})
+                if pairs:
+                    x, y, e = likely(*(np.concatenate(c) for c in zip(*pairs, strict=True)), group)
+                    if len(x):
+                        swap = [names[i] < names[j] for i, j in zip(x, y, strict=True)]
+                        a, b = np.where(swap, y, x), np.where(swap, x, y)
+                        columns = [[names[i] for i in a], [names[i] for i in b], [roots[i] for i in a], [roots[i] for i in b]]
+                        yield pa.RecordBatch.from_arrays(
+                            [*[pa.array(c, pa.binary()) for c in columns], pa.array(e)], names=["a", "b", "root_a", "root_b", "estimate"]
+                        )
 
     return run
 
