@@ -33,29 +33,29 @@ BASE = {"under the mit license": "mit", "apache license version 2": "apache-2",
 #: Licence families: label, SPDX words, pattern of the name over normalised words, a keyword every match holds.
 FAMILIES = (
     ("mit", "mit", "(?:the )?(?:mit|expat|x11) licen[sc]e", "licen"),
-    ("apache-2", "apache 2 0", "apache (?:software )?(?:licen[sc]e )?(?:version |v )?(?:2 0|2)(?! [1-9])", "apache"),
-    ("apache-1.1", "apache 1 1", "apache (?:software )?licen[sc]e (?:version |v )?1 1", "apache"),
-    ("gpl-2", "gpl 2 0", "gnu (?:general public licen[sc]e|gpl) (?:version |v )?2|gplv2|gpl (?:version |v )?2", "g"),
-    ("gpl-3", "gpl 3 0", "gnu (?:general public licen[sc]e|gpl) (?:version |v )?3|gplv3|gpl (?:version |v )?3", "g"),
+    ("apache-2", "apache 2 0", "apache (?:software )?(?:licen[sc]e )?(?:version |v ?)?(?:2 0|2)(?! [1-9])", "apache"),
+    ("apache-1.1", "apache 1 1", "apache (?:software )?licen[sc]e (?:version |v ?)?1 1", "apache"),
+    ("gpl-2", "gpl 2 0", "gnu (?:general public licen[sc]e|gpl) (?:version |v ?)?2|gplv2|gpl (?:version |v ?)?2", "g"),
+    ("gpl-3", "gpl 3 0", "gnu (?:general public licen[sc]e|gpl) (?:version |v ?)?3|gplv3|gpl (?:version |v ?)?3", "g"),
     ("gpl", "gpl", "gnu (?:general public licen[sc]e|gpl)", "gnu"),
-    ("lgpl-2.1", "lgpl 2 1", "gnu lesser general public licen[sc]e (?:version |v )?2 1|lgplv?2 1|lgpl (?:version |v )?2 1", "l"),
-    ("lgpl-3", "lgpl 3 0", "gnu lesser general public licen[sc]e (?:version |v )?3|lgplv3|lgpl (?:version |v )?3", "l"),
+    ("lgpl-2.1", "lgpl 2 1", "gnu lesser general public licen[sc]e (?:version |v ?)?2 1|lgplv?2 1|lgpl (?:version |v ?)?2 1", "l"),
+    ("lgpl-3", "lgpl 3 0", "gnu lesser general public licen[sc]e (?:version |v ?)?3|lgplv3|lgpl (?:version |v ?)?3", "l"),
     ("lgpl", "lgpl", "gnu (?:lesser|library) general public licen[sc]e|lgpl", "l"),
-    ("agpl-3", "agpl 3 0", "(?:gnu )?affero general public licen[sc]e|agplv?3|agpl (?:version |v )?3", "a"),
+    ("agpl-3", "agpl 3 0", "(?:gnu )?affero general public licen[sc]e|agplv?3|agpl (?:version |v ?)?3", "a"),
     ("bsd-2", "bsd 2 clause", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: licen[sc]e)?", "bsd"),
     ("bsd-3", "bsd 3 clause", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: licen[sc]e)?", "bsd"),
     ("bsd-4", "bsd 4 clause", "(?:bsd 4 clause|4 clause bsd|original bsd)(?: licen[sc]e)?", "bsd"),
     ("bsd", "bsd", "bsd(?: style)? licen[sc]e", "bsd"),
     ("0bsd", "0bsd", "0bsd|zero clause bsd", "bsd"),
     ("isc", "isc", "isc licen[sc]e", "isc"),
-    ("mpl-1.1", "mpl 1 1", "mozilla public licen[sc]e (?:version |v )?1 1", "mozilla"),
+    ("mpl-1.1", "mpl 1 1", "mozilla public licen[sc]e (?:version |v ?)?1 1", "mozilla"),
     ("mpl-2", "mpl 2 0", "mozilla public licen[sc]e(?: version| v)? 2 0|mpl 2 0", "m"),
-    ("epl-1", "epl 1 0", "eclipse public licen[sc]e (?:version |v )?1 0", "eclipse"),
-    ("epl-2", "epl 2 0", "eclipse public licen[sc]e (?:version |v )?2 0", "eclipse"),
+    ("epl-1", "epl 1 0", "eclipse public licen[sc]e (?:version |v ?)?1 0", "eclipse"),
+    ("epl-2", "epl 2 0", "eclipse public licen[sc]e (?:version |v ?)?2 0", "eclipse"),
     ("cddl-1", "cddl 1 0", "common development and distribution licen[sc]e|cddl", "c"),
     ("cpl-1", "cpl 1 0", "common public licen[sc]e", "common public"),
-    ("artistic-1", "artistic 1 0", "artistic licen[sc]e (?:version |v )?1 0", "artistic"),
-    ("artistic-2", "artistic 2 0", "artistic licen[sc]e (?:version |v )?2 0", "artistic"),
+    ("artistic-1", "artistic 1 0", "artistic licen[sc]e (?:version |v ?)?1 0", "artistic"),
+    ("artistic-2", "artistic 2 0", "artistic licen[sc]e (?:version |v ?)?2 0", "artistic"),
     ("perl", "perl", "same terms as perl(?: itself)?", "perl"),
     ("zlib", "zlib", "zlib(?: libpng)? licen[sc]e", "zlib"),
     ("boost-1", "bsl 1 0", "boost software licen[sc]e", "boost"),
