@@ -16,11 +16,12 @@ from care_episodes.operators.progression import daily_outcomes, progression_epis
 from care_episodes.session import materialize
 from care_episodes.sources.cdm import (
     Tables,
-    extract_timing,
+    extract_listed,
     filter_reproductive_age,
+    outcome_rows,
     repair_epoch_shift,
     select_persons,
-    union_domains,
+    timing_rows,
 )
 from care_episodes.sources.rule_files import enrich_domains, unmapped_concepts
 
@@ -52,17 +53,17 @@ def rules_with_domains(tables: Tables, rules: Rules) -> Rules:
 
 
 def extract_cohort(tables: Tables, rules: Rules, config: EpisodeConfig, store: bool = True) -> Cohort:
-    """Extract once.  With `store` the extracted rows are written to the shared folder, because
-    five later steps read them; what is written is the listed concepts only."""
+    """Extract in one pass over the clinical tables.  With `store` the extracted rows are written
+    to the shared folder, because five later steps read them; what is written is the listed
+    concepts only."""
     persons = select_persons(tables["person"], config)
     if store:
         persons = materialize(persons)
     rules = rules_with_domains(tables, rules)
-    events = union_domains(tables, rules, persons)
-    timing = extract_timing(tables, rules, persons, config)
+    listed = extract_listed(tables, rules, persons, config)
     if store:
-        events, timing = materialize(events), materialize(timing)
-    return Cohort(persons, events, timing)
+        listed = materialize(listed)
+    return Cohort(persons, outcome_rows(listed), timing_rows(listed, config))
 
 
 def outcome_stage(cohort: Cohort, rules: Rules, config: EpisodeConfig) -> DataFrame:

@@ -185,6 +185,9 @@ def _events(table: DataFrame, domain: Domain) -> DataFrame:
     )
 
 
+_LIST_COLUMNS = (("concept_name", "string"), ("category", "string"), ("gest_value", "double"))
+
+
 def _listed(tables: Tables, domain: Domain, concepts: DataFrame) -> DataFrame:
     """Rows of one domain whose concept is on the list, with the columns of the list."""
     listed = concepts_of_domain(concepts, domain.name).select(
@@ -236,6 +239,57 @@ def union_domains(tables: Tables, rules: Rules, persons: DataFrame) -> DataFrame
     return _of_persons(out, persons)
 
 
+def extract_listed(
+    tables: Tables, rules: Rules, persons: DataFrame, config: EpisodeConfig
+) -> DataFrame:
+    """P4 and P6 in one pass: every clinical table is scanned once and joined with both code lists.
+
+    `listed_outcome` and `listed_timing` tell which list a row is on; `outcome_rows` and
+    `timing_rows` take the two results apart again.
+    """
+    timing = rules.timing_concepts.select(
+        "concept_id", *[F.lit(None).cast(t).alias(c) for c, t in _LIST_COLUMNS], "min_month", "max_month",
+        F.lit(False).alias("listed_outcome"), F.lit(True).alias("listed_timing"),
+    )
+    out = None
+    for domain in DOMAINS:
+        codes = concepts_of_domain(rules.outcome_concepts, domain.name).select(
+            "concept_id", *[c for c, _ in _LIST_COLUMNS],
+            *[F.lit(None).cast("double").alias(c) for c in ("min_month", "max_month")],
+            F.lit(True).alias("listed_outcome"), F.lit(False).alias("listed_timing"),
+        )
+        if domain.name != "Measurement" or config.timing_from_measurement:
+            # A row per concept: both lists hold a concept once.
+            codes = codes.unionByName(timing)
+            codes = codes.groupBy("concept_id").agg(*[F.max(c).alias(c) for c in codes.columns[1:]])
+        part = _events(tables[domain.table], domain).join(codes, "concept_id")
+        out = part if out is None else out.unionByName(part)
+    return _of_persons(out, persons)
+
+
+def outcome_rows(listed: DataFrame) -> DataFrame:
+    """P6 from rows extracted in one pass."""
+    return listed.filter("listed_outcome").select(
+        "person_id", "concept_id", "event_date", "domain", "concept_name", "category",
+        "gest_value", "value_as_number", "value_as_string",
+    )
+
+
+def timing_rows(listed: DataFrame, config: EpisodeConfig) -> DataFrame:
+    """P4 from rows extracted in one pass."""
+    return _with_months(listed.filter("listed_timing"), config)
+
+
+def _with_months(timing: DataFrame, config: EpisodeConfig) -> DataFrame:
+    if not config.fractional_months:
+        for c in ("min_month", "max_month"):
+            timing = timing.withColumn(c, F.col(c).cast("int").cast("double"))
+    return timing.select(
+        "person_id", "concept_id", "event_date", F.col("domain").alias("domain_name"),
+        "value_as_number", "value_as_string", "min_month", "max_month",
+    )
+
+
 def extract_timing(
     tables: Tables, rules: Rules, persons: DataFrame, config: EpisodeConfig
 ) -> DataFrame:
@@ -247,13 +301,7 @@ def extract_timing(
             continue
         part = _events(tables[domain.table], domain).join(months, "concept_id")
         out = part if out is None else out.unionByName(part)
-    if not config.fractional_months:
-        for c in ("min_month", "max_month"):
-            out = out.withColumn(c, F.col(c).cast("int").cast("double"))
-    return _of_persons(out, persons).select(
-        "person_id", "concept_id", "event_date", F.col("domain").alias("domain_name"),
-        "value_as_number", "value_as_string", "min_month", "max_month",
-    )
+    return _with_months(_of_persons(out, persons), config)
 
 
 def filter_reproductive_age(
