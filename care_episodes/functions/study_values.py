@@ -59,3 +59,17 @@ STATES = {
     "AS": "American Samoa", "MP": "Northern Mariana Islands", "MH": "Marshall Islands", "PW": "Palau",
     "FM": "Federated States of Micronesia",
 }
+
+# Labels of outcomes in tables; induced and spontaneous abortions share one.
+OUTCOME_LABELS = {
+    "LB": "Live birth", "PREG": "Missing outcome", "DELIV": "Delivery record only", "AB": "Abortion", "SA": "Abortion",
+    "SB": "Stillbirth", "ECT": "Ectopic pregnancy",
+}
+
+# Survey columns taken over as they are but for non-answers, and the columns made of them (names as delivered).
+PLAIN_ANSWERS = {
+    "insurance_insurnaceaccepted": "insurance_accepted_cat",
+    "insurance_healthcarecoverage": "health_coverage_cat",
+    "healthadvice_placeforhealthadvice": "advice_place_cat",
+    "healthadvice_whatkindofplace": "advice_kind_cat",
+}

@@ -134,6 +134,8 @@ def recode_demographics(df: DataFrame) -> DataFrame:
         "education": ("edu_cat", _recode(c("education"), sv.EDUCATION)),
         "marital_status": ("marital_status_cat", _recode(c("marital_status"), sv.MARITAL_STATUS)),
         "state_of_residence": ("state_cat", lookup(c("state_of_residence"), sv.STATES)),
+        "final_outcome_category": ("outcome_label", lookup(c("final_outcome_category"), sv.OUTCOME_LABELS)),
+        **{source: (name, _recode(c(source), {})) for source, name in sv.PLAIN_ANSWERS.items() if source in df.columns},
     }
     out = df.withColumns({name: col for source, (name, col) in made.items() if source in df.columns})
     if "race_eth" in df.columns:
