@@ -132,6 +132,17 @@ def drop_long_episodes(assigned: DataFrame) -> DataFrame:
     )
 
 
+def of_records(timing: DataFrame, runs: DataFrame, *columns: str) -> DataFrame:
+    """G2-G4 per record: each timing record with `columns` of the run it lies in; records of dropped runs are left out.
+
+    Runs of a person do not overlap, so a record has one at most.
+    """
+    bounds = runs.select("person_id", F.col("first_day").alias("_first"), F.col("last_day").alias("_last"), *columns)
+    records = timing.withColumn("_day", day_of(F.col("event_date")))
+    joined = points_in_intervals(bounds, records, ["person_id"], F.col("_first"), F.col("_last"), "_day", BLOCK_GAP)
+    return joined.select(*timing.columns, *columns)
+
+
 def progression_bounds(assigned: DataFrame) -> DataFrame:
     """Dates, month range, distinct concepts and records of each episode."""
     bounds = assigned.groupBy("person_id", "person_episode_number").agg(

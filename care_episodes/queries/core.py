@@ -665,6 +665,22 @@ def g4_drop_long_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _short_episodes(spark, sf_dir).select("person_id", "run", "person_episode_number", "n")
 
 
+_RECORD = "person_id, concept_id, event_date, min_month, max_month"
+
+
+@register("g3_record_episodes", f"SELECT {_RECORD}, run, raw_episode AS person_episode_number FROM assigned")
+def g3_record_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned = progression.assign_progression_episodes(_runs(spark, sf_dir))
+    records = progression.of_records(_eligible(spark, sf_dir), assigned, "run", "person_episode_number")
+    return records.select(*_RECORD.split(", "), "run", "person_episode_number")
+
+
+@register("g4_record_episodes", f"SELECT {_RECORD}, person_episode_number FROM short_episodes")
+def g4_record_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = progression.of_records(_eligible(spark, sf_dir), _short_episodes(spark, sf_dir), "person_episode_number")
+    return records.select(*_RECORD.split(", "), "person_episode_number")
+
+
 _BOUNDS = """person_id, person_episode_number, min_date, max_date, earliest_month, latest_month, n_gt_concepts AS "n_GT_concepts",
   n_records, day_date(floor(expected_end_day)) expected_end_date"""
 
