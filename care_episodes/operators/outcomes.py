@@ -219,6 +219,12 @@ def gestation_only_episodes(gestation: DataFrame) -> DataFrame:
     )
 
 
+def each_copy(episodes: DataFrame) -> DataFrame:
+    """H8: one row per episode, where equal ones are carried as `n_copies`."""
+    copies = F.sequence(F.lit(1).cast("bigint"), F.col("n_copies"))
+    return episodes.withColumn("_copy", F.explode(copies)).drop("_copy", "n_copies")
+
+
 def add_gestation_only(episodes: DataFrame, gestation_only: DataFrame) -> DataFrame:
     """H8: add gestation-only episodes whose date is not the outcome date of another episode."""
     known = episodes.select(

@@ -542,15 +542,12 @@ def h7_attach_gestation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "h8_gestation_only_episodes",
-    """SELECT person_id, day_date(floor(outcome_day)) outcome_date, gestational_weeks, n_gest_records, count(*) episodes
-FROM gest_only GROUP BY ALL""",
+    "SELECT person_id, day_date(floor(outcome_day)) outcome_date, gestational_weeks, n_gest_records FROM gest_only",
 )
 def h8_gestation_only_episodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     gestation = outcomes.gestation_records(stages(spark, sf_dir).cohort.events)
-    return (
-        outcomes.gestation_only_episodes(gestation)
-        .groupBy("person_id", dates.date_of(F.col("outcome_day")).alias("outcome_date"), "gestational_weeks", "n_gest_records")
-        .agg(F.sum("n_copies").alias("episodes"))
+    return outcomes.each_copy(outcomes.gestation_only_episodes(gestation)).select(
+        "person_id", dates.date_of(F.col("outcome_day")).alias("outcome_date"), "gestational_weeks", "n_gest_records"
     )
 
 
