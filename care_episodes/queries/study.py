@@ -268,7 +268,7 @@ ORIENTATIONS = ("Straight", "Gay", "Lesbian", "Bisexual, Gay", "Gay, Straight",
 MARITAL = ("Married", "LivingWithPartner", "Divorced", "NeverMarried", "Widowed", "PreferNotToAnswer", "Separated")
 STATE_CODES = ("NY", "CA", "TX", "DC", "PR", "FM", "XX")
 ADVICE = ("Yes", "No", "Skip", "DontKnow")
-OUTCOMES = ("LB", "SB", "ECT", "AB", "SA", "DELIV", "PREG")
+OUTCOME_CODES = ("LB", "SB", "ECT", "AB", "SA", "DELIV", "PREG")
 
 
 def _pick(key: str, values: tuple[str, ...]) -> str:
@@ -291,7 +291,7 @@ _ORIENTATION = "(CASE WHEN o LIKE '%Bisexual%' THEN 'Bisexual' WHEN o LIKE '%Gay
   {_mapped('income', sv.INCOME)} income_cat, {_mapped('education', sv.EDUCATION)} edu_cat, {_mapped(_GENDER, {'-': '-'})} gender_cat,
   {_mapped(_ORIENTATION, {'-': '-'})} orientation_cat, {_mapped('m', sv.MARITAL_STATUS)} marital_status_cat, {oracle._case('st', sv.STATES)} state_cat,
   {oracle._case('oc', sv.OUTCOME_LABELS)} outcome_label, {', '.join(f"{_mapped('adv', {'-': '-'})} {c}" for c in sv.PLAIN_ANSWERS.values())}
-FROM (SELECT *, {_pick('person_id', ADVICE)} AS adv, {_pick('person_id', OUTCOMES)} AS oc, {_pick('person_id', GENDERS)} AS g, {_pick('person_id', ORIENTATIONS)} AS o, {_pick('person_id', MARITAL)} AS m,
+FROM (SELECT *, {_pick('person_id', ADVICE)} AS adv, {_pick('person_id', OUTCOME_CODES)} AS oc, {_pick('person_id', GENDERS)} AS g, {_pick('person_id', ORIENTATIONS)} AS o, {_pick('person_id', MARITAL)} AS m,
   {_pick('person_id', STATE_CODES)} AS st FROM survey_person)""",
 )
 def k4_recode_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,7 +301,7 @@ def k4_recode_demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = survey_person(spark, sf_dir).withColumns(
         {
             "gender": pick(GENDERS), "sexual_orientation": pick(ORIENTATIONS), "marital_status": pick(MARITAL),
-            "state_of_residence": pick(STATE_CODES), "final_outcome_category": pick(OUTCOMES),
+            "state_of_residence": pick(STATE_CODES), "final_outcome_category": pick(OUTCOME_CODES),
             **{c: pick(ADVICE) for c in sv.PLAIN_ANSWERS},
         }
     )
