@@ -56,9 +56,13 @@ def clean_outcome_concepts(raw: DataFrame) -> DataFrame:
 def load_outcome_concepts(spark: SparkSession, path: str) -> DataFrame:
     """Outcome code list from a file, with a warning for categories nobody knows."""
     out = clean_outcome_concepts(_read(spark, path))
-    unknown = unknown_categories(out).agg(F.count(F.lit(1)), F.sum("concepts")).first()
-    if unknown[0]:
-        warnings.warn(f"{unknown[0]} unexpected outcome categories on {unknown[1]} concepts, see unknown_categories()", stacklevel=2)
+    unknown = unknown_categories(out)
+    found = unknown.agg(F.count(F.lit(1)), F.sum("concepts"), F.min("category")).first()
+    if found[0]:
+        warnings.warn(
+            f"{found[0]} unexpected outcome categories on {found[1]} concepts, {found[2]} for one; unknown_categories() lists all",
+            stacklevel=2,
+        )
     return out
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from care_episodes.config import EpisodeConfig
 from care_episodes.functions import dates, rules as r
 from care_episodes.functions.fixed_values import SPACING, TIMING_CONCEPTS
-from care_episodes.operators import dating, merge, report
+from care_episodes.functions.rules import Rules
+from care_episodes.operators import dating, merge, report, stats
 from care_episodes.session import materialize, small_table
 from care_episodes.sources import cdm, rule_files, sinks
 from tests.helpers import CONFIG, d, episodes, events, rules
@@ -207,3 +208,76 @@ def test_fractional_months_on_request(spark):
     assert [(x.min_month, x.max_month) for x in cut] == [(3.0, 5.0)]
     exact = cdm.extract_timing(tables, concepts, persons, EpisodeConfig(fractional_months=True, timing_from_measurement=True))
     assert sorted((x.domain_name, x.min_month) for x in exact.collect()) == [("Condition", 3.75), ("Measurement", 3.75)]
+
+
+class _StandInReader:
+    """Records what a database reader is asked for."""
+
+    def __init__(self, log):
+        self.log, self.asked = log, {}
+
+    def format(self, name):
+        self.asked["format"] = name
+        return self
+
+    def option(self, name, value):
+        return self.options(**{name: value})
+
+    def options(self, **more):
+        self.asked |= more
+        return self
+
+    def load(self):
+        if {"query", "dbtable"} <= set(self.asked):
+            raise ValueError("both query and dbtable")
+        self.log.append(self.asked)
+        return self
+
+    def first(self):
+        return 1, 90
+
+
+class _StandInSession:
+    def __init__(self):
+        self.log = []
+
+    @property
+    def read(self):
+        return _StandInReader(self.log)
+
+
+def test_database_tables_get_a_reader_each():
+    session = _StandInSession()
+    found = cdm.read_cdm(session, "jdbc:x", tables=("person", "concept"), fmt="jdbc", jdbc={"schema": "s", "user": "u"}, partitions=4)
+    bounds, person, concept = session.log
+    assert "query" in bounds and "dbtable" not in bounds
+    assert person["dbtable"] == "s.person" and person["partitionColumn"] == "person_id" and person["upperBound"] == 91
+    assert concept["dbtable"] == "s.concept" and "partitionColumn" not in concept and "query" not in concept
+    assert set(found) == {"person", "concept"} and all(x["user"] == "u" for x in session.log)
+
+
+def test_timing_span_uses_the_months_of_the_records(spark):
+    timing = spark.createDataFrame([(1, "a", 3.75, 4.0, "Medium"), (2, "b", 9.0, 9.0, "Medium")], "concept_id long, concept_name string, min_month double, max_month double, certainty string")
+    bundle = Rules(outcome_concepts=timing.limit(0), timing_concepts=timing)
+    assert bundle.timing_span_days() == 240 and bundle.timing_span_days(fractional_months=True) == 218
+
+
+def test_unknown_categories_are_counted(spark):
+    rows = [(k, "x", f"category {k % 30}") for k in range(60)]
+    concepts = rule_files.clean_outcome_concepts(spark.createDataFrame(rows, "concept_id long, concept_name string, category string").withColumn("domain_name", F.lit("Condition")))
+    assert {r["concepts"] for r in rule_files.unknown_categories(concepts).collect()} == {2}
+    assert rule_files.unknown_categories(concepts).count() == 30
+
+
+def test_two_digit_years(spark):
+    df = spark.createDataFrame([("01-02-03",), ("70-02-03",), ("2001/2/3",), ("02-03-2001",)], "d string")
+    assert [str(r["d"]) for r in dates.parse_dates(df, "d").collect()] == ["2001-02-03", "1970-02-03", "2001-02-03", "2001-02-03"]
+
+
+def test_rate_limits_of_many_rows_and_no_convergence(spark):
+    rates = spark.range(20_000).selectExpr("id", "id % 7 AS events", "CAST(id % 3 AS double) AS person_years")
+    found = stats.incidence_rate_ci(rates).where("person_years > 0 AND events = 0").agg(F.min("rate_low"), F.count("*")).first()
+    assert found[0] == 0 and found[1] > 1000
+    separated = spark.createDataFrame([(x, int(x > 5)) for x in range(10)], "x int, y int")
+    with pytest.raises((RuntimeError, ValueError)):
+        stats.logistic_or(separated, "y", ["x"], max_steps=5)
