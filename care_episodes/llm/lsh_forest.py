@@ -10,7 +10,7 @@ its whole word sequence if that is shorter.  Two documents are linked when 100 *
 3. The others are sorted in all trees at once over the cluster, and each one is compared with the nearest classes before it
    in the order that share a prefix.  In a thin region these are all classes of the prefix; in a thick one the nearest have
    the longest common prefixes, so the depth adapts to the region and the work stays linear in its size.
-4. Candidates whose estimate from 8-bit minhashes is too low are dropped (5 standard deviations below the threshold).
+4. Candidates whose estimate from 8-bit minhashes is too low are dropped (4 standard deviations below the threshold).
 5. Two rounds: first the very nearest classes in every order, of which each class confirms its best on the full sets; then the
    orders once more with the components found, where classes of one component are no candidates for each other and thick
    regions have thinned out.  All candidates of the second round are confirmed on the full sets.  A confirmed link never joins
@@ -44,11 +44,11 @@ TREES, DEPTH, MIN_DEPTH = 20, 8, 2
 HASHES = TREES * DEPTH
 #: Classes before a class in the order that it is compared with, in the two rounds.
 NEAREST = (2, 64)
-#: A pair at the threshold falls below this estimate with a chance of about 1 in 4 million.
-SURE = 0.17
-#: Of the candidates that would join a class to one component, those count whose estimate is this near to the best one's (two
-#: standard deviations): in a thick region a class has many, and one link is enough.
-LIKELY = 0.07
+#: A pair at the threshold falls below this estimate with a chance of about 1 in 30,000 (4 standard deviations).
+SURE = 0.137
+#: Of the candidates that would join a class to one component, those count whose estimate is this near to the best one's (nearly
+#: two standard deviations): in a thick region a class has many, and one link is enough.
+LIKELY = 0.06
 
 _RANDOM = np.random.default_rng(20_240_517)
 _FACTORS = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -152,8 +152,18 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def likely(x: np.ndarray, y: np.ndarray, estimate: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs that come near the best estimate between a class and a component, seen from either side."""
+def likely(x: np.ndarray, y: np.ndarray, estimate: np.ndarray, group: np.ndarray, first_round: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that come near the best estimate between a class and a component, seen from either side.
+
+    Before components are known each class only asks for its best pair.
+    """
+    if first_round:
+        keep = np.zeros(len(x), bool)
+        for own in (x, y):
+            best = np.zeros(int(own.max()) + 1 if len(own) else 0)
+            np.maximum.at(best, own, estimate)
+            keep |= estimate >= best[own]
+        return x[keep], y[keep], estimate[keep]
     keep = np.ones(len(x), bool)
     for own, other in ((x, y), (y, x)):
         which = np.unique(np.stack([own, group[other]], axis=1), axis=0, return_inverse=True)[1].ravel()
@@ -163,7 +173,7 @@ def likely(x: np.ndarray, y: np.ndarray, estimate: np.ndarray, group: np.ndarray
     return x[keep], y[keep], estimate[keep]
 
 
-def _neighbours(threshold: float, nearest: int):
+def _neighbours(threshold: float, nearest: int, first_round: bool):
     prefix = 1 + 4 * MIN_DEPTH
     least = threshold - SURE
 
@@ -192,7 +202,7 @@ def _neighbours(threshold: float, nearest: int):
                     pairs.append((late[good], late[good] - back, estimate[good]))
                 tail = (keys[-nearest:], names[-nearest:], roots[-nearest:], few[-nearest:])
                 if pairs:
-                    x, y, e = likely(*(np.concatenate(c) for c in zip(*pairs, strict=True)), group)
+                    x, y, e = likely(*(np.concatenate(c) for c in zip(*pairs, strict=True)), group, first_round)
                     if len(x):
                         swap = [names[i] < names[j] for i, j in zip(x, y, strict=True)]
                         a, b = np.where(swap, y, x), np.where(swap, x, y)
@@ -219,7 +229,7 @@ def candidates(met: DataFrame, roots: DataFrame | None, threshold: float, neares
     else:
         named = met.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "signature", F.coalesce("root", "set_id").alias("root"))
     ordered = named.mapInArrow(_orders, "place binary, set_id binary, root binary, sketch binary").orderBy("place", "set_id")
-    pairs = ordered.mapInArrow(_neighbours(threshold, nearest), "a binary, b binary, root_a binary, root_b binary, estimate double")
+    pairs = ordered.mapInArrow(_neighbours(threshold, nearest, roots is None), "a binary, b binary, root_a binary, root_b binary, estimate double")
     for own, other in (("a", "root_b"), ("b", "root_a")):  # at most TREES * nearest rows for each class
         best = F.max("estimate").over(Window.partitionBy(own, other))
         pairs = pairs.withColumn("best", best).where(F.col("estimate") >= F.col("best") - LIKELY)
