@@ -7,17 +7,17 @@ its whole word sequence if that is shorter.  Two documents are linked when 100 *
 2. Every class gets `TREES * DEPTH` minhashes.  A tree sorts the classes by its own `DEPTH` minhashes; two classes with a
    common prefix of `MIN_DEPTH` values are neighbours of some depth.  Classes that meet no other class at that depth in any
    tree cannot have a candidate and leave early.
-3. The others are sorted in all trees at once over the cluster, and each one is compared with the nearest classes before it
-   in the order that share a prefix.  In a thin region these are all classes of the prefix; in a thick one the nearest have
-   the longest common prefixes, so the depth adapts to the region and the work stays linear in its size.
-4. Candidates whose estimate from 8-bit minhashes is too low are dropped (4 standard deviations below the threshold).
-5. Two rounds: first the very nearest classes in every order, of which each class confirms its best on the full sets; then the
-   orders once more with the components found, where classes of one component are no candidates for each other and thick
-   regions have thinned out.  All candidates of the second round are confirmed on the full sets.  A confirmed link never joins
-   two documents below the threshold.
-
-A pair at the threshold shares a prefix of 2 in a tree with probability 0.56, so the 20 trees miss it with 6e-8 where
-regions are thin; tests and README measure the recall against brute force.
+3. Two quick rounds join most copies: the others are sorted in all trees at once over the cluster, each one is compared with
+   the `NEAREST` classes before it in the order that share a prefix, and the likeliest pairs are confirmed on the full sets.
+4. The whole round: every class is compared with all classes that share a prefix of `MIN_DEPTH` values with it in some tree and
+   are not of its component.  A region of more than `CELL` classes is cut into blocks, and each pair of blocks is a cell of its
+   own, so a thick region is dealt out and costs the square of its classes in comparisons.
+5. Candidates whose estimate from 8-bit minhashes is too low are dropped (4 standard deviations below the threshold).  The
+   others are confirmed on the full sets, the best of each class and component first, then more of those that are still apart,
+   until no unconfirmed candidate joins two components.  A confirmed link never joins two documents below the threshold.
+
+A pair at the threshold shares a prefix of 2 in a tree with probability 0.56, so the 20 trees miss it with 6e-8; tests and
+README measure the recall against brute force.
 
 Defined results: null and empty texts and texts without words have an empty set, n_shingles 0, and are linked with nothing:
 component_id is their own doc_id.  Rows that repeat a doc_id are rows of their own; their component is named by the smallest
@@ -26,6 +26,8 @@ doc_id in it.  A null doc_id never names a component unless it has no other id.
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,13 +44,19 @@ from care_episodes.session import materialize
 WIDTH = 5
 TREES, DEPTH, MIN_DEPTH = 20, 8, 2
 HASHES = TREES * DEPTH
-#: Classes before a class in the order that it is compared with, in the two rounds.
+#: Classes before a class in the order that it is compared with, in the two quick rounds.
 NEAREST = (2, 64)
 #: A pair at the threshold falls below this estimate with a chance of about 1 in 30,000 (4 standard deviations).
 SURE = 0.137
-#: Of the candidates that would join a class to one component, those count whose estimate is this near to the best one's (nearly
-#: two standard deviations): in a thick region a class has many, and one link is enough.
+#: In the quick rounds, of the candidates that would join a class to one component, those are tried whose estimate is this near
+#: to the best one's.
 LIKELY = 0.06
+#: Classes of a block of a region.
+CELL = 1000
+#: Sets of a block when pairs are confirmed, and pairs of two blocks at least where there are few.
+BLOCK_SETS, CELL_PAIRS = 500, 200
+#: Candidates of a class and a component that are confirmed at once; each round takes so many times more.
+MORE = 16
 
 _RANDOM = np.random.default_rng(20_240_517)
 _FACTORS = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -119,17 +127,22 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def prefixes_of(signatures: pa.Array) -> np.ndarray:
+    """(classes, TREES) hashes of the prefix a neighbour must share."""
+    raw = np.frombuffer(b"".join(signatures.to_pylist()), np.uint32).reshape(-1, TREES, DEPTH).astype(np.uint64)
+    prefix = (raw[:, :, 0] << np.uint64(32)) | raw[:, :, 1]
+    return mixed(prefix + np.arange(TREES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
 def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each class and tree: the prefix a neighbour must share."""
     for batch in batches:
         for start in range(0, batch.num_rows, 2000):
             part = batch.slice(start, 2000)
             n = part.num_rows
-            raw = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(n, TREES, DEPTH).astype(np.uint64)
-            prefix = (raw[:, :, 0] << np.uint64(32)) | raw[:, :, 1]
-            prefix = mixed(prefix + np.arange(TREES, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            prefix = prefixes_of(part.column(1))
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(np.repeat(np.arange(n), TREES))), pa.array(prefix.ravel().view(np.int64))],
+                [part.column(0).take(pa.array(np.repeat(np.arange(n), TREES))), pa.array(prefix.ravel())],
                 names=["set_id", "prefix"],
             )
 
@@ -214,6 +227,77 @@ def _neighbours(threshold: float, nearest: int, first_round: bool):
     return run
 
 
+def _apart(threshold: float):
+    least = threshold - SURE
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All pairs within a cell that are of two components, in the first tree where they meet; rows come cell by cell."""
+        held: list[pa.RecordBatch] = []
+        for batch in itertools.chain(batches, [None]):
+            last = batch is None
+            held += [] if last else [batch]
+            if not sum(b.num_rows for b in held):
+                continue
+            part = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            cells = np.stack([part.column(k).to_numpy() for k in range(3)], axis=1)
+            fresh = np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1
+            end = part.num_rows if last else int(fresh[-1]) if len(fresh) else 0
+            held = [part.slice(end)]  # the last cell may go on
+            if not end:
+                continue
+            cell = np.searchsorted(fresh, np.arange(end), side="right")
+            within = cells[:end, 1] == cells[:end, 2]
+            tree, block = part.column(3).to_numpy()[:end], part.column(4).to_numpy()[:end]
+            names = part.column(5).slice(0, end)
+            group = part.column(6).slice(0, end).dictionary_encode().indices.to_numpy()
+            few = np.frombuffer(b"".join(part.column(7).slice(0, end).to_pylist()), np.uint8).reshape(end, HASHES)
+            prefixes = np.frombuffer(b"".join(part.column(8).slice(0, end).to_pylist()), np.int64).reshape(end, TREES)
+            late, back = np.arange(end), 0
+            found: list[tuple] = []
+            size = 0
+            while True:
+                back += 1
+                late = late[late >= back]
+                late = late[cell[late] == cell[late - back]]
+                if len(late):
+                    x = late[(group[late] != group[late - back]) & (within[late] | (block[late] != block[late - back]))]
+                    share = (few[x] == few[x - back]).mean(axis=1)
+                    estimate = (share - 1 / 256) / (1 - 1 / 256)
+                    good = estimate >= least
+                    x, estimate = x[good], estimate[good]
+                    earlier = (prefixes[x] == prefixes[x - back]) & (np.arange(TREES) < tree[x][:, None])
+                    new = ~earlier.any(axis=1)
+                    found.append((x[new], x[new] - back, estimate[new]))
+                    size += len(found[-1][0])
+                if found and (size > 20_000 or not len(late)):
+                    x, y, e = (np.concatenate(c) for c in zip(*found, strict=True))
+                    found, size = [], 0
+                    if len(x):
+                        yield pa.RecordBatch.from_arrays([names.take(pa.array(x)), names.take(pa.array(y)), pa.array(e)], names=["x", "y", "estimate"])
+                if not len(late):
+                    break
+
+    return run
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each class: the prefixes of all its trees, also in bytes, and 8 bits of every minhash."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 2000):
+            part = batch.slice(start, 2000)
+            prefix = prefixes_of(part.column(1))
+            few = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint32).reshape(-1, HASHES).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0),
+                    pa.array(list(prefix), pa.list_(pa.int64())),
+                    pa.array([p.tobytes() for p in prefix], pa.binary()),
+                    pa.array([f.tobytes() for f in few], pa.binary()),
+                ],
+                names=["set_id", "list", "prefixes", "sketch"],
+            )
+
+
 def meeting(classes: DataFrame) -> DataFrame:
     """The classes that share a prefix with another one in some tree."""
     entries = classes.select("set_id", "signature").mapInArrow(_entries, "set_id binary, prefix long")
@@ -236,13 +320,86 @@ def candidates(met: DataFrame, roots: DataFrame | None, threshold: float, neares
     return materialize(pairs.groupBy("a", "b").agg(F.max("estimate").alias("estimate")))
 
 
+def with_roots(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
+    """Adds the component of `node`, which is the node itself where it is linked with nothing."""
+    named = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+    return rows.join(named, node, "left").withColumn(root, F.coalesce(root, node))
+
+
+def apart(met: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, estimate) of all pairs that share a prefix in some tree and are not of one component, each pair once."""
+    classes = materialize(
+        with_roots(met.mapInArrow(_prefixes, "set_id binary, list array<long>, prefixes binary, sketch binary"), roots, "set_id", "root")
+    )
+    entries = classes.select("set_id", "root", F.posexplode("list").alias("tree", "prefix"))
+    # Only regions of two components or more; their size says into how many blocks they are cut.
+    sizes = entries.groupBy("prefix").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s")).where("r != s")
+    sizes = sizes.select("prefix", F.ceil(F.col("n") / CELL).cast("int").alias("blocks"))
+    placed = entries.drop("root").join(sizes, "prefix").withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks").cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("prefix", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "tree", "block", "set_id")
+    full = dealt.join(classes.drop("list"), "set_id").select("prefix", "low", "high", "tree", "block", "set_id", "root", "sketch", "prefixes")
+    cells = full.repartition("prefix", "low", "high").sortWithinPartitions("prefix", "low", "high")
+    pairs = cells.mapInArrow(_apart(threshold), "x binary, y binary, estimate double")
+    return materialize(pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), "estimate"))
+
+
+def linked_apart(pairs: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """(node, root) after all of `pairs` (a, b, estimate) that join two components were confirmed, the best ones first."""
+    quota = 1
+    while True:
+        rest = with_roots(with_roots(pairs, roots, "a", "root_a"), roots, "b", "root_b").where("root_a != root_b")
+        order = [F.desc("estimate"), F.col("a"), F.col("b")]
+        for own, other in (("a", "root_b"), ("b", "root_a")):
+            rest = rest.withColumn(f"rank_{own}", F.row_number().over(Window.partitionBy(own, other).orderBy(*order)))
+        rest = materialize(rest.select("a", "b", "estimate", F.greatest("rank_a", "rank_b").alias("rank")))
+        if rest.isEmpty():
+            return roots
+        found = confirmed(rest.where(F.col("rank") <= quota), sets, threshold)
+        pairs, quota = rest.where(F.col("rank") > quota).drop("rank"), quota * MORE
+        if not found.isEmpty():
+            links = links.union(found)
+            roots = materialize(components(links))
+
+
+def _reaching(percent: int):
+    def run(pairs: pa.Table, needed: pa.Table) -> pa.Table:
+        """The pairs of one cell whose full sets reach the threshold."""
+        place = {name: k for k, name in enumerate(needed["set_id"].to_pylist())}
+        column = needed["shingles"].combine_chunks()
+        sizes = column.value_lengths().to_numpy()
+        values = np.unique(column.flatten().to_numpy(), return_inverse=True)[1].ravel()
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        a = np.array([place[x] for x in pairs["a"].to_pylist()], np.int64)
+        b = np.array([place[x] for x in pairs["b"].to_pylist()], np.int64)
+        order = np.argsort(a, kind="stable")
+        good = np.zeros(len(a), bool)
+        marked = np.zeros(int(values.max()) + 1 if len(values) else 0, bool)
+        for own in np.split(order, np.flatnonzero(np.diff(a[order])) + 1):
+            if not len(own):
+                continue
+            mine = values[bounds[a[own[0]]] : bounds[a[own[0]] + 1]]
+            marked[mine] = True
+            for k in own:
+                both = int(np.count_nonzero(marked[values[bounds[b[k]] : bounds[b[k] + 1]]]))
+                good[k] = 100 * both >= percent * (len(mine) + int(sizes[b[k]]) - both)
+            marked[mine] = False
+        return pairs.select(["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs that reach the threshold on their full sets."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    joined = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return materialize(joined.where(100 * both >= round(100 * threshold) * (F.size("x") + F.size("y") - both)).select("a", "b"))
+    pairs = materialize(pairs.select("a", "b"))
+    ends = pairs.select(F.col("a").alias("set_id")).union(pairs.select(F.col("b").alias("set_id")))
+    n = pairs.count()
+    # Cells of pairs with the sets they need: a set is sent once to each cell, however many pairs it has there.
+    across = max(1, min(-(-ends.distinct().count() // BLOCK_SETS), math.isqrt(n // CELL_PAIRS)))
+    dealt = pairs.withColumns({c: F.pmod(F.xxhash64(e), F.lit(across)) for c, e in (("row", "a"), ("column", "b"))})
+    needed = dealt.select(F.col("row").alias("r"), F.col("column").alias("c"), F.explode(F.array("a", "b")).alias("set_id"))
+    both = dealt.groupBy("row", "column").cogroup(needed.distinct().join(sets, "set_id").groupBy("r", "c"))
+    return materialize(both.applyInArrow(_reaching(round(100 * threshold)), "a binary, b binary"))
 
 
 def near_classes(docs: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, DataFrame]:
@@ -264,7 +421,8 @@ def near_classes(docs: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, D
     links = confirmed(best, sets, threshold)
     rest = candidates(met, components(links), threshold, NEAREST[1])
     links = links.union(confirmed(rest, sets, threshold))
-    return signed, components(links)
+    roots = materialize(components(links))
+    return signed, linked_apart(apart(met, roots, threshold), sets, links, roots, threshold)
 
 
 def judged(docs: DataFrame, threshold: float = 0.75) -> DataFrame:

@@ -58,6 +58,17 @@ def test_hot_group_of_near_copies(spark):
     assert {r["component_id"] for r in got} == {0}
 
 
+def test_links_hidden_in_a_thick_region(spark):
+    """2,400 documents that share a long text (similarity 0.73 to each other), 12 pairs of them share a little more."""
+    shared = [f"s{k}" for k in range(172)]
+    texts = [" ".join([*(f"p{k // 2}x{j}" if k < 24 else f"d{k}x{j}" for j in range(6)), *shared, *(f"u{k}x{j}" for j in range(26))]) for k in range(2400)]
+    sets = [shingles(t) for t in texts[:26]]
+    linked = [(i, j) for j in range(26) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])]
+    assert linked == [(2 * k, 2 * k + 1) for k in range(12)]
+    got = {r["doc_id"]: r["component_id"] for r in rows(lsh_forest.deduplicate(docs_of(spark, texts)))}
+    assert got == {k: k - k % 2 if k < 24 else k for k in range(2400)}
+
+
 def vectors(seed, n, dims=16):
     rng = np.random.default_rng(seed)
     out = []
