@@ -1,9 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds find candidates, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find candidates, Smith-Waterman alignment scores them.
 
 Words: the text in lower case; runs of letters a-z, digits and anything beyond ASCII.  First pass: in how many documents each
-`SEED_WORDS`-gram of the benchmark occurs, counted over all documents.  An item's seeds are the rarest gram of every `STRETCH`
-consecutive ones, so that any copy with `SEED_WORDS + STRETCH - 1` words left in a row holds a seed, however often the item is
-copied.  Second pass: hits of one item on near diagonals of a document form a window, and the item is aligned with each window
+`SEED_WORDS`-gram of the benchmark occurs, counted over all documents.  An item's seeds are all its grams that occur in some
+document, however often, so that any copy with `SEED_WORDS` words left in a row holds a seed.  Second pass: hits of one item on near diagonals of a document form a window, and the item is aligned with each window
 by words (match 1, mismatch and gap -0.6).  The score is the best local alignment divided by the item's length.  A
 pair counts when it reaches `least`; items under `SHORT` words must be there in full.
 
@@ -29,7 +28,7 @@ from care_episodes.llm.columns import packed, unpacked
 from care_episodes.llm.words import LETTERS, LOWER, windows, word_hashes
 from care_episodes.session import materialize
 
-SEED_WORDS, STRETCH = 3, 4
+SEED_WORDS = 3
 #: Scores are counted in tenths, so that they are exact.
 MATCH, PENALTY = 10, 6
 LEAST = 0.5
@@ -86,18 +85,6 @@ def _frequencies(values: np.ndarray) -> Callable:
     return run
 
 
-def pick_seeds(found: np.ndarray, at: np.ndarray, bounds: np.ndarray, frequency: np.ndarray) -> np.ndarray:
-    """Positions in `found` of the seeds: the rarest gram (first on ties) in every stretch of each item."""
-    chosen: set[int] = set()
-    item = np.searchsorted(bounds, at, side="right") - 1
-    for k in np.unique(item):
-        own = np.flatnonzero(item == k)
-        rare = frequency[own]
-        for start in range(max(1, len(own) - STRETCH + 1)):
-            chosen.add(int(own[start + int(np.argmin(rare[start : start + STRETCH]))]))
-    return np.array(sorted(chosen), np.int64)
-
-
 def smith_waterman(items: list[np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     """Best local alignment score of each item with its text."""
     best = np.zeros(len(items), np.int64)
@@ -205,7 +192,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) ->
         frequency = np.zeros(len(values), np.int64)
         for gram, n in counts:  # one row for each gram of the block
             frequency[gram] = n
-        seeds = pick_seeds(found, at, bounds, frequency[which])
+        seeds = np.flatnonzero(frequency[which])
+        if not len(seeds):
+            continue
         seed_values, seed_of = np.unique(found[seeds], return_inverse=True)
         by_value = _grouped(at[seeds], seed_of, len(seed_values))
         out = out.union(rows.mapInArrow(_aligned(seed_values, by_value, words, bounds, ids, least), schema))

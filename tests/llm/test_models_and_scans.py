@@ -208,6 +208,25 @@ def test_leaks_exact_edited_and_clean(spark):
     assert rows(contamination.leaks(table.limit(0), benchmark)) == [] and rows(contamination.leaks(table, benchmark.limit(0))) == []
 
 
+@pytest.mark.parametrize("apart", [4, 5, 6])
+def test_leaks_with_a_word_changed_every_few(spark, apart):
+    items = [(k, " ".join(f"i{k}w{j}" for j in range(n))) for k, n in enumerate([11, 15, 17, 25, 40])]
+    docs = []
+    for k, item in items:
+        words = item.split()
+        for j in range(apart - 1, len(words), apart):
+            words[j] = f"other{j}"
+        docs.append(f"{prose(k, 30)} {' '.join(words)} {prose(50 + k, 30)}")
+    want = {}
+    for d, text in enumerate(docs):
+        for k, item in items:
+            score = plain_alignment(item.split(), re.findall(r"\w+", text.lower())) / len(item.split())
+            if score >= 0.5:
+                want[d, k] = pytest.approx(score)
+    got = rows(contamination.leaks(docs_of(spark, docs), spark.createDataFrame(items, "item_id long, text string")))
+    assert {(r["doc_id"], r["item_id"]): r["score"] for r in got} == want and set(want) == {(k, k) for k in range(5)}
+
+
 def test_leaks_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(contamination, "BLOCK_WORDS", 50)
     items = [(k, prose(9000 + k, 25)) for k in range(12)]
