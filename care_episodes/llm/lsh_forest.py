@@ -12,7 +12,7 @@ its whole word sequence if that is shorter.  Two documents are linked when 100 *
 4. The whole round: every class is compared with all classes that share a prefix of `MIN_DEPTH` values with it in some tree and
    are not of its component.  A region of more than `CELL` classes is cut into blocks, and each pair of blocks is a cell of its
    own, so a thick region is dealt out and costs the square of its classes in comparisons.
-5. Candidates whose estimate from 8-bit minhashes is too low are dropped (4 standard deviations below the threshold).  The
+5. Candidates whose estimate from 8-bit minhashes is too low are dropped (5 standard deviations below the threshold).  The
    others are confirmed on the full sets, the best of each class and component first, then more of those that are still apart,
    until no unconfirmed candidate joins two components.  A confirmed link never joins two documents below the threshold.
 
@@ -46,8 +46,8 @@ TREES, DEPTH, MIN_DEPTH = 20, 8, 2
 HASHES = TREES * DEPTH
 #: Classes before a class in the order that it is compared with, in the two quick rounds.
 NEAREST = (2, 64)
-#: A pair at the threshold falls below this estimate with a chance of about 1 in 30,000 (4 standard deviations).
-SURE = 0.137
+#: A pair at the threshold falls below this estimate with a chance of about 1 in 3 million (5 standard deviations).
+SURE = 0.17
 #: In the quick rounds, of the candidates that would join a class to one component, those are tried whose estimate is this near
 #: to the best one's.
 LIKELY = 0.06

@@ -69,6 +69,16 @@ def test_links_hidden_in_a_thick_region(spark):
     assert got == {k: k - k % 2 if k < 24 else k for k in range(2400)}
 
 
+def test_true_link_behind_better_estimates(spark):
+    """A text is linked with its first three quarters (0.75); a part just too short (0.747), linked with those, looks nearer by the minhashes."""
+    texts = []
+    for k in (24, 118, 270, 397):
+        words = [f"{k}w{j}" for j in range(304)]
+        texts += [" ".join(words), " ".join(words[:229]), " ".join(words[22:250])]
+    got = {r["doc_id"]: r["component_id"] for r in rows(lsh_forest.deduplicate(docs_of(spark, texts)))}
+    assert got == {k: k - k % 3 for k in range(len(texts))}
+
+
 def vectors(seed, n, dims=16):
     rng = np.random.default_rng(seed)
     out = []
