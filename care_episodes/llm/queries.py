@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from care_episodes.llm import contamination, cover_tree, language, licenses, line_dedup, line_quality, lsh_forest, mixing, page_templates, suffix_dedup
+from care_episodes.llm import (
+    contamination, cover_tree, language, licenses, line_dedup, line_quality, lsh_forest, mixing, page_templates, suffix_dedup, token_alignment,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,3 +80,8 @@ def op1_cover_tree_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op1_cover_tree_links"] = cover_tree.ORACLE
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_corpus(table(spark, sf_dir, "documents"))
