@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from care_episodes.llm import (
-    contamination, cover_tree, language, licenses, line_dedup, line_quality, lsh_forest, mixing, page_templates, suffix_dedup, token_alignment,
+    contamination, cover_tree, language, licenses, line_dedup, line_quality, lsh_forest, mixing, page_templates, prefix_trie,
+    suffix_dedup, token_alignment,
+    warc,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +84,22 @@ def op1_cover_tree_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op1_cover_tree_links"] = cover_tree.ORACLE
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op11_prefix_trie"] = prefix_trie.ORACLE
+
+
 @query
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align_corpus(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLE["op13_warc_round_trip"] = warc.ORACLE
