@@ -45,9 +45,9 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 #: Characters encoded at a time.
-ENCODE_CHARS = 1 << 19
+ENCODE_CHARS = 1 << 17
 
 #: A pair is a's id times this plus b's id.
 B_IDS = 1 << 20
