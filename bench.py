@@ -12,7 +12,7 @@ from collections.abc import Callable
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from care_episodes import testmap as tm  # noqa: E402
-from care_episodes.operators import stats, study  # noqa: E402
+from care_episodes.operators import regression, stats, study  # noqa: E402
 from care_episodes.plans import pipeline  # noqa: E402
 from care_episodes.queries import study as study_queries  # noqa: E402
 from care_episodes.queries.base import Stages  # noqa: E402
@@ -62,7 +62,7 @@ def main() -> None:
             stats.kaplan_meier(analysis, "time_to_any_days_4y", "any_event_4y", "hdp_indicator")
         ),
         "cox": lambda: consume(
-            stats.cox_ph(analysis, "time_to_any_days_4y", "any_event_4y", ["hdp_indicator", "mom_age"])
+            regression.cox_ph(analysis, "time_to_any_days_4y", "any_event_4y", ["hdp_indicator", "mom_age"])
         ),
     }
     seconds: dict[str, float] = {}

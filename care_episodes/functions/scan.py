@@ -2,8 +2,7 @@
 
 A window needs all rows of a partition key in one task.  Where a key (or the whole table) may hold more rows than that, the order
 is cut into ranges instead: rows are dealt out by range and written once with the number of their part, each part is summed on
-its own, and what stands before a part is summed over the parts (a row per part).  A key that lies in one part only needs nothing
-from others, so the table of what is taken over has at most two rows per part and key border.
+its own, and what stands before a part is summed over the parts of its key (a row per part).
 
 Rows equal in key and order fall into one part; count them first where there may be many.
 """
@@ -38,27 +37,36 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     return left.join(renamed, condition, how).drop(*[f"_r_{c}" for c in on])
 
 
+def day_parts(df: DataFrame, by: Sequence[str], day: Column) -> DataFrame:
+    """`df` with the day as its `_part`: for rows in the order of days, where the calendar bounds the parts of a key.
+
+    Nothing is written; windows and totals share one shuffle by (key, day).
+    """
+    return df.withColumn(PART, day).repartition(*by, PART)
+
+
 def _inside(by: Sequence[str], order: Sequence[Column | str]) -> WindowSpec:
-    return Window.partitionBy(PART, *by).orderBy(*order)
+    return Window.partitionBy(*by, PART).orderBy(*order)
 
 
-def _taken_over(parts: DataFrame, by: Sequence[str], totals: Mapping[str, Column], over: Mapping[str, Column]) -> DataFrame:
-    """(part, by, one column per entry of `over`) for keys in several parts.
+def _with_taken_over(parts: DataFrame, by: Sequence[str], totals: Mapping[str, Column], over: Mapping[str, Column]) -> DataFrame:
+    """Joins to each row what its key's other parts hand over.
 
-    `totals` are aggregates of a part; `over` combines those of the key's other parts, in a window in the order of parts.
+    `totals` are aggregates of a part; `over` combines those of other parts, in a window in the order of parts.
     """
-    per_part = parts.groupBy(PART, *by).agg(*[c.alias(n) for n, c in totals.items()])
-    if by:
-        spans = parts.groupBy(*by).agg(F.min(PART).alias("_first"), F.max(PART).alias("_last")).where("_first < _last")
-        per_part = null_safe_join(per_part, spans.drop("_first", "_last"), by, "left_semi")
+    per_part = parts.groupBy(*by, PART).agg(*[c.alias(n) for n, c in totals.items()])
     in_order = Window.partitionBy(*by).orderBy(PART)
-    return per_part.select(PART, *by, *[c(in_order).alias(n) for n, c in over.items()])
+    taken = per_part.select(*by, PART, *[c(in_order).alias(n) for n, c in over.items()])
+    some = F.lit(False)
+    for n in over:
+        some = some | F.col(n).isNotNull()
+    return null_safe_join(parts, taken.where(some), [*by, PART], "left")
 
 
 def running_sums(
     parts: DataFrame, by: Sequence[str], order: Sequence[Column | str], sums: Mapping[str, Column], xors: Mapping[str, Column] | None = None
 ) -> DataFrame:
-    """Adds running sums (and exclusive-ors) up to and with each row, along the order of `ordered_parts`.  Nulls add nothing."""
+    """Adds running sums (and exclusive-ors) up to and with each row, along the order the parts were made with.  Nulls add nothing."""
     xors = xors or {}
     up_to = _inside(by, order).rowsBetween(Window.unboundedPreceding, 0)
     totals = {f"_t_{n}": F.sum(c) for n, c in sums.items()} | {f"_t_{n}": F.bit_xor(c) for n, c in xors.items()}
@@ -67,7 +75,7 @@ def running_sums(
         return lambda w: how(f"_t_{name}").over(w.rowsBetween(Window.unboundedPreceding, -1))
 
     over = {f"_b_{n}": earlier(F.sum, n) for n in sums} | {f"_b_{n}": earlier(F.bit_xor, n) for n in xors}
-    both = null_safe_join(parts, _taken_over(parts, by, totals, over), [PART, *by], "left")
+    both = _with_taken_over(parts, by, totals, over)
 
     def before(name):
         return F.coalesce(F.col(f"_b_{name}"), F.lit(0))
@@ -80,7 +88,7 @@ def running_sums(
 def neighbours(
     parts: DataFrame, by: Sequence[str], order: Sequence[Column | str], previous: Mapping[str, str], following: Mapping[str, str] | None = None
 ) -> DataFrame:
-    """Adds columns of the row before ({new: column}) and after, along the order of `ordered_parts`.
+    """Adds columns of the row before ({new: column}) and after, along the order the parts were made with.
 
     The order must be total within a key: no two rows equal in it.
     """
@@ -93,7 +101,7 @@ def neighbours(
     if following:
         totals["_t_first"] = F.min_by(F.struct(*set(following.values())), F.struct(*order))
         over["_b_first"] = lambda w: F.lead("_t_first").over(w)
-    both = null_safe_join(parts, _taken_over(parts, by, totals, over), [PART, *by], "left")
+    both = _with_taken_over(parts, by, totals, over)
     added = {n: F.when(F.lag(F.lit(1)).over(inside).isNull(), F.col("_b_last")[c]).otherwise(F.lag(c).over(inside)) for n, c in previous.items()}
     added |= {n: F.when(F.lead(F.lit(1)).over(inside).isNull(), F.col("_b_first")[c]).otherwise(F.lead(c).over(inside)) for n, c in following.items()}
     return both.select(*parts.columns, *[c.alias(n) for n, c in added.items()])

@@ -57,6 +57,10 @@ def chi_square_tail(x: float, df: int) -> float:
     return 1 - gamma_p(df / 2, x / 2)
 
 
+def chi_square_quantile(p: float, df: int) -> float:
+    return 2 * gamma_quantile(p, df / 2)
+
+
 def normal_two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 

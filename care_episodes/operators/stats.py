@@ -1,27 +1,23 @@
-"""Study statistics.
+"""Study statistics.
 
 Sums run on Spark; what reaches the driver is the size of the model, not of the data: observed and
-expected counts per group, a gradient and an information matrix, or result rows.  Times are whole
-days, so a table by time has at most as many rows as days of follow-up.
+expected counts per group, or result rows.  Running sums and ranks along times and values go over ranges
+(`functions/scan.py`): no task holds all of them.  Regression models (T5, T6) are in `regression.py`.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from care_episodes.functions.special import chi_square_tail, normal_two_sided, poisson_interval
+from care_episodes.functions.scan import null_safe_join, ordered_parts, running_sums
+from care_episodes.functions.special import chi_square_tail, poisson_interval
 from care_episodes.session import materialize, small_table
 
-#: Tied events that one task lists at a time.
-TIES = 10_000
-
 
 # ---- T1 -------------------------------------------------------------------------------------
 def table_one_categories(df: DataFrame, variables: Sequence[str], by: str | None = None) -> DataFrame:
@@ -38,6 +34,27 @@ def table_one_categories(df: DataFrame, variables: Sequence[str], by: str | None
     return counts.withColumn("pct", known / total * 100)
 
 
+def quantiles(df: DataFrame, by: Sequence[str], value: str, weight: str, at: Sequence[float]) -> DataFrame:
+    """Exact quantiles (linear interpolation) of counted values by group: (by, n, q0, q1, ...).
+
+    Values are dealt out by ranges and numbered by running sums; only those that hold a wanted rank are kept.  Null values don't count.
+    """
+    parts = ordered_parts(df.where(F.col(value).isNotNull()), by, [value])
+    ranked = running_sums(parts, by, [value], {"_upto": F.col(weight)})
+    totals = parts.groupBy(*by).agg(F.sum(weight).alias("n"))
+    both = null_safe_join(ranked, totals, by, "inner")
+    picked = []
+    for k, q in enumerate(at):
+        place = (F.col("n") - 1) * F.lit(float(q))
+        low = F.floor(place)
+        for name, rank in (("low", low), ("high", F.least(low + 1, F.col("n") - 1))):
+            holds = (F.col("_upto") > rank) & (F.col("_upto") - F.col(weight) <= rank)
+            picked.append(F.max(F.when(holds, F.col(value))).alias(f"_{name}{k}"))
+    holders = both.groupBy(*by).agg(F.first("n").alias("n"), *picked)
+    shares = [(F.col("n") - 1) * F.lit(float(q)) - F.floor((F.col("n") - 1) * F.lit(float(q))) for q in at]
+    return holders.select(*by, "n", *[(F.col(f"_low{k}") + s * (F.col(f"_high{k}") - F.col(f"_low{k}"))).alias(f"q{k}") for k, s in enumerate(shares)])
+
+
 def table_one_numbers(df: DataFrame, variables: Sequence[str], by: str | None = None) -> DataFrame:
     """Median, quartiles and missing count of numbers, by group.
 
@@ -46,20 +63,11 @@ def table_one_numbers(df: DataFrame, variables: Sequence[str], by: str | None =
     group = [F.col(by).cast("string").alias("group")] if by else [F.lit("all").alias("group")]
     numbers = [F.col(v).cast("double").alias(v) for v in variables]
     long = df.select(*group, *numbers).unpivot("group", list(variables), "variable", "value")
-    counts = long.groupBy("variable", "group", "value").agg(F.count(F.lit(1)).alias("n"))
-    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
-    known = F.col("value").isNotNull()
-    return (
-        counts.groupBy("variable", "group")
-        .agg(
-            F.sum(F.when(known, F.col("n")).otherwise(0)).alias("n"),
-            F.sum(F.when(~known, F.col("n")).otherwise(0)).alias("missing"),
-            q.alias("q"),
-        )
-        .select(
-            "variable", "group", "n", "missing", F.col("q")[1].alias("median"),
-            F.col("q")[0].alias("q1"), F.col("q")[2].alias("q3"),
-        )
+    counts = materialize(long.groupBy("variable", "group", "value").agg(F.count(F.lit(1)).alias("count")))
+    missing = counts.groupBy("variable", "group").agg(F.sum(F.when(F.col("value").isNull(), F.col("count")).otherwise(0)).alias("missing"))
+    found = quantiles(counts, ["variable", "group"], "value", "count", (0.25, 0.5, 0.75))
+    return null_safe_join(missing, found, ["variable", "group"], "left").select(
+        "variable", "group", F.coalesce("n", F.lit(0)).alias("n"), "missing", F.col("q1").alias("median"), F.col("q0").alias("q1"), F.col("q2").alias("q3")
     )
 
 
@@ -67,20 +75,24 @@ def table_one_numbers(df: DataFrame, variables: Sequence[str], by: str | None =
 def kaplan_meier(df: DataFrame, time: str, event: str, group: str) -> DataFrame:
     """Survival and cumulative incidence by group at each observed time.
 
-    Rows are first counted by group and time, so the running sums are over days of follow-up.
+    Rows are first counted by group and time; running sums go over ranges of time.
     """
     by_time = (
         df.filter(F.col(time).isNotNull() & F.col(event).isNotNull() & F.col(group).isNotNull())
         .groupBy(F.col(group).alias("group"), F.col(time).alias("time"))
         .agg(F.sum(F.col(event).cast("bigint")).alias("events"), F.count(F.lit(1)).alias("leaving"))
     )
-    later = Window.partitionBy("group").orderBy(F.desc("time")).rowsBetween(Window.unboundedPreceding, 0)
-    so_far = Window.partitionBy("group").orderBy("time").rowsBetween(Window.unboundedPreceding, 0)
-    at_risk = by_time.withColumn("at_risk", F.sum("leaving").over(later))
+    parts = ordered_parts(by_time, ["group"], [F.desc("time")])
+    at_risk = running_sums(parts, ["group"], [F.desc("time")], {"at_risk": F.col("leaving")})
+    # Nobody is left at the last time at most, so its step has no bearing on others.
     all_gone = F.col("events") == F.col("at_risk")
     step = F.when(~all_gone, F.log1p(-F.col("events") / F.col("at_risk")))
-    survival = F.when(F.max(all_gone).over(so_far), 0.0).otherwise(F.exp(F.sum(step).over(so_far)))
-    return at_risk.select(
+    steps = materialize(at_risk.withColumns({"step": step, "all_gone": all_gone}))
+    totals = steps.groupBy("group").agg(F.coalesce(F.sum("step"), F.lit(0.0)).alias("total"))
+    later = running_sums(steps, ["group"], [F.desc("time")], {"from_here": F.col("step")}).join(totals, "group")
+    so_far = F.col("total") - F.col("from_here") + F.coalesce("step", F.lit(0.0))
+    survival = F.when(F.col("all_gone"), 0.0).otherwise(F.exp(so_far))
+    return later.select(
         "group", "time", "at_risk", "events", (F.col("leaving") - F.col("events")).alias("censored"),
         survival.alias("survival"), (1 - survival).alias("cumulative_incidence"),
     )
@@ -94,7 +106,7 @@ def risk_table(df: DataFrame, time: str, group: str, at: Sequence[float]) -> Dat
 
 
 def _group_values(df: DataFrame, group: str) -> list:
-    """The groups of the test: the size of its model, a row and a column of the covariance each."""
+    """The groups of the test, a handful: each is a row and a column of the covariance, whose cells are the columns of one aggregate."""
     return sorted(r[0] for r in df.select(group).filter(F.col(group).isNotNull()).distinct().collect())
 
 
@@ -108,9 +120,9 @@ def _log_rank_sums(df: DataFrame, time: str, event: str, group: str) -> tuple[li
             F.count_if(mine).alias(f"l{i}"),
         ]
     by_time = df.filter(F.col(time).isNotNull() & F.col(group).isNotNull()).groupBy(time).agg(*counts)
-    later = Window.partitionBy(F.lit(1)).orderBy(F.desc(time)).rowsBetween(Window.unboundedPreceding, 0)
     k = range(len(values))
-    risk = by_time.withColumns({f"n{i}": F.sum(f"l{i}").over(later) for i in k})
+    parts = ordered_parts(by_time, [], [F.desc(time)])
+    risk = running_sums(parts, [], [F.desc(time)], {f"n{i}": F.col(f"l{i}") for i in k})
     n = sum((F.col(f"n{i}") for i in k), F.lit(0))
     d = sum((F.col(f"d{i}") for i in k), F.lit(0))
     tables = risk.withColumns({"n": n, "d": d}).filter("d > 0")
@@ -166,221 +178,6 @@ def incidence_rate_ci(rates: DataFrame, level: float = 0.95) -> DataFrame:
     return rates.mapInPandas(limits, schema)
 
 
-# ---- T5, T6 ---------------------------------------------------------------------------------
-@dataclass(frozen=True)
-class Levels:
-    """A categorical covariate: one 0/1 term per level but the first."""
-
-    column: str
-    levels: tuple
-
-    def terms(self) -> dict[str, Column]:
-        return {f"{self.column}={v}": (F.col(self.column) == v).cast("double") for v in self.levels[1:]}
-
-
-def design_terms(covariates: Sequence[str | Levels]) -> dict[str, Column]:
-    """Model terms: a column as it is, "a:b" as a product, `Levels` as indicators."""
-    terms: dict[str, Column] = {}
-    for c in covariates:
-        if isinstance(c, Levels):
-            terms |= c.terms()
-        elif ":" in c:
-            a, b = c.split(":")
-            terms[c] = F.col(a).cast("double") * F.col(b).cast("double")
-        else:
-            terms[c] = F.col(c).cast("double")
-    return terms
-
-
-def _model_rows(spark, names, beta, errors, constant=(), level_z=1.959963984540054) -> DataFrame:
-    def exp(v: float) -> float:
-        return math.exp(v) if v < 700 else math.inf
-
-    rows = [(name, None, None, None, None, None, None) for name in constant]
-    for name, b, se in zip(names, beta, errors, strict=True):
-        rows.append((
-            name, float(b), float(se), exp(b), exp(b - level_z * se), exp(b + level_z * se), float(normal_two_sided(b / se)) if se > 0 else None,
-        ))
-    return small_table(
-        spark, rows, "term string, coefficient double, std_error double, ratio double, low double, high double, p_value double"
-    )
-
-
-def cox_ph(
-    df: DataFrame, time: str, event: str, covariates: Sequence[str | Levels], max_steps: int = 25, tolerance: float = 1e-9
-) -> DataFrame:
-    """T5: proportional-hazards model with Efron's treatment of ties; hazard ratios as `ratio`.
-
-    Rows with the same time, event and covariates are counted once and stored.  Every Newton step
-    is one job: risk-set sums by time, running sums from the last time backwards, and one row of
-    gradient and information back to the driver.
-    """
-    terms = design_terms(covariates)
-    every = [f"x{i}" for i in range(len(terms))]
-    rows = df.select(
-        F.col(time).cast("double").alias("t"), F.col(event).cast("int").alias("e"),
-        *[c.alias(n) for c, n in zip(terms.values(), every, strict=True)],
-    ).dropna()
-    counted = materialize(rows.groupBy("t", "e", *every).agg(F.count(F.lit(1)).alias("w")))
-    facts = [F.sum(F.when(F.col("e") == 1, F.col("w")).otherwise(0)).alias("events")]
-    for c in every:
-        facts += [(F.sum(F.col(c) * F.col("w")) / F.sum("w")).alias(c), (F.min(c) < F.max(c)).alias(f"{c}_varies")]
-    centre = counted.agg(*facts).first()
-    if not centre["events"]:
-        raise ValueError(f"no events in {event}")
-    # A term without variation has no estimate; it is reported without one.
-    x = [c for c in every if centre[f"{c}_varies"]]
-    names, p = [n for n, c in zip(terms, every, strict=True) if c in x], len(x)
-    constant = [n for n, c in zip(terms, every, strict=True) if c not in x]
-    centred = counted.withColumns({c: F.col(c) - F.lit(float(centre[c])) for c in x})
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    beta, step_size, last = np.zeros(p), 1.0, None
-    direction = np.zeros(p)
-    info = np.eye(p)
-    for _ in range(max_steps):
-        score = sum((F.lit(float(b)) * F.col(c) for b, c in zip(beta, x, strict=True)), F.lit(0.0))
-        risk = centred.withColumn("_eta", score).withColumn("_r", F.col("w") * F.exp("_eta"))
-        is_event = F.col("e") == 1
-
-        def both(name: str, value: Column, is_event=is_event) -> list[Column]:
-            return [F.sum(value).alias(f"a{name}"), F.sum(F.when(is_event, value).otherwise(0.0)).alias(f"d{name}")]
-
-        sums = both("0", F.col("_r"))
-        for i in range(p):
-            sums += both(f"1_{i}", F.col("_r") * F.col(x[i]))
-        for i, j in pairs:
-            sums += both(f"2_{i}_{j}", F.col("_r") * F.col(x[i]) * F.col(x[j]))
-        sums.append(F.sum(F.when(is_event, F.col("w")).otherwise(0)).alias("m"))
-        sums.append(F.sum(F.when(is_event, F.col("w") * F.col("_eta")).otherwise(0.0)).alias("g"))
-        sums += [F.sum(F.when(is_event, F.col("w") * F.col(c)).otherwise(0.0)).alias(f"sx_{i}") for i, c in enumerate(x)]
-        by_time = risk.groupBy("t").agg(*sums)
-        later = Window.partitionBy(F.lit(1)).orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)
-        totals = [c for c in by_time.columns if c.startswith("a")]
-        sets = by_time.select(
-            *[c for c in by_time.columns if c not in totals], *[F.sum(c).over(later).alias(c) for c in totals]
-        ).filter("m > 0")
-        # The running sums end in one task; the events of a time are listed in others, some at a time.
-        some = F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("m") - 1) / TIES)))
-        spread = sets.withColumn("_some", some).repartition("t", "_some")
-        ends = F.least(F.col("m"), (F.col("_some") + 1) * TIES) - 1
-        listed = spread.withColumn("_l", F.explode(F.sequence(F.col("_some") * TIES, ends)))
-        tied = listed.withColumn("f", F.col("_l") / F.col("m"))
-
-        def part(name: str) -> Column:
-            return F.col(f"a{name}") - F.col("f") * F.col(f"d{name}")
-
-        first = F.col("f") == 0
-        s0 = part("0")
-        out = [(F.sum(F.when(first, F.col("g"))) - F.sum(F.log(s0))).alias("loglik")]
-        for i in range(p):
-            out.append((F.sum(F.when(first, F.col(f"sx_{i}"))) - F.sum(part(f"1_{i}") / s0)).alias(f"u{i}"))
-        for i, j in pairs:
-            mean = part(f"2_{i}_{j}") / s0 - (part(f"1_{i}") / s0) * (part(f"1_{j}") / s0)
-            out.append(F.sum(mean).alias(f"i{i}_{j}"))
-        row = tied.agg(*out).first()
-        loglik = float(row["loglik"])
-        if last is not None and loglik < last - 1e-12 * abs(last):
-            step_size /= 2
-            beta = beta - direction * step_size
-            continue
-        gradient = np.array([float(row[f"u{i}"]) for i in range(p)])
-        info = np.zeros((p, p))
-        for i, j in pairs:
-            info[i, j] = info[j, i] = float(row[f"i{i}_{j}"])
-        if last is not None and abs(loglik - last) <= tolerance * (abs(last) + 1e-9):
-            break
-        if np.linalg.matrix_rank(info) < p:
-            raise ValueError(f"terms are not independent: {names}")
-        last, step_size = loglik, 1.0
-        direction = np.linalg.solve(info, gradient)
-        beta = beta + direction
-    else:
-        raise RuntimeError(f"the model of {event} did not converge in {max_steps} steps")
-    errors = np.sqrt(np.diag(np.linalg.inv(info)))
-    return _model_rows(df.sparkSession, names, beta, errors, constant)
-
-
-def cox_table(
-    df: DataFrame, outcomes: dict[str, tuple[str, str]], exposures: Sequence[str], adjustment: Sequence[str | Levels]
-) -> DataFrame:
-    """T5: hazard ratio of each exposure for each outcome {name: (time, event)}, plain and adjusted."""
-    out = None
-    for outcome, (time, event) in outcomes.items():
-        for exposure in exposures:
-            for model, extra in (("unadjusted", ()), ("adjusted", tuple(adjustment))):
-                fit = cox_ph(df, time, event, [exposure, *extra]).filter(F.col("term") == exposure)
-                fit = fit.select(F.lit(outcome).alias("outcome"), F.lit(model).alias("model"), "*")
-                out = fit if out is None else out.unionByName(fit)
-    return out
-
-
-def follow_up_intervals(df: DataFrame, years: str, exposure: str, cuts: tuple[float, float] = (4, 8)) -> DataFrame:
-    """T5: exposure split by length of follow-up (early, middle, late), for interval-specific terms."""
-    t, x = F.col(years), F.col(exposure)
-    early, late = t <= cuts[0], t > cuts[1]
-    return df.withColumns(
-        {
-            f"{exposure}_early": (x * early.cast("int")),
-            f"{exposure}_mid": (x * (~early & ~late).cast("int")),
-            f"{exposure}_late": (x * late.cast("int")),
-        }
-    )
-
-
-def logistic_or(
-    df: DataFrame, outcome: str, covariates: Sequence[str | Levels], max_steps: int = 25, tolerance: float = 1e-10
-) -> DataFrame:
-    """Odds ratios (`ratio`) with Wald limits; rows with a missing value are left out.
-
-    Rows equal in outcome and covariates are counted first.  A Newton step is one aggregate of the
-    counted rows that returns the gradient and the information matrix.
-    """
-    terms = design_terms(covariates)
-    names = ["(Intercept)", *terms]
-    x = [f"x{i}" for i in range(len(names))]
-    columns = [F.lit(1.0), *terms.values()]
-    rows = df.select(
-        F.col(outcome).cast("double").alias("y"), *[c.alias(n) for c, n in zip(columns, x, strict=True)]
-    ).dropna()
-    counted = materialize(rows.groupBy("y", *x).agg(F.count(F.lit(1)).cast("double").alias("w")))
-    p = len(x)
-    pairs = [(i, j) for i in range(p) for j in range(i, p)]
-    beta, info = np.zeros(p), np.eye(p)
-    for _ in range(max_steps):
-        score = sum((F.lit(float(b)) * F.col(c) for b, c in zip(beta, x, strict=True)), F.lit(0.0))
-        mean = 1 / (1 + F.exp(-F.col("_eta")))
-        weighted = counted.withColumn("_eta", score).withColumn("_m", mean)
-        spread = F.col("w") * F.col("_m") * (1 - F.col("_m"))
-        sums = [F.sum(F.col("w") * (F.col("y") - F.col("_m")) * F.col(c)).alias(f"u{i}") for i, c in enumerate(x)]
-        sums += [F.sum(spread * F.col(x[i]) * F.col(x[j])).alias(f"i{i}_{j}") for i, j in pairs]
-        row = weighted.agg(*sums).first()
-        if row["u0"] is None:
-            raise ValueError(f"no complete rows for {outcome}")
-        gradient = np.array([row[f"u{i}"] for i in range(p)])
-        for i, j in pairs:
-            info[i, j] = info[j, i] = row[f"i{i}_{j}"]
-        if np.linalg.matrix_rank(info) < p:
-            raise ValueError(f"terms are not independent: {names}")
-        step = np.linalg.solve(info, gradient)
-        beta = beta + step
-        if np.max(np.abs(step)) < tolerance * (1 + np.max(np.abs(beta))):
-            break
-    else:
-        raise RuntimeError(f"the model of {outcome} did not converge in {max_steps} steps")
-    errors = np.sqrt(np.diag(np.linalg.inv(info)))
-    return _model_rows(df.sparkSession, names, beta, errors)
-
-
-def logistic_each(df: DataFrame, outcome: str, covariates: Sequence[str | Levels]) -> DataFrame:
-    """One model per covariate, all terms of all models."""
-    out = None
-    for c in covariates:
-        name = c.column if isinstance(c, Levels) else c
-        fit = logistic_or(df, outcome, [c]).select(F.lit(name).alias("variable"), "*")
-        out = fit if out is None else out.unionByName(fit)
-    return out
-
-
 # ---- T7 -------------------------------------------------------------------------------------
 def exposure_tables(df: DataFrame, exposure: str, variables: Sequence[str]) -> DataFrame:
     """Exposure by each 0/1 variable."""

@@ -17,6 +17,7 @@ from care_episodes.functions import study_values as sv
 from care_episodes.functions.dates import day_of
 from care_episodes.functions.primitives import points_in_intervals
 from care_episodes.functions.rules import is_in, lookup
+from care_episodes.functions.scan import ordered_parts, running_sums
 from care_episodes.sources.cdm import Tables
 
 EPISODE_KEY = ("person_id", "inferred_episode_end")
@@ -195,18 +196,18 @@ def bands(df: DataFrame) -> DataFrame:
 
 def lump_rare(df: DataFrame, column: str, least: int = 20, other: str = "Other") -> DataFrame:
     """K6: levels with fewer than `least` rows become one level; `<column>_rank` is the order by
-    frequency.  Levels are counted first, so a level with most of the rows costs nothing extra."""
+    frequency.  Levels are counted first, so a level with most of the rows costs nothing extra; ranks go over ranges of levels."""
     counts = df.groupBy(F.col(column).alias("_level")).agg(F.count(F.lit(1)).alias("_n"))
     named = counts.filter("_level IS NOT NULL").withColumn(
         "_new", F.when(F.col("_n") < least, other).otherwise(F.col("_level"))
     )
-    by_new = named.withColumn("_total", F.sum("_n").over(Window.partitionBy("_new")))
-    ranked = by_new.withColumn(
-        "_rank", F.dense_rank().over(Window.partitionBy(F.lit(1)).orderBy(F.desc("_total"), "_new"))
-    )
-    joined = df.join(ranked, F.col(column) == F.col("_level"), "left")
+    order = [F.desc("_total"), "_as"]
+    totals = named.groupBy(F.col("_new").alias("_as")).agg(F.sum("_n").alias("_total"))
+    ranked = running_sums(ordered_parts(totals, [], order), [], order, {"_rank": F.lit(1)})
+    levels = named.join(ranked.select("_as", F.col("_rank").cast("int").alias("_rank")), F.col("_new") == F.col("_as"))
+    joined = df.join(levels, F.col(column) == F.col("_level"), "left")
     return joined.withColumns({column: F.col("_new"), f"{column}_rank": F.col("_rank")}).drop(
-        "_level", "_n", "_new", "_total", "_rank"
+        "_level", "_n", "_new", "_as", "_total", "_rank"
     )
 
 

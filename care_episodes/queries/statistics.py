@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from care_episodes import oracle
-from care_episodes.operators import stats, study
+from care_episodes.operators import regression, stats, study
 from care_episodes.queries.base import r6, register
 from care_episodes.queries.study import analysis
 
@@ -14,7 +14,7 @@ V = oracle.VIEWS
 TIME, EVENT, EXPOSURE = "time_to_any_days_4y", "any_event_4y", "hdp_indicator"
 CATEGORIES = ("outcome_category", "precision_category", "htn_before", "race_eth_5cat")
 NUMBERS = ("mom_age", "gestational_age_days", "bmi_prepreg")
-RACE = stats.Levels("race_eth_5cat", ("White", "Black or African American", "Hispanic or Latino", "Other"))
+RACE = regression.Levels("race_eth_5cat", ("White", "Black or African American", "Hispanic or Latino", "Other"))
 
 
 @register(
@@ -127,18 +127,18 @@ def t4_incidence_rate_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("t5_cox_ph")
 def t5_cox_ph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exposure, age and race, with ties."""
-    return stats.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "mom_age", RACE])
+    return regression.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "mom_age", RACE])
 
 
 @register("t5_cox_interaction")
 def t5_cox_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "htn_before", f"{EXPOSURE}:htn_before"])
+    return regression.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "htn_before", f"{EXPOSURE}:htn_before"])
 
 
 @register("t5_cox_intervals")
 def t5_cox_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = stats.follow_up_intervals(analysis(spark, sf_dir), "time_to_any_years_4y", EXPOSURE, (1, 2))
-    return stats.cox_ph(df, TIME, EVENT, [f"{EXPOSURE}_{part}" for part in ("early", "mid", "late")])
+    df = regression.follow_up_intervals(analysis(spark, sf_dir), "time_to_any_years_4y", EXPOSURE, (1, 2))
+    return regression.cox_ph(df, TIME, EVENT, [f"{EXPOSURE}_{part}" for part in ("early", "mid", "late")])
 
 
 @register("t5_cox_table")
@@ -146,7 +146,7 @@ def t5_cox_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain and adjusted hazard ratios for two outcomes in persons engaged in care."""
     engaged = study.engaged_subset(analysis(spark, sf_dir), "outpt_before", "outpt_after")
     outcomes = {o: (f"time_to_{o}_days_4y", f"{o}_event_4y") for o in ("any", "mi")}
-    return stats.cox_table(engaged, outcomes, [EXPOSURE], ["mom_age"])
+    return regression.cox_table(engaged, outcomes, [EXPOSURE], ["mom_age"])
 
 
 def _incident(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +156,7 @@ def _incident(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("t6_logistic_or")
 def t6_logistic_or(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stats.logistic_or(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "mom_age", RACE])
+    return regression.logistic_or(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "mom_age", RACE])
 
 
 _EACH = {EXPOSURE: ("0", "1"), "preterm": ("0", "1"), "race_eth_5cat": RACE.levels}
@@ -179,7 +179,7 @@ UNION ALL SELECT variable, '(Intercept)', ln(a / b), sqrt(1 / a + 1 / b) FROM tw
 )
 def t6_logistic_each(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model per variable; with one categorical variable the odds ratios have a closed form."""
-    out = stats.logistic_each(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "preterm", RACE])
+    out = regression.logistic_each(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "preterm", RACE])
     numbers = [F.round(c, 4).alias(c) for c in ("coefficient", "std_error", "ratio", "low", "high")]
     return out.select("variable", "term", *numbers)
 

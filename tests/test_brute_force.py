@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from care_episodes.functions.special import chi_square_tail, gamma_p
-from care_episodes.operators import dating, merge, outcomes, progression, stats
+from care_episodes.operators import dating, merge, outcomes, progression, regression, stats
 from tests.helpers import EPISODE_SCHEMA, day, events, rules, timing
 
 MONTHS = [(1, 4), (1, 3), (2, 2), (3, 5), (4, 7), (5, 5), (6, 8), (9, 9), (8, 11)]
@@ -259,7 +259,7 @@ def test_cox_and_log_rank(spark):
     rows = [(int(a), int(b), int(c), int(d)) for a, b, c, d in zip(x, age, t, e, strict=True)]
     df = spark.createDataFrame(rows, "x int, age int, t int, e int")
     beta, se = cox_direct(np.column_stack([x, age]).astype(float), t, e)
-    got = {r.term: r for r in stats.cox_ph(df, "t", "e", ["x", "age"]).collect()}
+    got = {r.term: r for r in regression.cox_ph(df, "t", "e", ["x", "age"]).collect()}
     for i, name in enumerate(("x", "age")):
         assert got[name].coefficient == pytest.approx(beta[i], abs=1e-5)
         assert got[name].std_error == pytest.approx(se[i], rel=1e-4)
@@ -287,7 +287,7 @@ def test_logistic(spark):
         h = (design.T * (m * (1 - m))) @ design
         beta = beta + np.linalg.solve(h, design.T @ (y - m))
     df = spark.createDataFrame([tuple(map(int, r)) for r in zip(x, age, y, strict=True)], "x int, age int, y int")
-    got = {r.term: r for r in stats.logistic_or(df, "y", ["x", "age"]).collect()}
+    got = {r.term: r for r in regression.logistic_or(df, "y", ["x", "age"]).collect()}
     errors = np.sqrt(np.diag(np.linalg.inv(h)))
     for i, name in enumerate(("(Intercept)", "x", "age")):
         assert got[name].coefficient == pytest.approx(beta[i], abs=1e-6)

@@ -9,7 +9,7 @@ from care_episodes.config import EpisodeConfig
 from care_episodes.functions import dates, rules as r
 from care_episodes.functions.fixed_values import SPACING, TIMING_CONCEPTS
 from care_episodes.functions.rules import Rules
-from care_episodes.operators import dating, merge, report, stats
+from care_episodes.operators import dating, merge, regression, report, stats
 from care_episodes.session import materialize, small_table
 from care_episodes.sources import cdm, rule_files, sinks
 from tests.helpers import CONFIG, d, episodes, events, rules
@@ -280,4 +280,4 @@ def test_rate_limits_of_many_rows_and_no_convergence(spark):
     assert found[0] == 0 and found[1] > 1000
     separated = spark.createDataFrame([(x, int(x > 5)) for x in range(10)], "x int, y int")
     with pytest.raises((RuntimeError, ValueError)):
-        stats.logistic_or(separated, "y", ["x"], max_steps=5)
+        regression.logistic_or(separated, "y", ["x"], max_steps=5)
