@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from care_episodes import oracle
 from care_episodes.operators import regression, stats, study
 from care_episodes.queries.base import r6, register
+from care_episodes.queries.model_sql import cox_sql, logistic_sql, ph_test_sql, poisson_limits_sql, profile_sql
 from care_episodes.queries.study import analysis
 
 V = oracle.VIEWS
@@ -118,35 +119,98 @@ def t4_incidence_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rates.withColumns({c: F.round(c, 6) for c in ("person_years", "rate_per_1000")})
 
 
-@register("t4_incidence_rate_ci")
+@register(
+    "t4_incidence_rate_ci",
+    poisson_limits_sql(
+        f"SELECT {EXPOSURE}, count(*) n, sum({EVENT})::BIGINT events, sum({TIME} / 365.25) person_years FROM censored_analysis GROUP BY 1",
+        f"{EXPOSURE}, n, events, round(person_years, 6) person_years, round(events * 1000 / person_years, 6) rate_per_1000",
+    ),
+)
 def t4_incidence_rate_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = stats.incidence_rate(analysis(spark, sf_dir), EVENT, "time_to_any_years_4y", [EXPOSURE])
-    return stats.incidence_rate_ci(rates)
+    found = stats.incidence_rate_ci(rates)
+    return found.withColumns({c: F.round(c, 6) for c in ("person_years", "rate_per_1000", "rate_low", "rate_high")})
+
+
+def _r4(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 4) for c in columns})
+
+
+MODEL_COLUMNS = ("coefficient", "std_error", "ratio", "low", "high", "p_value")
+
+
+def _cases(time: str, event: str, columns: dict[str, str], where: str = "true") -> str:
+    """Complete rows (t, e, columns) of a model."""
+    known = " AND ".join(f"({c}) IS NOT NULL" for c in (time, event, *columns.values()))
+    return f"SELECT {time}::DOUBLE t, {event} e, {', '.join(f'{c} AS {n}' for n, c in columns.items())} FROM censored_analysis WHERE {known} AND {where}"
 
 
-@register("t5_cox_ph")
+RACE_TERMS = [f"(race = '{v}')::INT" for v in RACE.levels[1:]]
+RACE_NAMES = [f"race_eth_5cat={v}" for v in RACE.levels[1:]]
+
+
+@register(
+    "t5_cox_ph",
+    cox_sql(_cases(TIME, EVENT, {"x": EXPOSURE, "age": "mom_age", "race": "race_eth_5cat"}), ["x", "age - 30", *RACE_TERMS], [EXPOSURE, "mom_age", *RACE_NAMES]),
+)
 def t5_cox_ph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exposure, age and race, with ties."""
-    return regression.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "mom_age", RACE])
+    return _r4(regression.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "mom_age", RACE]), *MODEL_COLUMNS)
 
 
-@register("t5_cox_interaction")
+@register(
+    "t5_cox_interaction",
+    cox_sql(_cases(TIME, EVENT, {"x": EXPOSURE, "h": "htn_before"}), ["x", "h", "x * h"], [EXPOSURE, "htn_before", f"{EXPOSURE}:htn_before"]),
+)
 def t5_cox_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return regression.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "htn_before", f"{EXPOSURE}:htn_before"])
+    return _r4(regression.cox_ph(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE, "htn_before", f"{EXPOSURE}:htn_before"]), *MODEL_COLUMNS)
 
 
-@register("t5_cox_intervals")
+@register(
+    "t5_cox_intervals",
+    cox_sql(
+        _cases(TIME, EVENT, {"x": EXPOSURE, "y": f"({TIME} / 365.25)"}),
+        ["x * (y <= 1)::INT", "x * (y > 1 AND y <= 2)::INT", "x * (y > 2)::INT"], [f"{EXPOSURE}_{part}" for part in ("early", "mid", "late")],
+    ),
+)
 def t5_cox_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = regression.follow_up_intervals(analysis(spark, sf_dir), "time_to_any_years_4y", EXPOSURE, (1, 2))
-    return regression.cox_ph(df, TIME, EVENT, [f"{EXPOSURE}_{part}" for part in ("early", "mid", "late")])
+    return _r4(regression.cox_ph(df, TIME, EVENT, [f"{EXPOSURE}_{part}" for part in ("early", "mid", "late")]), *MODEL_COLUMNS)
 
 
-@register("t5_cox_table")
+_ENGAGED = "outpt_before = 1 AND outpt_after = 1"
+
+
+@register(
+    "t5_cox_table",
+    " UNION ALL ".join(
+        f"SELECT '{o}' outcome, '{model}' model, * FROM ({cox_sql(_cases(f'time_to_{o}_days_4y', f'{o}_event_4y', columns, _ENGAGED), x, names)}) WHERE term = '{EXPOSURE}'"
+        for o in ("any", "mi")
+        for model, columns, x, names in (
+            ("unadjusted", {"x": EXPOSURE}, ["x"], [EXPOSURE]), ("adjusted", {"x": EXPOSURE, "age": "mom_age"}, ["x", "age - 30"], [EXPOSURE, "mom_age"]),
+        )
+    ),
+)
 def t5_cox_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Plain and adjusted hazard ratios for two outcomes in persons engaged in care."""
     engaged = study.engaged_subset(analysis(spark, sf_dir), "outpt_before", "outpt_after")
     outcomes = {o: (f"time_to_{o}_days_4y", f"{o}_event_4y") for o in ("any", "mi")}
-    return regression.cox_table(engaged, outcomes, [EXPOSURE], ["mom_age"])
+    return _r4(regression.cox_table(engaged, outcomes, [EXPOSURE], ["mom_age"]), *MODEL_COLUMNS)
+
+
+@register("t5_ph_test", ph_test_sql(_cases(TIME, EVENT, {"x": EXPOSURE}), "x", EXPOSURE))
+def t5_ph_test(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the exposure's hazard ratio stays the same over time."""
+    return _r4(regression.cox_ph_test(analysis(spark, sf_dir), TIME, EVENT, [EXPOSURE]), "chisq", "p_value")
+
+
+@register(
+    "t5_time_varying",
+    cox_sql(_cases(f"(CASE WHEN {TIME} = 0 THEN 0.001 ELSE {TIME} END)", EVENT, {"x": EXPOSURE}), ["x", "x * ln(ev.t)"], [EXPOSURE, f"{EXPOSURE}:log({TIME})"]),
+)
+def t5_time_varying(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exposure, and exposure times the log of time."""
+    return _r4(regression.cox_log_time(analysis(spark, sf_dir), TIME, EVENT, EXPOSURE), *MODEL_COLUMNS)
 
 
 def _incident(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,9 +218,24 @@ def _incident(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.withColumn("incident_htn", study.incident(F.col("htn_before"), F.col("htn_after")))
 
 
-@register("t6_logistic_or")
+_INCIDENT = f"""SELECT CASE WHEN htn_before = 1 THEN NULL ELSE htn_after END y, {EXPOSURE}, mom_age, race_eth_5cat race FROM analysis"""
+_INCIDENT_KNOWN = f"SELECT * FROM ({_INCIDENT}) WHERE y IS NOT NULL AND {EXPOSURE} IS NOT NULL"
+
+
+@register(
+    "t6_logistic_or",
+    logistic_sql(
+        f"{_INCIDENT_KNOWN} AND mom_age IS NOT NULL AND race IS NOT NULL", [EXPOSURE, "mom_age", *RACE_TERMS], [EXPOSURE, "mom_age", *RACE_NAMES]
+    ),
+)
 def t6_logistic_or(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return regression.logistic_or(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "mom_age", RACE])
+    return _r4(regression.logistic_or(_incident(spark, sf_dir), "incident_htn", [EXPOSURE, "mom_age", RACE]), *MODEL_COLUMNS)
+
+
+@register("t6_logistic_profile", profile_sql(_INCIDENT_KNOWN, EXPOSURE))
+def t6_logistic_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Odds ratio of the exposure with profile-likelihood limits."""
+    return _r4(regression.logistic_profile(_incident(spark, sf_dir), "incident_htn", [EXPOSURE]), "coefficient", "ratio", "low", "high")
 
 
 _EACH = {EXPOSURE: ("0", "1"), "preterm": ("0", "1"), "race_eth_5cat": RACE.levels}
