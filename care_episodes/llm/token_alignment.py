@@ -48,6 +48,8 @@ PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 BLOCK_BYTES = 1 << 20
 #: Characters encoded at a time.
 ENCODE_CHARS = 1 << 17
+#: Words whose tokens a worker keeps.
+KNOWN_PARTS = 400_000
 
 #: A pair is a's id times this plus b's id.
 B_IDS = 1 << 20
@@ -89,6 +91,14 @@ def piece_table(model) -> list[bytes]:
     return table
 
 
+def _splits_at_spaces(path: str) -> bool:
+    """Whether a byte-level vocabulary's pattern puts a space to the word after it (the usual one does; others encode texts whole)."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    kind = spec.get("pre_tokenizer") or {}
+    return not spec.get("normalizer") and kind.get("type") == "ByteLevel" and bool(kind.get("use_regex", True)) and not kind.get("add_prefix_space")
+
+
 class Tokenizers:
     """Both tokenizers with the byte tables of their ids; built once per Python worker."""
 
@@ -106,6 +116,9 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.bytes_a = pa.array(byte_bpe_table(byte_bpe), pa.large_binary())
         self.bytes_b = pa.array(piece_table(self.b), pa.large_binary())
+        pieces_apart = not any("▁" in self.b.id_to_piece(i).lstrip("▁") for i in range(self.b.get_piece_size()))
+        self.apart = pieces_apart and _splits_at_spaces(byte_bpe)
+        self._forget()
 
     @classmethod
     def at(cls, byte_bpe: str, pieces: str) -> Tokenizers:
@@ -113,18 +126,107 @@ class Tokenizers:
             cls._known[byte_bpe, pieces] = cls(byte_bpe, pieces)
         return cls._known[byte_bpe, pieces]
 
-    def encode(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
-        """Token ids of the texts as list columns."""
-        a, b, start = [], [], 0
-        while start < len(texts):  # the libraries' own token objects are large: some texts at a time
-            end, size = start + 1, len(texts[start])
-            while end < len(texts) and size + len(texts[end]) <= ENCODE_CHARS:
-                size += len(texts[end])
-                end += 1
-            some, start = texts[start:end], end
-            a += [np.asarray(x.ids, np.int32) for x in self.a.encode_batch_fast([" " + t for t in some], add_special_tokens=False)]
-            b += [np.asarray(x, np.int32) for x in self.b.encode(some, num_threads=1)]
-        return _lists(a), _lists(b)
+    def encode(self, texts: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """Token ids of the texts as list columns.
+
+        A space between two characters that are no white space is a border of both tokenizers, whatever stands around: the one's
+        pattern starts a word with the space, and the other has no piece with a space after another character.  So texts are
+        split there, each distinct part is encoded once, and its tokens are taken for every place it stands at.  Parts stay known
+        from block to block, up to `KNOWN_PARTS`.  A text with white space beside a split is encoded whole.
+        """
+        parts = pc.split_pattern(texts, " ")
+        of_text = pc.list_parent_indices(parts).to_numpy()
+        coded = pc.list_flatten(parts).dictionary_encode()
+        distinct, codes = coded.dictionary, coded.indices.to_numpy()
+        trimmed = pc.and_(pc.equal(pc.utf8_trim_whitespace(distinct), distinct), pc.not_equal(distinct, ""))
+        apart = trimmed.to_numpy(zero_copy_only=False) & self.apart
+        whole = np.zeros(len(texts), bool)
+        whole[of_text[~apart[codes]]] = True
+        kept = ~whole[of_text]
+        places, sizes = np.flatnonzero(~whole), np.bincount(of_text[kept], minlength=len(texts))[~whole]
+        order = pa.array(np.argsort(np.concatenate([places, np.flatnonzero(whole)])))
+        number = np.cumsum(apart) - 1
+        places_known = self._known_places(distinct.filter(pa.array(apart)).to_pylist())
+        wanted = pa.array(places_known[number[codes[kept]]])
+        rest = texts.filter(pa.array(whole)).to_pylist()
+        out = []
+        for encode, known in ((self._encode_a, self.tokens[0]), (self._encode_b, self.tokens[1])):
+            taken = known.lists().take(wanted)
+            ends = taken.offsets.to_numpy()[np.concatenate([[0], np.cumsum(sizes)])]
+            joined = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), taken.values)
+            whole_ones = [x for batch in _some(rest) for x in encode(batch)]
+            out.append(pa.concat_arrays([joined, _lists(whole_ones)]).take(order))
+        return out[0], out[1]
+
+    def _known_places(self, parts: list[str]) -> np.ndarray:
+        """Where the tokens of the parts lie among those known; new ones are encoded first."""
+        if len(self.place) > KNOWN_PARTS:
+            self._forget()
+        new = [p for p in parts if p not in self.place]
+        if new:
+            for encode, table, known in ((self._encode_a, self.bytes_a, self.tokens[0]), (self._encode_b, self.bytes_b, self.tokens[1])):
+                known.add(*_part_tokens(new, encode, pc.binary_length(table).to_numpy()))
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        return np.fromiter(map(self.place.__getitem__, parts), np.int64, len(parts))
+
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.tokens = (_Lists(), _Lists())
+
+    def _encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(x.ids, np.int32) for x in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+
+    def _encode_b(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(x, np.int32) for x in self.b.encode(texts, num_threads=1)]
+
+
+class _Lists:
+    """Lists of token ids that grow at the end."""
+
+    def __init__(self):
+        self.ids, self.ends, self.n_ids, self.n = np.zeros(1024, np.int32), np.zeros(1024, np.int64), 0, 0
+
+    def add(self, ids: np.ndarray, counts: np.ndarray) -> None:
+        while self.n_ids + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while self.n + len(counts) >= len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[self.n_ids : self.n_ids + len(ids)] = ids
+        self.ends[self.n + 1 : self.n + len(counts) + 1] = self.n_ids + np.cumsum(counts)
+        self.n_ids, self.n = self.n_ids + len(ids), self.n + len(counts)
+
+    def lists(self) -> pa.Array:
+        return pa.LargeListArray.from_arrays(pa.array(self.ends[: self.n + 1]), pa.array(self.ids[: self.n_ids]))
+
+
+def _part_tokens(parts: list[str], encode, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids of the parts, and how many each has.  Many are encoded as one text, joined by spaces, and told apart by the bytes of their tokens."""
+    found, counts = [], []
+    for some in _some(parts):
+        ids = encode([" ".join(some)])[0]
+        sizes = pc.binary_length(pa.array(some, pa.large_string())).to_numpy(zero_copy_only=False)
+        ends, wanted = np.cumsum(lengths[ids]), np.cumsum(sizes + 1)
+        at = np.searchsorted(ends, wanted)
+        if len(ends) and ends[-1] == wanted[-1] and (ends[at] == wanted).all():
+            found.append(ids)
+            counts.append(np.diff(at + 1, prepend=0))
+        else:  # a part that isn't given back byte by byte: each on its own
+            each = encode(some)
+            found += each
+            counts.append(np.array([len(x) for x in each], np.int64))
+    return np.concatenate(found), np.concatenate(counts)
+
+
+def _some(texts: list[str]) -> Iterator[list[str]]:
+    """Texts some at a time: the libraries' own token objects are large."""
+    start = 0
+    while start < len(texts):
+        end, size = start + 1, len(texts[start])
+        while end < len(texts) and size + len(texts[end]) <= ENCODE_CHARS:
+            size += len(texts[end])
+            end += 1
+        yield texts[start:end]
+        start = end
 
 
 def _lists(values: list[np.ndarray]) -> pa.Array:
@@ -207,7 +309,7 @@ def align_block(texts: pa.Array, tokenizers: Tokenizers) -> tuple[dict, pa.Table
     used = np.flatnonzero(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     plain = texts.take(pa.array(used))
     spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), plain, pa.scalar("", pa.large_string())).cast(pa.large_binary())
-    ids_a, ids_b = tokenizers.encode(plain.to_pylist())
+    ids_a, ids_b = tokenizers.encode(plain)
     good = _same_bytes(ids_a, tokenizers.bytes_a, spaced) & _same_bytes(ids_b, tokenizers.bytes_b, spaced)
     used = used[good]
     ids_a, ids_b = ids_a.filter(pa.array(good)), ids_b.filter(pa.array(good))
