@@ -41,7 +41,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from care_episodes.llm.buffers import utf8
-from care_episodes.session import materialize, shared_folder
+from care_episodes.session import shared_folder
 
 #: Most bytes of a payload in one row.
 CHUNK_BYTES = 1 << 16
@@ -187,7 +187,10 @@ def archive_lines(chunks: DataFrame, roles: DataFrame, date: str = DATE) -> Data
 
 def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, date: str = DATE) -> None:
     """Writes a record per page into gzip archives in the folder `path`; payloads below `least_bytes` are never revisited."""
-    chunks = materialize(chunk_table(pages))
+    spark = pages.sparkSession
+    table = f"{shared_folder(spark)}/chunks-{uuid.uuid4().hex}"
+    chunk_table(pages).write.option("compression", "zstd").parquet(table)
+    chunks = spark.read.parquet(table)
     lines = archive_lines(chunks, record_roles(chunks, least_bytes), date)
     lines.sortWithinPartitions("record", "chunk").select("value").write.option("lineSep", _CRLF).option("compression", "gzip").text(path)
 
