@@ -94,6 +94,30 @@ def points_in_intervals(
     return joined.drop(bucket, "_low", "_high", *[new for _, new in renamed])
 
 
+def best_point(
+    rows: DataFrame, points: DataFrame, keys: list[str], at: str, point: str, order: Column, side: str, bucket_days: int = 366
+) -> DataFrame:
+    """Adds `best` to each row: the least `order` (a struct in columns of `points`) among its key's points on or before, or on or after, `at`.
+
+    Time is cut into buckets.  The best point of all buckets further on is carried to each bucket that holds a row or a point, in a window
+    over the key's buckets, which the calendar bounds.  A row then looks at that one value and at the points of its own bucket:
+    points should be one per day.  Rows of equal key and `at` come back once.
+    """
+    bucket = "_bucket"
+    listed = rows.select(*keys, at).distinct().withColumn(bucket, F.floor(F.col(at) / bucket_days))
+    valued = points.select(*keys, F.col(point).alias("_point"), order.alias("_order")).withColumn(bucket, F.floor(F.col("_point") / bucket_days))
+    own = valued.groupBy(*keys, bucket).agg(F.min("_order").alias("_own"))
+    every = own.unionByName(listed.select(*keys, bucket).distinct(), allowMissingColumns=True).groupBy(*keys, bucket).agg(F.min("_own").alias("_own"))
+    in_order = Window.partitionBy(*keys).orderBy(F.desc(bucket) if side == "after" else F.asc(bucket))
+    carried = every.select(*keys, bucket, F.min("_own").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
+    near = (F.col("_point") >= F.col(at)) if side == "after" else (F.col("_point") <= F.col(at))
+    inside = listed.join(valued, [*keys, bucket]).where(near).groupBy(*keys, at).agg(F.min("_order").alias("_near"))
+    return (
+        listed.join(carried, [*keys, bucket]).join(inside, [*keys, at], "left")
+        .withColumn("best", F.least("_carried", "_near")).drop(bucket, "_carried", "_near")
+    )
+
+
 def clip_to_previous(df: DataFrame, start: str, end: str, *ties: str | Column) -> DataFrame:
     """Move a start that lies on or before the previous end to the day after that end.
 

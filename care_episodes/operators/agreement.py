@@ -11,6 +11,7 @@ from care_episodes.functions.dates import day_of
 from care_episodes.functions.fixed_values import REPORT_ORDER
 from care_episodes.functions.primitives import points_in_intervals
 from care_episodes.functions.rules import is_in
+from care_episodes.functions.scan import PART, neighbours, ordered_parts, running_sums
 from care_episodes.session import materialize, small_table
 
 PREDICTION_COLUMNS = (
@@ -69,13 +70,16 @@ def derive_registry_outcome(pregnancies: DataFrame, deliveries: DataFrame, linka
     mothers = deliveries.groupBy("emrn").agg(
         first_known("gestational_age_days"), first_known("born_alive"), first_known("living_status")
     )
-    order = Window.partitionBy("person_id").orderBy("gravida_count", "emrn")
+    counts = ("para", "abortion", "therapeutic", "spontaneous", "ectopic")
+    order = ["gravida_count", "emrn"]
+    known = pregnancies.join(linkage, "emrn")
+    previous = {"prev_emrn": "emrn"} | {f"prev_{c}": f"{c}_count" for c in counts}
+    in_order = neighbours(ordered_parts(known, ["person_id"], order), ["person_id"], order, previous)
 
     def change(name: str) -> Column:
-        return F.col(name) - F.lag(name, 1, 0).over(order)
+        return F.col(f"{name}_count") - F.when(F.col("prev_emrn").isNull(), 0).otherwise(F.col(f"prev_{name}"))
 
-    counts = ("para", "abortion", "therapeutic", "spontaneous", "ectopic")
-    changes = {f"d_{c}": change(f"{c}_count") for c in counts}
+    changes = {f"d_{c}": change(c) for c in counts}
     delivered = F.col("d_para") > 0
     no_birth = F.lower("living_status").isin("stillborn", "fetal demise")
     outcome = (
@@ -90,8 +94,7 @@ def derive_registry_outcome(pregnancies: DataFrame, deliveries: DataFrame, linka
         .otherwise("PREG")
     )
     return (
-        pregnancies.join(linkage, "emrn")
-        .join(mothers, "emrn", "left")
+        in_order.join(mothers, "emrn", "left")
         .withColumns(changes)
         .select(
             "person_id", "emrn", F.col("gravida_count").alias("gt_episode_num"),
@@ -182,8 +185,8 @@ def match_episodes(predictions: DataFrame, registry: DataFrame, window_days: int
 def _match_in_order(algo: DataFrame, gt: DataFrame) -> DataFrame:
     """The k-th predicted episode of a person with the k-th registry pregnancy, by end date."""
     def numbered(df: DataFrame, *order: str) -> DataFrame:
-        by_end = Window.partitionBy("person_id").orderBy(*order)
-        return df.withColumn("algo_order", F.row_number().over(by_end))
+        in_order = running_sums(ordered_parts(df, ["person_id"], order), ["person_id"], order, {"algo_order": F.lit(1)})
+        return in_order.withColumn("algo_order", F.col("algo_order").cast("int")).drop(PART)
 
     pairs = numbered(algo, "algo_end", "algo_episode_num").join(
         numbered(gt, "gt_end", "gt_episode_num"), ["person_id", "algo_order"]

@@ -20,6 +20,7 @@ from care_episodes.functions.primitives import (
     points_in_intervals,
 )
 from care_episodes.functions.rules import Rules, is_in, lookup, rank_of
+from care_episodes.functions.scan import day_parts, neighbours, running_sums
 from care_episodes.functions.fixed_values import OUTCOME_CHOICE_ORDER, WEEK_CONCEPTS
 from care_episodes.sources.cdm import DOMAINS
 
@@ -182,6 +183,7 @@ def gestation_only_episodes(gestation: DataFrame) -> DataFrame:
     70 days have passed, or if the time passed exceeds the weeks gained by more than 28 days.
     Equal records of one day are counted, not listed: of n equal ones the first may continue an
     episode, the last may be continued, and each between is an episode of its own (`n_copies`).
+    A person's records are ordered within their days; days hand over their last record and their count of starts.
     """
     valid = gestation.filter((F.col("weeks") > 0) & (F.col("weeks") <= 44) & F.col("event_date").isNotNull())
     daily = valid.groupBy(
@@ -192,15 +194,13 @@ def gestation_only_episodes(gestation: DataFrame) -> DataFrame:
         "weeks",
     ).agg(F.count(F.lit(1)).alias("n"))
     listed = daily.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.least("n", F.lit(3)))))
-    key = ["day", "domain_rank", "concept_id", "weeks", "copy"]
-    order = Window.partitionBy("person_id").orderBy(*key)
-    gained = F.col("weeks") - F.lag("weeks").over(order)
-    passed = F.col("day") - F.lag("day").over(order)
+    order = ["domain_rank", "concept_id", "weeks", "copy"]
+    by_day = neighbours(day_parts(listed, ["person_id"], F.col("day")), ["person_id"], order, {"prev_weeks": "weeks", "prev_day": "day"})
+    gained, passed = F.col("weeks") - F.col("prev_weeks"), F.col("day") - F.col("prev_day")
     starts = gained.isNull() | (gained <= 0) | (passed > 70) | (passed > gained * 7 + 28)
     between = (F.col("n") > 2) & (F.col("copy") == 2)
     return (
-        listed.withColumn("starts", starts)
-        .withColumn("group", number_groups(F.col("starts"), ["person_id"], *key))
+        running_sums(by_day.withColumn("starts", starts.cast("int")), ["person_id"], order, {"group": F.col("starts")})
         .groupBy("person_id", "group")
         .agg(
             F.max("day").alias("last_day"),

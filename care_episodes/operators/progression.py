@@ -37,16 +37,16 @@ def timing_blocks(timing: DataFrame) -> DataFrame:
     daily = timing.groupBy(
         "person_id", day_of(F.col("event_date")).alias("day"), "min_month", "max_month", "concept_id"
     ).agg(F.count(F.lit(1)).alias("n"))
-    order = ["day", "min_month", "max_month", "concept_id"]
-    by_person = Window.partitionBy("person_id").orderBy(*order)
-    gap = F.col("day") - F.lag("day").over(by_person)
+    # Runs depend on days alone; a person has one row per day here.
+    by_person = Window.partitionBy("person_id").orderBy("day")
+    days = daily.select("person_id", "day").distinct().withColumn("gap", F.col("day") - F.lag("day").over(by_person))
+    days = days.withColumn("starts", F.col("gap").isNull() | (F.col("gap") > MONTH_DAYS))
+    days = days.withColumn("run", number_groups(F.col("starts"), ["person_id"], "day"))
     months = ["person_id", "run", "min_month", "max_month"]
     same_months = Window.partitionBy(*months).orderBy("day", "concept_id")
     inner_gap = F.col("day") - F.lag("day").over(same_months)
     return (
-        daily.withColumn("gap", gap)
-        .withColumn("starts", F.col("gap").isNull() | (F.col("gap") > MONTH_DAYS))
-        .withColumn("run", number_groups(F.col("starts"), ["person_id"], *order))
+        daily.join(days, ["person_id", "day"])
         .withColumn("cut", inner_gap > BLOCK_GAP)
         .withColumn("block", number_groups(F.col("cut"), months, "day", "concept_id"))
         .groupBy(*months, "block")

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from care_episodes.functions import study_values as sv
 from care_episodes.functions.dates import day_of
-from care_episodes.functions.primitives import points_in_intervals
+from care_episodes.functions.primitives import best_point, points_in_intervals
 from care_episodes.functions.rules import is_in, lookup
-from care_episodes.functions.scan import ordered_parts, running_sums
+from care_episodes.functions.scan import PART, neighbours, ordered_parts, running_sums
 from care_episodes.sources.cdm import Tables
 
 EPISODE_KEY = ("person_id", "inferred_episode_end")
@@ -344,6 +344,9 @@ DOMAIN_TABLES = {
     "procedure": ("procedure_occurrence", "procedure_concept_id", "procedure_date"),
 }
 
+#: Days that stand for an open side.
+FIRST_DAY, LAST_DAY = -(10**7), 10**7
+
 
 def set_events(tables: Tables, concepts: DataFrame, domains: Sequence[str] = ("condition",)) -> DataFrame:
     """Events of a concept set: person_id, concept_id, concept_date, value_as_number."""
@@ -375,19 +378,19 @@ def events_in_window(
     """
     bounds = [c for c in (start, end) if c]
     rows = cohort.select(*dict.fromkeys([*key, "person_id", *bounds]))
-    if start and end:
-        points = events.withColumn("_day", day_of(F.col("concept_date")))
-        windows = rows.filter(F.col(start) <= F.col(end))
-        joined = points_in_intervals(
-            windows, points, ["person_id"], day_of(F.col(start)), day_of(F.col(end)), "_day", bucket_days
-        )
-        return joined.drop("_day", *[b for b in bounds if b not in key])
-    joined = rows.join(events, "person_id")
-    if end:
-        joined = joined.filter(F.col("concept_date") <= F.col(end))
-    if start:
-        joined = joined.filter(F.col("concept_date") >= F.col(start))
-    return joined.drop(*[b for b in bounds if b not in key])
+    points = events.withColumn("_day", day_of(F.col("concept_date")))
+    if not (start and end):
+        # An open side reaches to the person's first or last event, so that a heavy person still spreads over buckets.
+        rows = rows.join(event_edges(events), "person_id")
+    from_day = day_of(F.col(start)) if start else day_of(F.col("_first"))
+    to_day = day_of(F.col(end)) if end else day_of(F.col("_last"))
+    joined = points_in_intervals(rows.filter(from_day <= to_day), points, ["person_id"], from_day, to_day, "_day", bucket_days)
+    return joined.drop("_day", "_first", "_last", *[b for b in bounds if b not in key])
+
+
+def event_edges(events: DataFrame) -> DataFrame:
+    """First and last event date of each person."""
+    return events.groupBy("person_id").agg(F.min("concept_date").alias("_first"), F.max("concept_date").alias("_last"))
 
 
 def concept_set_events(
@@ -408,10 +411,9 @@ def concept_set_events(
     key = list(key)
     if output == "all":
         # Rows with events come straight from the window join (an inner join, so a very heavy
-        # person or day can be split); rows without are found by the distinct days alone.
+        # person or day can be split); rows without are found by days, or by the person's first or last one.
         found = events_in_window(cohort, events, start, end, cohort.columns, bucket_days)
-        days = events.select("person_id", "concept_date").distinct()
-        seen = events_in_window(cohort, days, start, end, key, bucket_days).select(*key).distinct()
+        seen = window_indicator(cohort, events, start, end, "_seen", key, bucket_days).drop("_seen")
         none = {c: F.lit(None).cast(t) for c, t in found.dtypes if c not in cohort.columns}
         return found.unionByName(cohort.join(seen, key, "left_anti").withColumns(none))
     found = window_indicator(cohort, events, start, end, name, key, bucket_days)
@@ -436,14 +438,12 @@ def window_indicator(
         daily = events.select("person_id", "concept_date").distinct()
         found = events_in_window(cohort, daily, start, end, key, bucket_days)
         return found.select(*key).distinct().withColumn(name, F.lit(1))
-    edge = F.min("concept_date") if start is None else F.max("concept_date")
-    edges = events.groupBy("person_id").agg(edge.alias("_edge"))
     inside = F.lit(True)
     if end:
-        inside = F.col("_edge") <= F.col(end)
+        inside = F.col("_first") <= F.col(end)
     if start:
-        inside = F.col("_edge") >= F.col(start)
-    return cohort.join(edges, "person_id").filter(inside).select(*key).distinct().withColumn(name, F.lit(1))
+        inside = F.col("_last") >= F.col(start)
+    return cohort.join(event_edges(events), "person_id").filter(inside).select(*key).distinct().withColumn(name, F.lit(1))
 
 
 def collapse_indicator(found: DataFrame, prefix: str, key: Sequence[str] = EPISODE_KEY) -> DataFrame:
@@ -478,6 +478,63 @@ def set_summary(
     return episodes.join(found, list(key), "left").withColumn(f"{prefix}_indicator", flag)
 
 
+def many_set_events(tables: Tables, concepts: DataFrame, domains: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Events of many concept sets, one scan per table: person_id, set_name, concept_id, concept_date, value_as_number.
+
+    `concepts` has set_name and concept_id; `domains` says for each set where it looks.
+    """
+    out = None
+    for domain in dict.fromkeys(d for own in domains.values() for d in own):
+        names = [name for name, own in domains.items() if domain in own]
+        table, concept, date = DOMAIN_TABLES[domain]
+        source = tables[table]
+        value = F.col("value_as_number") if "value_as_number" in source.columns else F.lit(None)
+        wanted = concepts.where(F.col("set_name").isin(names)).select("set_name", "concept_id").distinct()
+        part = source.select(
+            "person_id", F.col(concept).cast("bigint").alias("concept_id"), F.col(date).cast("date").alias("concept_date"),
+            value.cast("double").alias("value_as_number"),
+        ).join(wanted, "concept_id").select("person_id", "set_name", "concept_id", "concept_date", "value_as_number")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def window_summaries(
+    cohort: DataFrame, events: DataFrame, windows: Mapping[str, tuple[str, str | None, str | None]],
+    key: Sequence[str] = EPISODE_KEY, bucket_days: int = 366,
+) -> DataFrame:
+    """K13, K14 and K18 for many windows at once: {prefix: (set name, start column, end column)}, an open side is None.
+
+    Events are counted per person, set and day; a row becomes one row per window; both meet in one join by (person, set, time bucket),
+    and one aggregate per row of the cohort puts the windows side by side: earliest and latest date, indicator, count.
+    """
+    day = day_of(F.col("concept_date"))
+    daily = events.groupBy("person_id", "set_name", day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    asked = []
+    for prefix, (name, start, end) in windows.items():
+        low = day_of(F.col(start)) if start else F.lit(FIRST_DAY)
+        high = day_of(F.col(end)) if end else F.lit(LAST_DAY)
+        asked.append(F.struct(F.lit(prefix).alias("_window"), F.lit(name).alias("set_name"), low.alias("_from"), high.alias("_to")))
+    bounds = [c for _, start, end in windows.values() for c in (start, end) if c]
+    rows = cohort.select(*dict.fromkeys([*key, "person_id", *bounds])).distinct()
+    rows = rows.select(*dict.fromkeys([*key, "person_id"]), F.explode(F.array(*asked)).alias("w")).select("*", "w.*").drop("w").where("_from <= _to")
+    if any(not (start and end) for _, start, end in windows.values()):
+        spans = daily.groupBy("person_id", "set_name").agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
+        rows = rows.join(spans, ["person_id", "set_name"]).withColumns({"_from": F.greatest("_from", "_first"), "_to": F.least("_to", "_last")})
+        rows = rows.where("_from <= _to").drop("_first", "_last")
+    met = points_in_intervals(rows, daily, ["person_id", "set_name"], F.col("_from"), F.col("_to"), "_day", bucket_days)
+    found = []
+    for prefix in windows:
+        mine = F.col("_window") == prefix
+        found += [
+            F.date_from_unix_date(F.min(F.when(mine, F.col("_day"))).cast("int")).alias(f"{prefix}_date_earliest"),
+            F.date_from_unix_date(F.max(F.when(mine, F.col("_day"))).cast("int")).alias(f"{prefix}_date_latest"),
+            F.coalesce(F.max(F.when(mine, 1)), F.lit(0)).alias(f"{prefix}_indicator"),
+            F.sum(F.when(mine, F.col("_n"))).alias(f"{prefix}_concept_count"),
+        ]
+    joined = cohort.join(met.groupBy(*key).agg(*found), list(key), "left")
+    return joined.fillna(0, [f"{prefix}_indicator" for prefix in windows])
+
+
 def episode_buffers(df: DataFrame) -> DataFrame:
     """Dates around an episode: weeks, years, first trimester."""
     start, end = F.col("inferred_episode_start"), F.col("inferred_episode_end")
@@ -586,24 +643,32 @@ def first_episode(df: DataFrame, tie: str = "episode_id") -> DataFrame:
     return flat.select(*df.columns)
 
 
+def _pregnancies(df: DataFrame, indicator: str, tie: str) -> tuple[DataFrame, list[str]]:
+    order = ["inferred_episode_end", tie]
+    return ordered_parts(df.select("person_id", *order, indicator), ["person_id"], order), order
+
+
 def exposure_pattern(df: DataFrame, indicator: str, tie: str = "episode_id") -> DataFrame:
-    """The 0/1 values of a person's episodes in order, as text, and their number."""
-    steps = F.array_sort(F.collect_list(F.struct("inferred_episode_end", tie, indicator)))
-    text = F.transform(steps, lambda s: F.coalesce(s[indicator].cast("string"), F.lit("NA")))
-    return df.groupBy("person_id").agg(
-        F.array_join(text, " → ").alias("pattern"), F.count(F.lit(1)).alias("n_pregnancies")
-    )
+    """The 0/1 values of a person's episodes in order, as text, and their number.
+
+    Texts of ranges of episodes are put together first; the person's text is the result itself.
+    """
+    parts, order = _pregnancies(df, indicator, tie)
+    steps = F.array_sort(F.collect_list(F.struct(*order, indicator)))
+    values = F.transform(steps, lambda s: F.coalesce(s[indicator].cast("string"), F.lit("NA")))
+    texts = parts.groupBy("person_id", PART).agg(F.array_join(values, " → ").alias("text"), F.count(F.lit(1)).alias("n"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct(PART, "text"))), lambda s: s["text"])
+    return texts.groupBy("person_id").agg(F.array_join(in_order, " → ").alias("pattern"), F.sum("n").alias("n_pregnancies"))
 
 
 def exposure_transitions(df: DataFrame, indicator: str, tie: str = "episode_id") -> DataFrame:
     """How often one value follows another, by pregnancy number."""
-    order = Window.partitionBy("person_id").orderBy("inferred_episode_end", tie)
-    steps = df.select(
-        F.row_number().over(order).alias("preg_number"), F.col(indicator).alias("from_value"),
-        F.lead(indicator).over(order).alias("to_value"), F.lead("person_id").over(order).alias("_next"),
-    )
+    parts, order = _pregnancies(df, indicator, tie)
+    numbered = running_sums(parts, ["person_id"], order, {"preg_number": F.lit(1)})
+    steps = neighbours(numbered, ["person_id"], order, {}, {"to_value": indicator, "_next": tie})
     return (
-        steps.filter("_next IS NOT NULL").groupBy("preg_number", "from_value", "to_value")
+        steps.filter("_next IS NOT NULL")
+        .groupBy(F.col("preg_number").cast("int").alias("preg_number"), F.col(indicator).alias("from_value"), "to_value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
@@ -628,16 +693,23 @@ def nearest_measurement(
     if high is not None:
         events = events.filter(F.col("value_as_number") <= high)
     # Per person and day the smallest value is enough to know the nearest day's first value.
-    daily = events.groupBy("person_id", "concept_date").agg(F.min("value_as_number").alias("value"))
-    diff = F.datediff("concept_date", "inferred_episode_start")
-    linked = daily.join(cohort.select("person_id", "inferred_episode_start"), "person_id").withColumn("diff", diff)
-    if latest_day is not None:
-        linked = linked.filter(F.col("diff") <= latest_day)
-    best = linked.groupBy("person_id").agg(
-        F.min(F.struct(F.abs("diff").alias("apart"), "concept_date", "value", "diff")).alias("b")
-    )
-    return best.select(
-        "person_id", F.col("b.concept_date").alias(f"{prefix}_date"), F.col("b.value").alias(f"{prefix}_value"),
+    daily = events.groupBy("person_id", day_of(F.col("concept_date")).alias("day")).agg(F.min("value_as_number").alias("value"))
+    start = day_of(F.col("inferred_episode_start"))
+    rows = cohort.select("person_id", start.alias("at"))
+    latest = F.lit(None).cast("int") if latest_day is None else F.lit(latest_day)
+    until = rows.withColumn("at", F.col("at") + F.least(F.coalesce(latest, F.lit(0)), F.lit(0)))
+    earlier = best_point(until, daily, ["person_id"], "at", "day", F.struct((-F.col("day")).alias("order"), "day", "value"), "before")
+    later = best_point(rows.withColumn("at", F.col("at") + 1), daily, ["person_id"], "at", "day", F.struct(F.col("day").alias("order"), "day", "value"), "after")
+    both = earlier.select("person_id", F.col("best").alias("earlier")).join(later.select("person_id", F.col("best").alias("later")), "person_id")
+    linked = rows.join(both, "person_id")
+
+    def candidate(side: str) -> Column:
+        diff = F.col(f"{side}.day") - F.col("at")
+        usable = F.col(side).isNotNull() & (F.lit(True) if latest_day is None else diff <= latest_day)
+        return F.when(usable, F.struct(F.abs(diff).alias("apart"), F.col(f"{side}.day").alias("day"), F.col(f"{side}.value").alias("value"), diff.alias("diff")))
+
+    return linked.withColumn("b", F.least(candidate("earlier"), candidate("later"))).filter("b IS NOT NULL").select(
+        "person_id", F.date_from_unix_date("b.day").alias(f"{prefix}_date"), F.col("b.value").alias(f"{prefix}_value"),
         F.col("b.diff").alias(f"{prefix}_days_from_start"),
     )
 
@@ -660,19 +732,12 @@ def body_mass_index(weight_kg: Column, height_cm: Column) -> Column:
 
 def max_measurement_after(cohort: DataFrame, events: DataFrame, prefix: str, from_day: int = 42) -> DataFrame:
     """The highest value at least `from_day` days after the start (earliest date on ties)."""
-    daily = events.groupBy("person_id", "concept_date").agg(F.max("value_as_number").alias("value"))
-    diff = F.datediff("concept_date", "inferred_episode_start")
-    linked = (
-        daily.filter("value IS NOT NULL")
-        .join(cohort.select("person_id", "inferred_episode_start"), "person_id")
-        .withColumn("diff", diff).filter(F.col("diff") >= from_day)
-    )
-    best = linked.groupBy("person_id").agg(
-        F.min(F.struct((-F.col("value")).alias("minus"), "concept_date", "diff")).alias("b")
-    )
-    return best.select(
-        "person_id", F.col("b.concept_date").alias(f"{prefix}_date"), (-F.col("b.minus")).alias(f"{prefix}_value"),
-        F.col("b.diff").alias(f"{prefix}_days_from_start"),
+    daily = events.groupBy("person_id", day_of(F.col("concept_date")).alias("day")).agg(F.max("value_as_number").alias("value")).filter("value IS NOT NULL")
+    rows = cohort.select("person_id", (day_of(F.col("inferred_episode_start")) + from_day).alias("at"))
+    found = best_point(rows, daily, ["person_id"], "at", "day", F.struct((-F.col("value")).alias("order"), "day", "value"), "after")
+    return found.filter("best IS NOT NULL").select(
+        "person_id", F.date_from_unix_date("best.day").alias(f"{prefix}_date"), F.col("best.value").alias(f"{prefix}_value"),
+        (F.col("best.day") - F.col("at") + from_day).alias(f"{prefix}_days_from_start"),
     )
 
 

@@ -196,28 +196,28 @@ def build_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     obs0, obs1 = "observation_period_start_date", "observation_period_end_date"
     start, end = "inferred_episode_start", "inferred_episode_end"
-    found = {n: events(spark, sf_dir, n) for n in ("hdp", "mi", "stroke", "hf", "htn", "dm")} | {
-        "outpt": visits(spark, sf_dir)
-    }
+    sets = [(n, c) for n in ("hdp", "mi", "stroke", "hf", "htn", "dm") for c in tm.PHENOTYPES[n]] + [("outpt", c) for c in OUTPATIENT]
+    concepts = small_table(spark, sets, "set_name string, concept_id long")
+    tables = {"condition_occurrence": tm.condition_occurrence(spark, sf_dir), "visit_occurrence": tm.visit_occurrence(spark, sf_dir)}
+    domains = {n: ("visit",) if n == "outpt" else ("condition",) for n, _ in sets}
     windows = {
-        "hdp_indicator": ("hdp", start, "end_plus_6wks"),
-        "htn_before": ("htn", obs0, start),
-        "htn_after": ("htn", end, obs1),
-        "dm_before": ("dm", obs0, start),
-        "dm_after": ("dm", end, obs1),
-        "outpt_before": ("outpt", "year_before_preg", start),
-        "outpt_after": ("outpt", end, "year_after_preg"),
+        "mi": ("mi", end, obs1), "stroke": ("stroke", end, obs1), "hf": ("hf", end, obs1),
+        "hdp": ("hdp", start, "end_plus_6wks"),
+        "htn_before": ("htn", obs0, start), "htn_after": ("htn", end, obs1),
+        "dm_before": ("dm", obs0, start), "dm_after": ("dm", end, obs1),
+        "outpt_before": ("outpt", "year_before_preg", start), "outpt_after": ("outpt", end, "year_after_preg"),
     }
-    parts = [
-        study.set_summary(df, found[o], end, obs1, o, KEY).drop(f"{o}_date_latest", f"{o}_concept_count")
-        for o in ("mi", "stroke", "hf")
-    ]
-    parts += [study.window_indicator(df, found[s], low, high, n, KEY) for n, (s, low, high) in windows.items()]
-    out = study.assemble_analysis(df, parts, KEY).fillna(0, list(windows))
-    weights = measurements(spark, sf_dir, 3025315)
+    flags = [n for n in windows if n not in ("mi", "stroke", "hf")]
+    out = study.window_summaries(df, study.many_set_events(tables, concepts, domains), windows, KEY)
+    out = out.drop(*[f"{n}_{c}" for n in windows for c in ("date_latest", "concept_count")], *[f"{n}_date_earliest" for n in flags])
+    out = out.withColumnsRenamed({f"{n}_indicator": n for n in flags if n != "hdp"})
+    values = small_table(spark, [(3025315,), (3036277,)], "concept_id long")
+    # Both measurements are read once; three look-ups follow.
+    measured = materialize(study.set_events({"measurement": tm.measurement(spark, sf_dir)}, values, ["measurement"]))
+    weights, heights = measured.where("concept_id = 3025315"), measured.where("concept_id = 3036277")
     values = [
         study.nearest_measurement(df, weights, "weight", latest_day=91),
-        study.nearest_measurement(df, measurements(spark, sf_dir, 3036277), "height", low=90, high=210),
+        study.nearest_measurement(df, heights, "height", low=90, high=210),
         study.max_measurement_after(df, weights, "top"),
     ]
     out = study.assemble_analysis(out, values, ["person_id"])

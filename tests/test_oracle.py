@@ -21,11 +21,14 @@ PLAIN = [
     "g7_validate_progression", "m4_one_to_one_match", "m7_window_outcome_update", "m9_episode_output",
     "e6_interval_consensus", "e12_apply_refinement", "a1_by_outcome", "v4_match_episodes", "v9_validation_summary",
     "k2_closest_episode_to_survey", "k13_concept_set_events_all", "k22_first_episode", "t2_kaplan_meier", "t3_log_rank",
+    "t4_incidence_rate_ci", "t5_cox_ph", "t5_ph_test", "t6_logistic_or", "t6_logistic_profile",
 ]
 SKEWED = [
     "h1_sessionize_all_groups", "h6_outcome_hierarchy", "h8_gestation_only_episodes", "h10_validate_and_clip",
     "g1_pair_compatibility", "g3_assign_episodes", "g7_validate_progression", "m4_one_to_one_match",
     "e12_apply_refinement", "k13_concept_set_events_all", "k14_set_summary", "v4_match_episodes",
+    "v3_derive_registry_outcome", "v4_match_by_order", "k13_measurements_before", "k13_visit_ever_before", "k23_exposure_pattern",
+    "k23_exposure_transitions", "k25_closest_measurement", "k26_max_measurement_after", "t1_table_one_numbers",
 ]
 if os.environ.get("ALL_QUERIES"):
     PLAIN = SKEWED = list(SQL)
