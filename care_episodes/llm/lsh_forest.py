@@ -12,12 +12,14 @@ its whole word sequence if that is shorter.  Two documents are linked when 100 *
 4. The whole round: every class is compared with all classes that share a prefix of `MIN_DEPTH` values with it in some tree and
    are not of its component.  A region of more than `CELL` classes is cut into blocks, and each pair of blocks is a cell of its
    own, so a thick region is dealt out and costs the square of its classes in comparisons.
-5. Candidates whose estimate from 8-bit minhashes is too low are dropped (5 standard deviations below the threshold).  The
-   others are confirmed on the full sets, the best of each class and component first, then more of those that are still apart,
-   until no unconfirmed candidate joins two components.  A confirmed link never joins two documents below the threshold.
+5. Within a cell a pair is dropped if the sizes of the sets rule it out, or if its estimate is 5 standard deviations below the
+   threshold: first by the 160 minhashes, then together with a finer sketch of `FINE` one-bit minhashes, which only classes that
+   share a region with another component have.  So what leaves a cell are pairs near the threshold, not those that share a common passage.
+6. They are confirmed on the full sets, the best of each class and component first, then more of those that are still apart, until
+   no unconfirmed candidate joins two components.  A confirmed link never joins two documents below the threshold.
 
-A pair at the threshold shares a prefix of 2 in a tree with probability 0.56, so the 20 trees miss it with 6e-8; tests and
-README measure the recall against brute force.
+A pair at the threshold shares a prefix of 2 in a tree with probability 0.56, so the 20 trees miss it with 6e-8, and an estimate drops it
+with 3e-7; tests and README measure the recall against brute force.
 
 Defined results: null and empty texts and texts without words have an empty set, n_shingles 0, and are linked with nothing:
 component_id is their own doc_id.  Rows that repeat a doc_id are rows of their own; their component is named by the smallest
@@ -48,6 +50,8 @@ HASHES = TREES * DEPTH
 NEAREST = (2, 64)
 #: A pair at the threshold falls below this estimate with a chance of about 1 in 3 million (5 standard deviations).
 SURE = 0.17
+#: One-bit minhashes of the finer sketch, and how far a pair at the threshold may fall below it by both sketches together (5 deviations).
+FINE, SURE_FINE = 2048, 0.067
 #: In the quick rounds, of the candidates that would join a class to one component, those are tried whose estimate is this near
 #: to the best one's.
 LIKELY = 0.06
@@ -61,6 +65,10 @@ MORE = 16
 _RANDOM = np.random.default_rng(20_240_517)
 _FACTORS = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
 _SHIFTS = _RANDOM.integers(0, 1 << 63, HASHES, dtype=np.uint64)
+_FINE_FACTORS = _RANDOM.integers(1, 1 << 63, FINE, dtype=np.uint64) | np.uint64(1)
+_FINE_SHIFTS = _RANDOM.integers(0, 1 << 63, FINE, dtype=np.uint64)
+#: Weight of the finer sketch: variances at 0.75 are 0.75 * 0.25 / HASHES, and 4 * 0.875 * 0.125 / FINE for one bit.
+_FINE_WEIGHT = (0.1875 / HASHES) / (0.1875 / HASHES + 0.4375 / FINE)
 
 
 def shingle_sets(column: pa.Array, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -91,6 +99,25 @@ def minhashes(shingles: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def fine_sketches(shingles: list[np.ndarray]) -> np.ndarray:
+    """(sets, FINE / 8) bytes: the lowest bit of each of FINE minhashes; sets are not empty."""
+    values = np.concatenate(shingles)
+    starts = np.concatenate([[0], np.cumsum([len(s) for s in shingles])[:-1]])
+    bits = np.empty((FINE, len(shingles)), bool)
+    for k in range(FINE):
+        hashed = (((values ^ _FINE_SHIFTS[k]) * _FINE_FACTORS[k]) >> np.uint64(32)).astype(np.uint32)
+        bits[k] = np.minimum.reduceat(hashed, starts) & np.uint32(1)
+    return np.packbits(bits.T, axis=1)
+
+
+def _fine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, 64):
+            part = batch.slice(start, 64)
+            sets = [x.values.to_numpy().view(np.uint64) for x in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([b.tobytes() for b in fine_sketches(sets)], pa.binary())], names=["set_id", "fine"])
+
+
 def _fingerprint(shingles: np.ndarray) -> bytes:
     if not len(shingles):
         return b""
@@ -252,6 +279,8 @@ def _apart(threshold: float):
             group = part.column(6).slice(0, end).dictionary_encode().indices.to_numpy()
             few = np.frombuffer(b"".join(part.column(7).slice(0, end).to_pylist()), np.uint8).reshape(end, HASHES)
             prefixes = np.frombuffer(b"".join(part.column(8).slice(0, end).to_pylist()), np.int64).reshape(end, TREES)
+            fine = np.frombuffer(b"".join(part.column(9).slice(0, end).to_pylist()), np.uint64).reshape(end, FINE // 64)
+            size_of = part.column(10).to_numpy()[:end].astype(np.float64)
             late, back = np.arange(end), 0
             found: list[tuple] = []
             size = 0
@@ -261,9 +290,13 @@ def _apart(threshold: float):
                 late = late[cell[late] == cell[late - back]]
                 if len(late):
                     x = late[(group[late] != group[late - back]) & (within[late] | (block[late] != block[late - back]))]
+                    x = x[np.minimum(size_of[x], size_of[x - back]) >= threshold * np.maximum(size_of[x], size_of[x - back])]
                     share = (few[x] == few[x - back]).mean(axis=1)
                     estimate = (share - 1 / 256) / (1 - 1 / 256)
-                    good = estimate >= least
+                    x, estimate = x[estimate >= least], estimate[estimate >= least]
+                    finer = 1 - 2 * np.bitwise_count(fine[x] ^ fine[x - back]).sum(axis=1) / FINE
+                    estimate = estimate + _FINE_WEIGHT * (finer - estimate)
+                    good = estimate >= threshold - SURE_FINE
                     x, estimate = x[good], estimate[good]
                     earlier = (prefixes[x] == prefixes[x - back]) & (np.arange(TREES) < tree[x][:, None])
                     new = ~earlier.any(axis=1)
@@ -326,8 +359,8 @@ def with_roots(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataF
     return rows.join(named, node, "left").withColumn(root, F.coalesce(root, node))
 
 
-def apart(met: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, estimate) of all pairs that share a prefix in some tree and are not of one component, each pair once."""
+def apart(met: DataFrame, sets: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, estimate) of the pairs that share a prefix in some tree, are not of one component and may reach the threshold, each pair once."""
     classes = materialize(
         with_roots(met.mapInArrow(_prefixes, "set_id binary, list array<long>, prefixes binary, sketch binary"), roots, "set_id", "root")
     )
@@ -335,10 +368,13 @@ def apart(met: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     # Only regions of two components or more; their size says into how many blocks they are cut.
     sizes = entries.groupBy("prefix").agg(F.count("*").alias("n"), F.min("root").alias("r"), F.max("root").alias("s")).where("r != s")
     sizes = sizes.select("prefix", F.ceil(F.col("n") / CELL).cast("int").alias("blocks"))
-    placed = entries.drop("root").join(sizes, "prefix").withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks").cast("int"))
+    placed = materialize(entries.drop("root").join(sizes, "prefix").withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks").cast("int")))
+    fine = sets.join(placed.select("set_id").distinct(), "set_id", "left_semi")
+    fine = fine.mapInArrow(_fine, "set_id binary, fine binary").join(sets.select("set_id", F.size("shingles").alias("n")), "set_id")
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("prefix", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "tree", "block", "set_id")
-    full = dealt.join(classes.drop("list"), "set_id").select("prefix", "low", "high", "tree", "block", "set_id", "root", "sketch", "prefixes")
+    named = materialize(classes.drop("list").join(fine, "set_id"))
+    full = dealt.join(named, "set_id").select("prefix", "low", "high", "tree", "block", "set_id", "root", "sketch", "prefixes", "fine", "n")
     cells = full.repartition("prefix", "low", "high").sortWithinPartitions("prefix", "low", "high")
     pairs = cells.mapInArrow(_apart(threshold), "x binary, y binary, estimate double")
     return materialize(pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"), "estimate"))
@@ -412,9 +448,11 @@ def near_classes(docs: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, D
     )
     classes = signed.where("n_shingles > 0").groupBy("set_id").agg(F.any_value("signature").alias("signature"))
     met = meeting(materialize(classes))
-    # One text for each class that met another one; its set is made again from the whole text.
-    owners = signed.select("doc_id", "set_id").join(met.select("set_id"), "set_id", "left_semi").groupBy("set_id").agg(F.min("doc_id").alias("owner"))
-    texts = docs.select("doc_id", "text").join(owners.select(F.col("owner").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # One row for each class that met another one; its set is made again from the whole text.
+    met_rows = signed.select("doc_id", "text_id", "set_id").join(met.select("set_id"), "set_id", "left_semi")
+    owners = met_rows.groupBy("set_id").agg(F.min(F.struct("text_id", "doc_id")).alias("o")).select("o.text_id", F.col("o.doc_id").alias("owner")).distinct()
+    mine = F.col("owner").eqNullSafe(F.col("doc_id"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text").alias("d").join(owners.alias("w"), (F.col("d.text_id") == F.col("w.text_id")) & mine, "left_semi")
     sets = materialize(texts.select("text").mapInArrow(_sets, "set_id binary, shingles array<long>").dropDuplicates(["set_id"]))
     nearest = candidates(met, None, threshold, NEAREST[0])
     best = nearest.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
@@ -422,7 +460,7 @@ def near_classes(docs: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, D
     rest = candidates(met, components(links), threshold, NEAREST[1])
     links = links.union(confirmed(rest, sets, threshold))
     roots = materialize(components(links))
-    return signed, linked_apart(apart(met, roots, threshold), sets, links, roots, threshold)
+    return signed, linked_apart(apart(met, sets, roots, threshold), sets, links, roots, threshold)
 
 
 def judged(docs: DataFrame, threshold: float = 0.75) -> DataFrame:

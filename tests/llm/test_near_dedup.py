@@ -42,6 +42,28 @@ def test_documents_repeated_rows_null_ids_and_columns(spark):
     assert sorted(r["doc_id"] for r in rows(kept)) == [3, 7]
 
 
+def test_documents_with_null_ids_only(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = [*words[:-1], "other"]
+    df = spark.createDataFrame([(None, " ".join(words)), (None, " ".join(near)), (None, "nothing like it"), (4, "alone")], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in rows(lsh_forest.deduplicate(df))), key=str)
+    assert got == sorted([(None, 56, None, True), (None, 56, None, True), (None, 1, None, True), (4, 1, 4, True)], key=str)
+    assert len(rows(lsh_forest.keep_first(df))) == 4
+
+
+def test_finer_sketch_estimates_similarity():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 63, 800, dtype=np.uint64)
+    for share in (0.6, 0.75, 0.9):
+        both = int(400 * share)
+        x = np.unique(pool[:400])
+        y = np.unique(np.concatenate([pool[:both], pool[400 : 800 - both]]))
+        exact = len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+        a, b = lsh_forest.fine_sketches([x, y])
+        finer = 1 - 2 * np.bitwise_count(a ^ b).sum() / lsh_forest.FINE
+        assert abs(finer - exact) < 0.08
+
+
 def test_documents_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert rows(lsh_forest.deduplicate(df)) == []
