@@ -237,7 +237,7 @@ def test_leaks_in_blocks(spark, monkeypatch):
 
 # ---- pages ----------------------------------------------------------------------------------
 def main_text(html):
-    return page_templates.main_text(html, frozenset(), frozenset(), {})
+    return page_templates.main_text(html, [], {})
 
 
 @pytest.mark.parametrize(
