@@ -2,16 +2,18 @@
 
 Words: the text in lower case; runs of letters a-z, digits and anything beyond ASCII.  First pass: in how many documents each
 `SEED_WORDS`-gram of the benchmark occurs, counted over all documents.  An item's seeds are all its grams that occur in some
-document, however often, so that any copy with `SEED_WORDS` words left in a row holds a seed.  Second pass: hits of one item on near diagonals of a document form a window, and the item is aligned with each window
-by words (match 1, mismatch and gap -0.6).  The score is the best local alignment divided by the item's length.  A
-pair counts when it reaches `least`; items under `SHORT` words must be there in full.
+document, however often, so that any copy with `SEED_WORDS` words left in a row holds a seed.  Second pass: a hit is a place in a
+document, an item and the diagonals from the item's first to its last place of that gram, so a gram that an item repeats is one hit.  Hits
+of one item on near diagonals of a document form a window, and the item is aligned with each window by words (match 1, mismatch and
+gap -0.6).  The score is the best local alignment divided by the item's length.  A pair counts when it reaches `least`; items
+under `SHORT` words must be there in full, those of one or two words are looked up as they are.
 
-Defined results: null and empty texts, texts and items without words, and items with fewer words than a seed pair with
-nothing.  Rows that repeat a doc_id are judged one by one; equal rows of the result are listed once.  Benchmark rows that
+Defined results: null and empty texts, and texts and items without words, pair with nothing.  Rows that repeat a doc_id are judged one by one; equal rows of the result are listed once.  Benchmark rows that
 repeat an item_id are separate texts, the best score counts.  Ties do not matter, as scores and not places are returned.
 
 Scale: the benchmark is a set of queries that is held in blocks of at most `BLOCK_WORDS` words, each block compared with all
-documents by two scans without a shuffle of texts.  What reaches the driver is a block and one count for each of its grams.
+documents by two scans without a shuffle of texts.  What reaches the driver is a block and one count for each of its grams.  A gram
+of many items doesn't make a large table of hits: rows, and where one row is too much items, are taken `HITS` hits at a time.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from care_episodes.llm.buffers import slices, utf8
 from care_episodes.llm.columns import packed, unpacked
@@ -34,8 +37,10 @@ MATCH, PENALTY = 10, 6
 LEAST = 0.5
 SHORT = 8
 BLOCK_WORDS = 400_000
-#: Pairs aligned at once.
-BATCH = 256
+#: Pairs aligned at once, and cells of a row of the alignment.
+BATCH, CELLS = 256, 1 << 21
+#: Hits held at a time.
+HITS = 1 << 20
 
 
 def text_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -89,8 +94,13 @@ def smith_waterman(items: list[np.ndarray], texts: list[np.ndarray]) -> np.ndarr
     """Best local alignment score of each item with its text."""
     best = np.zeros(len(items), np.int64)
     order = np.argsort([len(t) for t in texts], kind="stable")
-    for start in range(0, len(items), BATCH):
-        part = order[start : start + BATCH]
+    start = 0
+    while start < len(order):
+        size = BATCH
+        while size > 1 and size * len(texts[order[min(start + size, len(order)) - 1]]) > CELLS:
+            size //= 2
+        part = order[start : start + size]
+        start += size
         wide, high = max(len(texts[i]) for i in part), max(len(items[i]) for i in part)
         text = np.zeros((len(part), wide), np.uint64)
         item = np.ones((len(part), high), np.uint64)
@@ -114,60 +124,113 @@ def smith_waterman(items: list[np.ndarray], texts: list[np.ndarray]) -> np.ndarr
     return best / MATCH
 
 
-def _aligned(values: np.ndarray, owners: list[np.ndarray], words: np.ndarray, bounds: np.ndarray, ids: list, least: float) -> Callable:
-    """owners[k]: the places (in words) of the seeds equal to values[k]."""
-    first = np.concatenate([[0], np.cumsum([len(o) for o in owners])]).astype(np.int64)
-    places = np.concatenate(owners) if owners else np.zeros(0, np.int64)
+class Seeds:
+    """The items' grams: for each distinct one the items that hold it, with their first and last place of it."""
+
+    def __init__(self, found: np.ndarray, item: np.ndarray, place: np.ndarray):
+        order = np.lexsort((place, item, found))
+        found, item, place = found[order], item[order], place[order]
+        fresh = np.append(True, (found[1:] != found[:-1]) | (item[1:] != item[:-1]))
+        start = np.flatnonzero(fresh)
+        self.item, self.first, self.last = item[start], place[start], place[np.append(start[1:], len(found)) - 1]
+        self.values, of = np.unique(found[start], return_inverse=True)
+        self.n_items = int(self.item.max()) + 1
+        self.owner = of * self.n_items + self.item  # ascending
+
+    def range(self, k: np.ndarray, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the owners of the values k among items low..high - 1 begin, and how many they are."""
+        a = np.searchsorted(self.owner, k * self.n_items + low)
+        return a, np.searchsorted(self.owner, k * self.n_items + high) - a
+
+
+def hits(seeds: Seeds, k: np.ndarray, row: np.ndarray, where: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """(row, item, first and last diagonal) of the places `where` (in their rows) that hold the values k; some rows, or some items, at a time."""
+    _, times = seeds.range(k, 0, seeds.n_items)
+    start = 0
+    while start < len(k):
+        total = np.cumsum(times[start:])
+        end = start + int(np.searchsorted(total, HITS, side="right"))
+        if end < len(k):
+            end = max(start, int(np.searchsorted(row, row[min(end, len(k) - 1)])))  # whole rows
+        parts = 1
+        if end == start:  # one row alone has more
+            end = int(np.searchsorted(row, row[start], side="right"))
+            parts = min(seeds.n_items, -(-int(total[end - start - 1]) // HITS))
+        some = slice(start, end)
+        for p in range(parts):
+            low, high = seeds.n_items * p // parts, seeds.n_items * (p + 1) // parts
+            at, n = seeds.range(k[some], low, high)
+            spot = np.repeat(at, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            place = np.repeat(where[some], n)
+            yield np.repeat(row[some], n), seeds.item[spot], place - seeds.last[spot], place - seeds.first[spot]
+        start = end
+
+
+def _aligned(seeds: Seeds | None, brief: dict[int, tuple[np.ndarray, np.ndarray]], words: np.ndarray, bounds: np.ndarray, ids: list, id_type: pa.DataType, least: float) -> Callable:
+    """`brief` has the sequences of items of one and two words by their length: (hashes, items), by hash."""
     length = np.diff(bounds)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = Lookup(values)
+        find = Lookup(seeds.values) if seeds else None
         for batch in slices(batches, "text", most_rows=1000):
             hashes, rows = text_words(batch.column(2))
-            found, at = grams(hashes, rows)
-            hit, k = find(found)
-            times = first[k + 1] - first[k]
-            spot = np.repeat(first[k], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            where = np.repeat(at[hit], times)
-            place = places[spot]
-            item = np.searchsorted(bounds, place, side="right") - 1
-            row = np.searchsorted(rows, where, side="right") - 1
-            diagonal = (where - rows[row]) - (place - bounds[item])
-            if not len(row):
-                continue
-            order = np.lexsort((diagonal, item, row))
-            row, item, diagonal = row[order], item[order], diagonal[order]
-            slack = np.maximum(4, length[item] // 4)
-            fresh = np.ones(len(row), bool)
-            fresh[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] - diagonal[:-1] > slack[1:])
-            start = np.flatnonzero(fresh)
-            end = np.append(start[1:], len(row)) - 1
-            r, i = row[start], item[start]
-            low = np.maximum(diagonal[start] - slack[start], 0) + rows[r]
-            high = np.minimum(diagonal[end] + length[i] + slack[start] + rows[r], rows[r + 1])
             best: dict[tuple[int, int], float] = {}
-            for a in range(0, len(r), 4 * BATCH):
-                part = slice(a, a + 4 * BATCH)
-                scores = smith_waterman(
-                    [words[bounds[x] : bounds[x + 1]] for x in i[part]], [hashes[x:y] for x, y in zip(low[part], high[part], strict=True)]
-                )
-                for x, y, s in zip(r[part], i[part], scores / length[i[part]], strict=True):
-                    if s >= (least if length[y] >= SHORT else 1.0) - 1e-6:
-                        best[int(x), int(y)] = max(best.get((int(x), int(y)), 0.0), float(s))
+            for n, (values, items) in brief.items():
+                runs = windows(hashes, n)
+                own = np.searchsorted(rows, np.arange(len(runs)), side="right") - 1
+                whole = np.flatnonzero(np.arange(len(runs)) + n <= rows[own + 1]) if len(runs) else np.zeros(0, np.int64)
+                low, high = np.searchsorted(values, runs[whole]), np.searchsorted(values, runs[whole], side="right")
+                for w in np.flatnonzero(high > low):
+                    for y in items[low[w] : high[w]]:
+                        best[int(own[whole[w]]), int(y)] = 1.0
+            if find:
+                found, at = grams(hashes, rows)
+                hit, k = find(found)
+                own = np.searchsorted(rows, at[hit], side="right") - 1
+                for row, item, low, high in hits(seeds, k, own, at[hit] - rows[own]):
+                    _align(best, hashes, rows, words, bounds, length, least, row, item, low, high)
             if best:
                 keys = list(best)
                 take = pa.array([x for x, _ in keys])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take), pa.array([ids[y] for _, y in keys], pa.int64()), pa.array([best[x] for x in keys])],
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array([ids[y] for _, y in keys], id_type), pa.array([best[x] for x in keys])],
                     names=["doc_id", "text_id", "item_id", "score"],
                 )
 
     return run
 
 
+def _align(best, hashes, rows, words, bounds, length, least, row, item, first, last) -> None:
+    """Joins hits on near diagonals to windows, aligns them, and keeps the best score of each (row, item) that reaches the threshold."""
+    if not len(row):
+        return
+    order = np.lexsort((first, item, row))
+    row, item, first, last = row[order], item[order], first[order], last[order]
+    slack = np.maximum(4, length[item] // 4)
+    pair = np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]))
+    # The furthest diagonal so far within the pair.
+    base = np.cumsum(pair) * (1 << 40)
+    reach = np.maximum.accumulate(last + base) - base
+    fresh = pair.copy()
+    fresh[1:] |= first[1:] - reach[:-1] > slack[1:]
+    start = np.flatnonzero(fresh)
+    end = np.append(start[1:], len(row)) - 1
+    r, i = row[start], item[start]
+    low = np.maximum(first[start] - slack[start], 0) + rows[r]
+    high = np.minimum(reach[end] + length[i] + slack[start] + rows[r], rows[r + 1])
+    for a in range(0, len(r), 4 * BATCH):
+        part = slice(a, a + 4 * BATCH)
+        scores = smith_waterman(
+            [words[bounds[x] : bounds[x + 1]] for x in i[part]], [hashes[x:y] for x, y in zip(low[part], high[part], strict=True)]
+        )
+        for x, y, s in zip(r[part], i[part], scores / length[i[part]], strict=True):
+            if s >= (least if length[y] >= SHORT else 1.0) - 1e-6:
+                best[int(x), int(y)] = max(best.get((int(x), int(y)), 0.0), float(s))
+
+
 def blocks(benchmark: DataFrame) -> Iterator[tuple[list, list]]:
     """The benchmark in blocks of bounded size: (item ids, texts)."""
-    sized = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text")).where("text is not null")
+    sized = benchmark.select("item_id", F.lower("text").alias("text")).where("text is not null")
     total = sized.agg(F.sum(F.length("text"))).first()[0] or 0
     n = 1 + total // (3 * BLOCK_WORDS)  # a word and its gap have three characters at least, as a rule
     block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
@@ -179,34 +242,37 @@ def blocks(benchmark: DataFrame) -> Iterator[tuple[list, list]]:
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = LEAST) -> DataFrame:
     """(doc_id, text_id, item_id, score) of every document and item that align; text_id is a hash of the text."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text_id long, item_id long, score double"
+    id_kind = "string" if isinstance(benchmark.schema["item_id"].dataType, StringType) else "long"
+    schema = f"doc_id {kind}, text_id long, item_id {id_kind}, score double"
     out = docs.sparkSession.createDataFrame([], schema)
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_id"), F.lower("text").alias("text"))
-    for ids, texts in blocks(benchmark):
+    for ids, texts in blocks(benchmark.withColumn("item_id", F.col("item_id").cast(id_kind))):
         words, bounds = text_words(pa.array(texts, pa.string()))
+        brief = {}
+        for n in range(1, SEED_WORDS):
+            items = np.flatnonzero(np.diff(bounds) == n)
+            if len(items):
+                runs = windows(words, n)[bounds[items]]
+                order = np.argsort(runs, kind="stable")
+                brief[n] = (runs[order], items[order])
         found, at = grams(words, bounds)
-        if not len(found):
-            continue
-        values, which = np.unique(found, return_inverse=True)
-        counts = rows.select("text").mapInArrow(_frequencies(values), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
-        frequency = np.zeros(len(values), np.int64)
-        for gram, n in counts:  # one row for each gram of the block
-            frequency[gram] = n
-        seeds = np.flatnonzero(frequency[which])
-        if not len(seeds):
-            continue
-        seed_values, seed_of = np.unique(found[seeds], return_inverse=True)
-        by_value = _grouped(at[seeds], seed_of, len(seed_values))
-        out = out.union(rows.mapInArrow(_aligned(seed_values, by_value, words, bounds, ids, least), schema))
+        seeds = None
+        if len(found):
+            values, which = np.unique(found, return_inverse=True)
+            counts = rows.select("text").mapInArrow(_frequencies(values), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
+            frequency = np.zeros(len(values), np.int64)
+            for gram, n in counts:  # one row for each gram of the block
+                frequency[gram] = n
+            used = np.flatnonzero(frequency[which])
+            if len(used):
+                item = np.searchsorted(bounds, at[used], side="right") - 1
+                seeds = Seeds(found[used], item, at[used] - bounds[item])
+        if seeds or brief:
+            out = out.union(rows.mapInArrow(_aligned(seeds, brief, words, bounds, ids, pa.string() if id_kind == "string" else pa.int64(), least), schema))
     best = out.groupBy("doc_id", "text_id", "item_id").agg(F.max("score").alias("score"))
     return materialize(best)
 
 
-def _grouped(places: np.ndarray, group: np.ndarray, n: int) -> list[np.ndarray]:
-    order = np.argsort(group, kind="stable")
-    return np.split(places[order], np.searchsorted(group[order], np.arange(1, n)))
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, score) of every contaminated document."""
     return contaminated(docs, benchmark).groupBy("doc_id", "item_id").agg(F.max("score").alias("score"))

@@ -2,7 +2,7 @@ r"""Line dedup by a deletion-neighbourhood join.
 
 Lines are split at \n.  A line counts by its words (A-Z in lower case; runs of letters a-z, digits and anything beyond
 ASCII); a line without words is left alone.  A line is removed when an equal one, or one within the edit bound, stands
-earlier, that is at a smaller (doc_id, line number).  The bound is one word inserted, deleted or replaced, for lines of at
+earlier, that is at a smaller (doc_id, line number); of different texts with one doc_id that of smaller md5 is the earlier one.  The bound is one word inserted, deleted or replaced, for lines of at
 least `NEAR_WORDS` words; shorter lines must be equal.  Lines are judged on the input, not on what is left, so the result
 depends on no order of work.
 
@@ -16,8 +16,8 @@ depends on no order of work.
 4. For every line that got an earlier neighbour this way the edit distance is verified on the words themselves; only then
    does the neighbour count.
 
-Defined results: null and empty texts have no line with words and stay as they are.  Rows that repeat a doc_id share its
-places, and a place is never earlier than itself, so repeated rows keep or lose the same lines.  Extra columns pass through.
+Defined results: null and empty texts have no line with words and stay as they are.  Rows that repeat doc_id and text share
+their places, and a place is never earlier than itself, so repeated rows keep or lose the same lines.  Extra columns pass through.
 A document whose lines with words all went is dropped by `clean`; documents that had none stay.
 
 Scale: what is shuffled is a few longs a line, the neighbourhoods of step 3, and the texts that hold such lines.  All
@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from care_episodes.functions.scan import null_safe_join, ordered_parts, running_sums
 from care_episodes.llm.buffers import slices, utf8
 from care_episodes.llm.columns import packed, unpacked
 from care_episodes.llm.mixing import ranked
@@ -187,6 +188,17 @@ def earlier_neighbours(variants: DataFrame) -> DataFrame:
     )
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """The packed rows with text and doc_id, where doc_id becomes (doc_id, version): different texts of one id are told apart by number."""
+    ids = docs.where("text is not null").select("doc_id", F.md5("text").alias("hash")).distinct()
+    several = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    parts = ordered_parts(null_safe_join(ids, several, ["doc_id"], "left_semi"), ["doc_id"], ["hash"])
+    versions = materialize(running_sums(parts, ["doc_id"], ["hash"], {"version": F.lit(1)}).select("doc_id", "hash", "version"))
+    rows = packed(docs, doc_id=F.col("doc_id"), text=F.col("text"), hash=F.md5("text"))
+    both = null_safe_join(rows, versions, ["doc_id", "hash"], "left")
+    return both.select("row", "text", F.struct("doc_id", F.coalesce("version", F.lit(0)).cast("int").alias("version")).alias("doc_id"))
+
+
 def place() -> Column:
     return F.struct("doc_id", "line")
 
@@ -232,7 +244,12 @@ def classes_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line, near, first_doc_id, first_line) of every line that goes; `near` where no equal line stands earlier."""
+    """(doc_id, version, line, near, first_doc_id, first_line) of every line that goes; `near` where no equal line stands earlier."""
+    found = _removed(keyed(docs))
+    return found.select("doc_id.doc_id", "doc_id.version", "line", "near", F.col("first_doc_id.doc_id").alias("first_doc_id"), "first_line")
+
+
+def _removed(docs: DataFrame) -> DataFrame:
     lines, classes = classes_of(docs)
     at = F.struct("doc_id", "line")
     return (
@@ -258,10 +275,11 @@ def _without(text: Column, gone: Column) -> Column:
 
 def _decided(docs: DataFrame) -> DataFrame:
     """The packed rows with `gone` (line numbers) and `n_near`."""
-    gone = removed_lines(docs).groupBy(F.col("doc_id").alias("gone_id")).agg(
+    rows = keyed(docs)
+    gone = _removed(rows).groupBy(F.col("doc_id").alias("gone_id")).agg(
         F.sort_array(F.collect_list("line")).alias("gone"), F.count_if("near").alias("n_near")
     )
-    rows = packed(docs, id=F.col("doc_id"), text=F.col("text"))
+    rows = rows.withColumnRenamed("doc_id", "id")
     return rows.join(gone, F.col("id").eqNullSafe(F.col("gone_id")), "left")
 
 
@@ -278,7 +296,7 @@ def digest(docs: DataFrame) -> DataFrame:
     n = F.coalesce(F.size("gone"), F.lit(0)).cast("long")
     text = F.when(F.col("gone").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("gone")))
     return _decided(docs).select(
-        F.col("id").alias("doc_id"),
+        F.col("id.doc_id").alias("doc_id"),
         F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long").alias("n_lines"),
         F.when(F.col("gone").isNull(), F.lit(0)).otherwise(n).cast("long").alias("n_removed"),
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -288,12 +306,12 @@ def digest(docs: DataFrame) -> DataFrame:
 
 #: Deletion neighbourhoods of all lines, without the halves that save work.
 ORACLE = r"""
-WITH raw AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+WITH raw AS (SELECT doc_id, dense_rank() OVER (PARTITION BY doc_id ORDER BY md5(text)) AS v, text, string_split(text, chr(10)) AS parts FROM documents),
 lines AS (
-  SELECT doc_id, (i - 1)::BIGINT AS line, regexp_extract_all(
+  SELECT doc_id, v, (i - 1)::BIGINT AS line, regexp_extract_all(
            translate(parts[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
   FROM raw, unnest(range(1, len(parts) + 1)) AS t(i)),
-distinct_lines AS (SELECT words, min({'doc_id': doc_id, 'line': line}) AS first FROM lines WHERE len(words) > 0 GROUP BY words),
+distinct_lines AS (SELECT words, min({'doc_id': doc_id, 'v': v, 'line': line}) AS first FROM lines WHERE len(words) > 0 GROUP BY words),
 long_lines AS (SELECT words, len(words) AS n, first FROM distinct_lines WHERE len(words) >= 8),
 shorter AS (
   SELECT words, n, first, i, md5(array_to_string(words[1 : i - 1] || words[i + 1 :], ' ')) AS key
@@ -308,12 +326,12 @@ near AS (
     SELECT l.words, s.first FROM shorter s JOIN long_lines l ON s.key = md5(array_to_string(l.words, ' ')) AND l.n = s.n - 1 WHERE s.first < l.first)
   GROUP BY words),
 judged AS (
-  SELECT l.doc_id, l.line, d.first < {'doc_id': l.doc_id, 'line': l.line} AS equal_before,
-         coalesce(n.near < {'doc_id': l.doc_id, 'line': l.line}, false) AS near_before
+  SELECT l.doc_id, l.v, l.line, d.first < {'doc_id': l.doc_id, 'v': l.v, 'line': l.line} AS equal_before,
+         coalesce(n.near < {'doc_id': l.doc_id, 'v': l.v, 'line': l.line}, false) AS near_before
   FROM lines l JOIN distinct_lines d USING (words) LEFT JOIN near n USING (words)),
 gone AS (
-  SELECT doc_id, list(line) AS gone, count(*) FILTER (NOT equal_before) AS n_near FROM judged WHERE equal_before OR near_before GROUP BY doc_id)
+  SELECT doc_id, v, list(DISTINCT line) AS gone, count(DISTINCT line) FILTER (NOT equal_before) AS n_near FROM judged WHERE equal_before OR near_before GROUP BY doc_id, v)
 SELECT r.doc_id, coalesce(len(parts), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed, coalesce(n_near, 0)::BIGINT AS n_near,
        md5(CASE WHEN gone IS NULL THEN text ELSE array_to_string([parts[i] FOR i IN range(1, len(parts) + 1) IF NOT list_contains(gone, i - 1)], chr(10)) END) AS left_md5
-FROM raw r LEFT JOIN gone g USING (doc_id)
+FROM raw r LEFT JOIN gone g ON g.doc_id IS NOT DISTINCT FROM r.doc_id AND g.v = r.v
 """

@@ -7,7 +7,7 @@ With target = (whole + fraction) * source size each document is repeated `whole`
 in a seeded order are repeated once more until the fraction is filled to the nearest document.
 
 Defined results: null or empty text has size 0 and takes 0 words; a null source is a source of its own and the last one;
-rows that repeat a doc_id stand at one place of the order and are taken together; an empty table gives an empty result; all
+rows that repeat doc_id and text stand at one place of the order and are taken together; an empty table gives an empty result; all
 sizes 0 give targets 0.  Input columns named like an added column are replaced by it, others pass through.
 
 Scale: texts are read once for sizes and once for the output.  All else works on (source, size, order) rows, summed on the
@@ -117,9 +117,14 @@ def repeats() -> Column:
     return F.col("whole") + F.when(F.col("place") <= F.col("last"), 1).otherwise(0)
 
 
+def place_of(seed: int) -> Column:
+    """A document's place in the order: by its id and text."""
+    return seeded_order(F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))), seed)
+
+
 def mix(docs: DataFrame, seed: int = 17, share: float = 1.5, max_epochs: int = 2) -> DataFrame:
     """Each document with size, source_size, target, n_repeats and taken (size * n_repeats)."""
-    place = seeded_order(F.col("doc_id"), seed)
+    place = place_of(seed)
     sized = materialize(docs.select("source", word_count(F.col("text")).alias("size"), place.alias("place")))
     plan = source_plan(sized, share, max_epochs).withColumnRenamed("source", "plan_source")
     rows = packed(docs, of=F.col("source"), size=word_count(F.col("text")), place=place)
@@ -139,7 +144,7 @@ def repeat_rows(mixed: DataFrame) -> DataFrame:
 
 def mix_digest(docs: DataFrame, seed: int = 17) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document; works on sizes, texts are read once."""
-    place = seeded_order(F.col("doc_id"), seed)
+    place = place_of(seed)
     sized = materialize(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), place.alias("place")))
     plan = source_plan(sized).withColumnRenamed("source", "plan_source")
     return sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).select(
@@ -151,7 +156,7 @@ def mix_digest(docs: DataFrame, seed: int = 17) -> DataFrame:
 ORACLE = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS place FROM documents),
+         ('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS place FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::BIGINT AS weight FROM sized GROUP BY source),
