@@ -51,7 +51,7 @@ NEAREST = (2, 64)
 #: A pair at the threshold falls below this estimate with a chance of about 1 in 3 million (5 standard deviations).
 SURE = 0.17
 #: One-bit minhashes of the finer sketch, and how far a pair at the threshold may fall below it by both sketches together (5 deviations).
-FINE, SURE_FINE = 2048, 0.067
+FINE, SURE_FINE = 4096, 0.05
 #: In the quick rounds, of the candidates that would join a class to one component, those are tried whose estimate is this near
 #: to the best one's.
 LIKELY = 0.06
@@ -59,8 +59,10 @@ LIKELY = 0.06
 CELL = 1000
 #: Sets of a block when pairs are confirmed, and pairs of two blocks at least where there are few.
 BLOCK_SETS, CELL_PAIRS = 500, 200
-#: Candidates of a class and a component that are confirmed at once; each round takes so many times more.
-MORE = 16
+#: Candidates of a class and a component that are confirmed first; then come all that are still apart.
+FIRST = 4
+#: Bits of the table that keeps texts from being shuffled whose class met no other; a fixed size, so it is full where classes are very many.
+MARKS = 1 << 23
 
 _RANDOM = np.random.default_rng(20_240_517)
 _FACTORS = _RANDOM.integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -382,7 +384,7 @@ def apart(met: DataFrame, sets: DataFrame, roots: DataFrame, threshold: float) -
 
 def linked_apart(pairs: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
     """(node, root) after all of `pairs` (a, b, estimate) that join two components were confirmed, the best ones first."""
-    quota = 1
+    quota = FIRST
     while True:
         rest = with_roots(with_roots(pairs, roots, "a", "root_a"), roots, "b", "root_b").where("root_a != root_b")
         order = [F.desc("estimate"), F.col("a"), F.col("b")]
@@ -392,7 +394,7 @@ def linked_apart(pairs: DataFrame, sets: DataFrame, links: DataFrame, roots: Dat
         if rest.isEmpty():
             return roots
         found = confirmed(rest.where(F.col("rank") <= quota), sets, threshold)
-        pairs, quota = rest.where(F.col("rank") > quota).drop("rank"), quota * MORE
+        pairs, quota = rest.where(F.col("rank") > quota).drop("rank"), 1 << 60
         if not found.isEmpty():
             links = links.union(found)
             roots = materialize(components(links))
@@ -438,6 +440,27 @@ def confirmed(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return materialize(both.applyInArrow(_reaching(round(100 * threshold)), "a binary, b binary"))
 
 
+def marks_of(ids: DataFrame) -> np.ndarray:
+    """A table of MARKS bits, set at the text_ids."""
+    place = F.pmod("text_id", F.lit(MARKS))
+    words = ids.groupBy(F.floor(place / 32).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(text_id, {MARKS}) % 32 as int))")).alias("bits"))
+    table = np.zeros(MARKS // 32, np.uint32)
+    for r in words.collect():  # MARKS / 32 rows at most
+        table[r["word"]] = r["bits"]
+    return np.unpackbits(table.astype("<u4").view(np.uint8), bitorder="little")
+
+
+def _marked(marks: np.ndarray):
+    packed_marks = np.packbits(marks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(packed_marks).astype(bool)
+        for batch in batches:
+            yield batch.filter(pa.array(table[batch.column(1).to_numpy() % MARKS]))
+
+    return run
+
+
 def near_classes(docs: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, DataFrame]:
     """(doc_id, text_id, n_shingles, set_id) of every row, and (node, root) of the classes that are linked with others."""
     signed = materialize(
@@ -452,7 +475,10 @@ def near_classes(docs: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, D
     met_rows = signed.select("doc_id", "text_id", "set_id").join(met.select("set_id"), "set_id", "left_semi")
     owners = met_rows.groupBy("set_id").agg(F.min(F.struct("text_id", "doc_id")).alias("o")).select("o.text_id", F.col("o.doc_id").alias("owner")).distinct()
     mine = F.col("owner").eqNullSafe(F.col("doc_id"))
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_id"), "text").alias("d").join(owners.alias("w"), (F.col("d.text_id") == F.col("w.text_id")) & mine, "left_semi")
+    hashed = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("text_id"), "text")
+    owners = materialize(owners)
+    kept = hashed.mapInArrow(_marked(marks_of(owners)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_id long, text string")
+    texts = kept.alias("d").join(owners.alias("w"), (F.col("d.text_id") == F.col("w.text_id")) & mine, "left_semi")
     sets = materialize(texts.select("text").mapInArrow(_sets, "set_id binary, shingles array<long>").dropDuplicates(["set_id"]))
     nearest = candidates(met, None, threshold, NEAREST[0])
     best = nearest.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
