@@ -30,12 +30,14 @@ def age_years(event: Column, year: Column, month: Column, day: Column) -> Column
     return F.datediff(event, F.try_to_date(text, "y-M-d")) / F.lit(365.25)
 
 
-def parse_dates(df: DataFrame, name: str, output: str | None = None) -> DataFrame:
+def parse_dates(df: DataFrame, name: str, output: str | None = None, one_order: bool = False) -> DataFrame:
     """Make a date column out of whatever type a source delivers.
 
     Strings are read as year-month-day, else month-day-year, else day-month-year.  Numbers are
     days since 1899-12-30 if all of them are below 100000, otherwise seconds since 1970; that
     choice belongs to the column as a whole, so it takes one aggregate over the column.
+    With `one_order` a column of strings has one order of day and month too: the one that more of its values can be
+    read in (month first if as many), found by one aggregate; values that only fit the other one are null.
     """
     output = output or name
     kind = df.schema[name].dataType
@@ -52,6 +54,10 @@ def parse_dates(df: DataFrame, name: str, output: str | None = None) -> DataFram
         formats = ("y-M-d", "yyyyMMdd", "M-d-y", "d-M-y")
         iso = parts.substr(1, 10)
         tries = [F.try_to_date(iso, "yyyy-MM-dd")] + [F.try_to_date(parts, f) for f in formats]
+        if one_order:
+            year_first, month_first, day_first = F.coalesce(*tries[:3]), tries[3], tries[4]
+            counts = df.select(*[F.count(F.when(year_first.isNull(), c)).alias(n) for n, c in (("m", month_first), ("d", day_first))]).first()
+            tries = [year_first, day_first if counts["d"] > counts["m"] else month_first]
         return df.withColumn(output, F.coalesce(*tries))
     largest = df.agg(F.max(name)).first()[0]
     if largest is None or largest < 100000:

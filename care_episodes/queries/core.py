@@ -272,6 +272,17 @@ def s12_parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df
 
 
+@register("s12_parse_dates_by_column", "SELECT o_orderkey, o_orderdate::DATE day_first, CASE WHEN o_orderkey % 2 = 0 THEN o_orderdate::DATE END month_first FROM orders")
+def s12_parse_dates_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns of text, each with one order of day and month for all its values."""
+    (orders,) = tm.read(spark, sf_dir, "orders")
+    day, even = tm.day("o_orderdate"), F.col("o_orderkey") % 2 == 0
+    df = orders.select("o_orderkey", F.date_format(day, "dd/MM/yyyy").alias("day_first"), F.when(even, F.date_format(day, "MM.dd.yyyy")).alias("month_first"))
+    for name in ("day_first", "month_first"):
+        df = dates.parse_dates(df, name, one_order=True)
+    return df
+
+
 @register(
     "s13_check_contract",
     """SELECT 'c_custkey: bigint instead of int' AS problem, count(*) n_rows FROM customer

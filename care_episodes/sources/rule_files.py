@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import warnings
 from pathlib import PurePosixPath
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -98,9 +100,19 @@ def load_timing_concepts(spark: SparkSession, path: str | None = None) -> DataFr
     return r.default_timing_concepts(spark) if path is None else clean_timing_concepts(_read(spark, path))
 
 
+def _paths(spark: SparkSession, path: str, names: str = "*") -> list[str]:
+    """Files at `path` (a file or folder), in order; their content is not read.  None if nothing is there."""
+    try:
+        rows = spark.read.format("binaryFile").option("pathGlobFilter", names).load(path).select("path").collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(r["path"] for r in rows)
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return bool(_paths(spark, path))
 
 
 def load_term_limits(spark: SparkSession, path: str | None = None) -> DataFrame:
@@ -217,10 +229,7 @@ def load_concept_sets(spark: SparkSession, files: dict[str, str]) -> DataFrame:
 
 def load_concept_set_folder(spark: SparkSession, folder: str) -> DataFrame:
     """Every CSV file of a folder as a concept set named after the file."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    listing = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
-    paths = sorted(str(s.getPath().toString()) for s in listing)
-    files = {PurePosixPath(p).stem: p for p in paths if p.endswith(".csv")}
+    files = {PurePosixPath(unquote(p)).stem: unquote(p) for p in _paths(spark, folder, "*.csv")}
     return load_concept_sets(spark, files)
 
 
