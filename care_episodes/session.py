@@ -12,6 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_OWN: list[tempfile.TemporaryDirectory] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,7 +28,9 @@ def shared_folder(spark: SparkSession) -> str:
         return known
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="care-episodes-"))
+    own = tempfile.TemporaryDirectory(prefix="care-episodes-", ignore_cleanup_errors=True)
+    _OWN.append(own)  # goes when Python ends
+    spark.sparkContext.setCheckpointDir(own.name)
     return spark.sparkContext.getCheckpointDir()
 
 
