@@ -206,9 +206,9 @@ def _points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 vector = None
                 if value is not None and len(value) and not value.null_count and labels[k] is not None:
                     vector = np.asarray(value).astype(np.float64)
-                    with np.errstate(over="ignore"):
-                        square = float((vector * vector).sum())
-                    vector = vector if np.isfinite(vector).all() and 0 < square < np.inf else None
+                    largest = float(np.abs(vector).max())
+                    # Scaled by a power of two, which changes no cosine, so that no square over- or underflows.
+                    vector = np.ldexp(vector, -int(np.frexp(largest)[1])) if np.isfinite(largest) and largest > 0 else None
                 if vector is None:
                     names.append(None), vectors.append(None), groups.append(None)
                 else:

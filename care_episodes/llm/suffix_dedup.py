@@ -23,12 +23,12 @@ Grams, runs and suffixes are compared by hashes inside a bucket that is itself a
 whether the first or last half of a run occurs twice, and only save work), 64 + 64 for suffixes.
 
 Defined results: null text has 0 bytes and the hash of the empty string; texts under 100 bytes lose nothing.  Rows that repeat
-both doc_id and text share every place, so none is earlier than the other and they lose the same bytes; texts under one doc_id
-are told apart by 18 bits of their hash.  A null doc_id is smaller than any other.
+both doc_id and text share every place, so none is earlier than the other and they lose the same bytes; different texts under one
+doc_id stand in the order of their md5.  A null doc_id is smaller than any other.
 
 Scale: one row of 32 bytes for each 39 bytes of text is shuffled once, after rows that repeat within a part of a task are
 settled.  Texts are shuffled compressed.  They are handled in pieces of `PIECE` bytes, so memory is bounded by a text and a few
-arrays of a piece.  doc_id must be a whole number.
+arrays of a piece.  Ids that are no whole numbers, or have several texts, cost a numbering of all texts by ranges.
 """
 
 from __future__ import annotations
@@ -40,7 +40,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
+from care_episodes.functions.scan import null_safe_join, ordered_parts, running_sums
 from care_episodes.llm.buffers import slices, utf8
 from care_episodes.llm.words import mixed, powers
 from care_episodes.session import materialize
@@ -378,7 +380,24 @@ def repeated_runs(docs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
+
+    Where an id has several texts, or is no whole number, texts are numbered by (doc_id, md5 of the text) first, and
+    that is their order.
+    """
+    ids = docs.select("doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("hash"))
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        several = ids.groupBy("doc_id").agg(F.min("hash").alias("a"), F.max("hash").alias("b")).where("a <> b")
+        if several.isEmpty():
+            return _remove(docs.select("doc_id", "text"))
+    order = ["doc_id", "hash"]
+    numbered = materialize(running_sums(ordered_parts(ids.distinct(), [], order), [], order, {"number": F.lit(1).cast("long")}).select(*order, "number"))
+    rows = null_safe_join(docs.select("doc_id", "text", F.md5(F.coalesce("text", F.lit(""))).alias("hash")), numbered, order, "inner")
+    found = _remove(rows.select(F.col("number").alias("doc_id"), "text")).withColumnRenamed("doc_id", "number")
+    return found.join(numbered, "number").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def _remove(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bits().alias("bits"), "text").mapInArrow(
         _squeezed, "doc_id long, bits long, n_bytes long, squeezed binary"

@@ -106,3 +106,29 @@ def test_short_items_and_text_ids(spark):
     got = {(r["doc_id"], r["item_id"], r["score"]) for r in rows(contamination.leaks(table, benchmark))}
     assert got == {(1, "a", 1.0), (2, "a", 1.0), (4, "b", 1.0), (1, None, 1.0)}
     assert sorted(r["doc_id"] for r in rows(contamination.clean(table, benchmark))) == [3, 5, 6]
+
+
+def test_bytes_of_text_ids_and_of_many_texts_with_one_id(spark):
+    import hashlib
+
+    from care_episodes.llm import suffix_dedup
+    from tests.llm.test_text_dedup import expected_bytes
+
+    shared = prose(3, 40)
+    texts = [prose(k, 12) + (shared if k % 3 == 0 else "") + prose(k + 500, 12) for k in range(40)]
+    for ids, kind in ((["b", "a", None, "c"], "string"), ([7, 7, None, 2], "long")):
+        data = [(ids[k % 4], t) for k, t in enumerate(texts)] + [(ids[0], None), (ids[0], "")]
+        got = rows(suffix_dedup.remove_repeats(spark.createDataFrame(data, f"doc_id {kind}, text string")))
+        order = sorted(data, key=lambda r: (r[0] is not None, r[0] or type(ids[0])(), hashlib.md5((r[1] or "").encode()).hexdigest()))
+        want = expected_bytes([t for _, t in order])
+        assert sorted(((r["doc_id"], r["n_removed"], r["kept_sha256"]) for r in got), key=str) == sorted(((order[k][0], w[1], w[3]) for k, w in want.items()), key=str)
+    many = spark.createDataFrame([(None, f"{k} {shared[:120]} {k}") for k in range(600)], "doc_id long, text string")
+    assert sum(r["n_removed"] > 0 for r in rows(suffix_dedup.remove_repeats(many))) == 599
+
+
+def test_vectors_of_extreme_sizes(spark):
+    from care_episodes.llm import cover_tree
+
+    data = [(0, [1e-170, 0.0, 2e-170], 1), (1, [1e200, 0.0, 2.1e200], 1), (2, [1.0, 0.0, 2.0], 1), (3, [0.0, 1e300, 0.0], 1), (4, [0.0, 5e-324, 0.0], 1), (5, [float("inf"), 0.0, 0.0], 1)]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in rows(cover_tree.linked(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")))}
+    assert got == {0: (2, 0), 1: (2, 0), 2: (2, 0), 3: (1, 3), 4: (1, 3), 5: (0, 5)}
