@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from care_episodes.config import MONTH_DAYS, EpisodeConfig
 from care_episodes.functions.dates import date_of, day_of
 from care_episodes.functions.fixed_values import OUTCOME_CHOICE_ORDER
-from care_episodes.functions.primitives import number_groups, points_in_intervals
+from care_episodes.functions.primitives import best_point, number_groups, points_in_intervals
 from care_episodes.functions.rules import rank_of
 from care_episodes.session import materialize
 
@@ -111,6 +111,47 @@ def record_agreement(blocks: DataFrame, reach: DataFrame) -> DataFrame:
     return runs.join(reach, ["person_id", "run"], "left").withColumn("agrees", agrees).drop("reaches_run")
 
 
+def agreement_of_records(timing: DataFrame) -> DataFrame:
+    """G2 per record: (person_id, concept_id, event_date, min_month, max_month, agrees, n records).
+
+    A record agrees if a compatible pair of records encloses it: one before it, the other after it or the record itself.  Records of one
+    day and month range are compatible with each other, so all but the first of such a group agree.  For a first one
+    it takes the furthest group that is compatible with an earlier group; the furthest partner is, for each month range, the last group
+    up to the longest distance, found as of that day.  Groups are one per day and month range, for however many records.
+    """
+    daily = timing.groupBy(
+        "person_id", "concept_id", "event_date", day_of(F.col("event_date")).alias("day"), "min_month", "max_month"
+    ).agg(F.count(F.lit(1)).alias("n"))
+    groups = materialize(daily.groupBy("person_id", "day", "min_month", "max_month").agg(F.min("concept_id").alias("first_concept")))
+    place = ["day", "min_month", "max_month"]
+    ranges = groups.select("min_month", "max_month").distinct().collect()  # those of the timing list
+    partners = F.explode(F.array(*[F.struct(F.lit(r["min_month"]).alias("b_min"), F.lit(r["max_month"]).alias("b_max")) for r in ranges])) if ranges else None
+    if partners is None:
+        return daily.select("person_id", "concept_id", "event_date", "min_month", "max_month", F.lit(False).alias("agrees"), "n")
+    pairs = groups.select("person_id", *place, partners.alias("b")).select("person_id", *place, "b.*")
+    pairs = pairs.withColumns({
+        "nearest": (F.col("b_min") - F.col("max_month") - 2) * MONTH_DAYS,
+        "until": F.floor(F.col("day") + (F.col("b_max") - F.col("min_month") + 2) * MONTH_DAYS),
+    })
+    points = groups.select("person_id", F.col("min_month").alias("b_min"), F.col("max_month").alias("b_max"), F.col("day").alias("b_day"))
+    last = best_point(pairs, points, ["person_id", "b_min", "b_max"], "until", "b_day", F.struct((-F.col("b_day")).alias("order")), "before")
+    met = pairs.join(last.where("best is not null"), ["person_id", "b_min", "b_max", "until"]).withColumn("b_day", -F.col("best.order"))
+    partner = F.struct(F.col("b_day").alias("day"), F.col("b_min").alias("min_month"), F.col("b_max").alias("max_month"))
+    after = (F.col("b_day") - F.col("day") >= F.col("nearest")) & (partner > F.struct(*place))
+    furthest = met.where(after).groupBy("person_id", *place).agg(F.max(partner).alias("reaches"))
+    before = Window.partitionBy("person_id").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    agreeing = groups.join(furthest, ["person_id", *place], "left").withColumn(
+        "group_agrees", F.coalesce(F.max("reaches").over(before) >= F.struct(*place), F.lit(False))
+    )
+    both = daily.join(agreeing.drop("reaches"), ["person_id", *place])
+    is_first = F.col("concept_id") == F.col("first_concept")
+    one = F.when(is_first, F.struct(F.col("group_agrees").alias("agrees"), F.lit(1).cast("bigint").alias("n")))
+    rest = F.struct(F.lit(True).alias("agrees"), (F.col("n") - F.when(is_first, 1).otherwise(0)).alias("n"))
+    listed = both.select("person_id", "concept_id", "event_date", "min_month", "max_month", F.explode(F.array(one, rest)).alias("r"))
+    found = listed.where("r.n > 0").select("person_id", "concept_id", "event_date", "min_month", "max_month", "r.agrees", "r.n")
+    return found.groupBy("person_id", "concept_id", "event_date", "min_month", "max_month", "agrees").agg(F.sum("n").alias("n"))
+
+
 def assign_progression_episodes(runs: DataFrame) -> DataFrame:
     """A run opens an episode unless its records agree and the gap is at most ten months."""
     opens = F.col("run_gap").isNull() | ~F.col("agrees") | (F.col("run_gap") > LONG_GAP)

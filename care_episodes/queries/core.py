@@ -651,6 +651,14 @@ def g2_record_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "g2_agreement_of_records",
+    "SELECT person_id, concept_id, event_date, min_month, max_month, agrees, count(*) n FROM agreeing GROUP BY ALL",
+)
+def g2_agreement_of_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return progression.agreement_of_records(_eligible(spark, sf_dir))
+
+
 @register(
     "g3_assign_episodes",
     "SELECT person_id, run, max(raw_episode) person_episode_number, count(*) n FROM assigned GROUP BY 1, 2",

@@ -51,6 +51,22 @@ def test_progression_boundaries_match_all_pairs(spark):
             assert mine == [number], (person, records)
 
 
+def test_agreement_of_each_record_matches_all_pairs(spark):
+    random.seed(11)
+    rows, want = [], []
+    for person in range(200):
+        base = [random.randint(0, 700) for _ in range(random.randint(1, 10))]
+        records = sorted((t, *random.choice(MONTHS)) for t in [*base, *base[:2]])
+        rows += [(person, day(t), lo, hi) for t, lo, hi in records]
+        for i, (t, lo, hi) in enumerate(records):
+            agrees = any(compatible(records[s], records[e]) for s in range(i) for e in range(i, len(records)))
+            want.append((person, day(t), lo, hi, agrees))
+    got = []
+    for r in progression.agreement_of_records(timing(spark, rows)).collect():
+        got += [(r.person_id, r.event_date, r.min_month, r.max_month, r.agrees)] * r.n
+    assert sorted(got) == sorted(want)
+
+
 SPACING_BEFORE = {
     "SB": {"LB": 168}, "AB": {"LB": 70, "SB": 70, "ECT": 56}, "SA": {"LB": 70, "SB": 70, "ECT": 56},
     "DELIV": {"LB": 168, "SB": 168, "ECT": 154, "AB": 154, "SA": 154},

@@ -28,7 +28,7 @@ SKEWED = [
     "g1_pair_compatibility", "g3_assign_episodes", "g7_validate_progression", "m4_one_to_one_match",
     "e12_apply_refinement", "k13_concept_set_events_all", "k14_set_summary", "v4_match_episodes",
     "v3_derive_registry_outcome", "v4_match_by_order", "k13_measurements_before", "k13_visit_ever_before", "k23_exposure_pattern",
-    "k23_exposure_transitions", "k25_closest_measurement", "k26_max_measurement_after", "t1_table_one_numbers",
+    "g2_agreement_of_records", "k23_exposure_transitions", "k25_closest_measurement", "k26_max_measurement_after", "t1_table_one_numbers",
 ]
 if os.environ.get("ALL_QUERIES"):
     PLAIN = SKEWED = list(SQL)
