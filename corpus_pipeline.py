@@ -1,4 +1,15 @@
-"""From raw documents to a training mix: language ID, line dedup, near-dedup, decontamination, mixing."""
+"""From raw documents to a training mix: language ID, line dedup, near-dedup, decontamination, mixing.
+
+Each stage gets all rows its predecessor kept and returns the columns of `documents`; the last one adds size, source_size, target,
+n_repeats, taken and epoch.
+
+Defined results: documents with null or letterless text go in the first stage.  Documents that lose all lines with words go in the second;
+one line that stands earlier, in whatever document, is enough to lose that line.  Rows that repeat doc_id and text stay or go together;
+different texts with one doc_id, or with none, are documents of their own.  A null source is a source of its own.  Further input columns
+pass through all stages; an input column named like an added one (`epoch`, `size`, ...) passes the first four stages and is replaced
+in the last.  An empty table gives an empty mix.  Line dedup comes before near-dedup and takes most copies away line by line, so
+near-dedup sees what is left of them.
+"""
 
 from __future__ import annotations
 
