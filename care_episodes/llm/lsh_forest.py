@@ -7,8 +7,8 @@ its whole word sequence if that is shorter.  Two documents are linked when 100 *
 2. Every class gets `TREES * DEPTH` minhashes.  A tree sorts the classes by its own `DEPTH` minhashes; two classes with a
    common prefix of `MIN_DEPTH` values are neighbours of some depth.  Classes that meet no other class at that depth in any
    tree cannot have a candidate and leave early.
-3. Two quick rounds join most copies: the others are sorted in all trees at once over the cluster, each one is compared with
-   the `NEAREST` classes before it in the order that share a prefix, and the likeliest pairs are confirmed on the full sets.
+3. A quick round joins most copies: the others are sorted in all trees at once over the cluster, each one is compared with
+   the `NEAREST` classes before it in the order that share a prefix, and its likeliest pair is confirmed on the full sets.
 4. The whole round: every class is compared with all classes that share a prefix of `MIN_DEPTH` values with it in some tree and
    are not of its component.  A region of more than `CELL` classes is cut into blocks, and each pair of blocks is a cell of its
    own, so a thick region is dealt out and costs the square of its classes in comparisons.
@@ -46,15 +46,12 @@ from care_episodes.session import materialize
 WIDTH = 5
 TREES, DEPTH, MIN_DEPTH = 20, 8, 2
 HASHES = TREES * DEPTH
-#: Classes before a class in the order that it is compared with, in the two quick rounds.
-NEAREST = (2, 64)
+#: Classes before a class in the order that it is compared with, in the quick round.
+NEAREST = 2
 #: A pair at the threshold falls below this estimate with a chance of about 1 in 3 million (5 standard deviations).
 SURE = 0.17
 #: One-bit minhashes of the finer sketch, and how far a pair at the threshold may fall below it by both sketches together (5 deviations).
 FINE, SURE_FINE = 4096, 0.05
-#: In the quick rounds, of the candidates that would join a class to one component, those are tried whose estimate is this near
-#: to the best one's.
-LIKELY = 0.06
 #: Classes of a block of a region.
 CELL = 1000
 #: Sets of a block when pairs are confirmed, and pairs of two blocks at least where there are few.
@@ -189,68 +186,54 @@ def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sketch = [few[i].tobytes() for i in range(n) for _ in range(TREES)]
             take = pa.array(np.repeat(np.arange(n), TREES))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.binary()), part.column(0).take(take), part.column(2).take(take), pa.array(sketch, pa.binary())],
-                names=["place", "set_id", "root", "sketch"],
+                [pa.array(keys, pa.binary()), part.column(0).take(take), pa.array(sketch, pa.binary())],
+                names=["place", "set_id", "sketch"],
             )
 
 
-def likely(x: np.ndarray, y: np.ndarray, estimate: np.ndarray, group: np.ndarray, first_round: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs that come near the best estimate between a class and a component, seen from either side.
-
-    Before components are known each class only asks for its best pair.
-    """
-    if first_round:
-        keep = np.zeros(len(x), bool)
-        for own in (x, y):
-            best = np.zeros(int(own.max()) + 1 if len(own) else 0)
-            np.maximum.at(best, own, estimate)
-            keep |= estimate >= best[own]
-        return x[keep], y[keep], estimate[keep]
-    keep = np.ones(len(x), bool)
-    for own, other in ((x, y), (y, x)):
-        which = np.unique(np.stack([own, group[other]], axis=1), axis=0, return_inverse=True)[1].ravel()
-        best = np.zeros(which.max() + 1 if len(which) else 0)
-        np.maximum.at(best, which, estimate)
-        keep &= estimate >= best[which] - LIKELY
+def likeliest(x: np.ndarray, y: np.ndarray, estimate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pairs that are the best one of either class."""
+    keep = np.zeros(len(x), bool)
+    for own in (x, y):
+        best = np.zeros(int(own.max()) + 1 if len(own) else 0)
+        np.maximum.at(best, own, estimate)
+        keep |= estimate >= best[own]
     return x[keep], y[keep], estimate[keep]
 
 
-def _neighbours(threshold: float, nearest: int, first_round: bool):
+def _neighbours(threshold: float, nearest: int):
     prefix = 1 + 4 * MIN_DEPTH
     least = threshold - SURE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Compares each row with those just before it that share MIN_DEPTH values and are of another component; rows come in order."""
-        tail: tuple[list, list, list, np.ndarray] = ([], [], [], np.zeros((0, HASHES), np.uint8))
+        """Compares each row with those just before it that share MIN_DEPTH values; rows come in order."""
+        tail: tuple[list, list, np.ndarray] = ([], [], np.zeros((0, HASHES), np.uint8))
         for batch in batches:
             for start in range(0, batch.num_rows, 5000):
                 part = batch.slice(start, 5000)
-                keys = tail[0] + [k[:prefix] for k in part.column(0).to_pylist()]
-                names, roots = tail[1] + part.column(1).to_pylist(), tail[2] + part.column(2).to_pylist()
-                few = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint8).reshape(-1, HASHES)
-                few = np.concatenate([tail[3], few])
+                keys, names = tail[0] + [k[:prefix] for k in part.column(0).to_pylist()], tail[1] + part.column(1).to_pylist()
+                few = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint8).reshape(-1, HASHES)
+                few = np.concatenate([tail[2], few])
                 fresh = len(tail[0])
                 key = np.frombuffer(b"".join(keys), np.uint8).reshape(-1, prefix)
-                group = np.unique(np.array(roots, object), return_inverse=True)[1]
                 pairs = []
                 for back in range(1, min(nearest, len(keys) - 1) + 1):
                     late = np.arange(max(back, fresh), len(keys))
-                    late = late[(key[late] == key[late - back]).all(axis=1) & (group[late] != group[late - back])]
+                    late = late[(key[late] == key[late - back]).all(axis=1)]
                     if not len(late):
                         continue
                     share = (few[late] == few[late - back]).mean(axis=1)
                     estimate = (share - 1 / 256) / (1 - 1 / 256)
                     good = estimate >= least
                     pairs.append((late[good], late[good] - back, estimate[good]))
-                tail = (keys[-nearest:], names[-nearest:], roots[-nearest:], few[-nearest:])
+                tail = (keys[-nearest:], names[-nearest:], few[-nearest:])
                 if pairs:
-                    x, y, e = likely(*(np.concatenate(c) for c in zip(*pairs, strict=True)), group, first_round)
+                    x, y, e = likeliest(*(np.concatenate(c) for c in zip(*pairs, strict=True)))
                     if len(x):
                         swap = [names[i] < names[j] for i, j in zip(x, y, strict=True)]
                         a, b = np.where(swap, y, x), np.where(swap, x, y)
-                        columns = [[names[i] for i in a], [names[i] for i in b], [roots[i] for i in a], [roots[i] for i in b]]
                         yield pa.RecordBatch.from_arrays(
-                            [*[pa.array(c, pa.binary()) for c in columns], pa.array(e)], names=["a", "b", "root_a", "root_b", "estimate"]
+                            [*[pa.array([names[i] for i in c], pa.binary()) for c in (a, b)], pa.array(e)], names=["a", "b", "estimate"]
                         )
 
     return run
@@ -341,17 +324,10 @@ def meeting(classes: DataFrame) -> DataFrame:
     return materialize(classes.join(found, "set_id", "left_semi").select("set_id", "signature"))
 
 
-def candidates(met: DataFrame, roots: DataFrame | None, threshold: float, nearest: int) -> DataFrame:
-    """(a, b, estimate) of neighbours in some tree that are not of one component; `roots` has (node, root)."""
-    if roots is None:
-        named = met.select("set_id", "signature", F.col("set_id").alias("root"))
-    else:
-        named = met.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "signature", F.coalesce("root", "set_id").alias("root"))
-    ordered = named.mapInArrow(_orders, "place binary, set_id binary, root binary, sketch binary").orderBy("place", "set_id")
-    pairs = ordered.mapInArrow(_neighbours(threshold, nearest, roots is None), "a binary, b binary, root_a binary, root_b binary, estimate double")
-    for own, other in (("a", "root_b"), ("b", "root_a")):  # at most TREES * nearest rows for each class
-        best = F.max("estimate").over(Window.partitionBy(own, other))
-        pairs = pairs.withColumn("best", best).where(F.col("estimate") >= F.col("best") - LIKELY)
+def candidates(met: DataFrame, threshold: float, nearest: int) -> DataFrame:
+    """(a, b, estimate) of each class's likeliest neighbours in some tree, at most TREES * nearest a class."""
+    ordered = met.select("set_id", "signature").mapInArrow(_orders, "place binary, set_id binary, sketch binary").orderBy("place", "set_id")
+    pairs = ordered.mapInArrow(_neighbours(threshold, nearest), "a binary, b binary, estimate double")
     return materialize(pairs.groupBy("a", "b").agg(F.max("estimate").alias("estimate")))
 
 
@@ -480,11 +456,9 @@ def near_classes(docs: DataFrame, threshold: float = 0.75) -> tuple[DataFrame, D
     kept = hashed.mapInArrow(_marked(marks_of(owners)), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_id long, text string")
     texts = kept.alias("d").join(owners.alias("w"), (F.col("d.text_id") == F.col("w.text_id")) & mine, "left_semi")
     sets = materialize(texts.select("text").mapInArrow(_sets, "set_id binary, shingles array<long>").dropDuplicates(["set_id"]))
-    nearest = candidates(met, None, threshold, NEAREST[0])
+    nearest = candidates(met, threshold, NEAREST)
     best = nearest.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
     links = confirmed(best, sets, threshold)
-    rest = candidates(met, components(links), threshold, NEAREST[1])
-    links = links.union(confirmed(rest, sets, threshold))
     roots = materialize(components(links))
     return signed, linked_apart(apart(met, sets, roots, threshold), sets, links, roots, threshold)
 
