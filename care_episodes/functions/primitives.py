@@ -57,6 +57,16 @@ def neighbour_rule(
     )
 
 
+def join_growing(left: DataFrame, right: DataFrame, on: Column | str | list[str], how: str = "inner") -> DataFrame:
+    """Join of two tables that both grow with the input: sorted and merged, never broadcast.
+
+    The size that Spark compares with its broadcast limit is that of the files.  Keys and dates are
+    a small part of it on disk and many times more as rows, all of which a broadcast would hold
+    on the driver.  Code lists and other tables of fixed size use a plain join.
+    """
+    return left.join(right.hint("merge"), on, how)
+
+
 def points_in_intervals(
     intervals: DataFrame,
     points: DataFrame,
@@ -90,7 +100,7 @@ def points_in_intervals(
     on = (F.col(point) >= F.col("_low")) & (F.col(point) <= F.col("_high"))
     for old, new in renamed:
         on = on & (F.col(old) == F.col(new))
-    joined = listed.join(right, on, how)
+    joined = join_growing(listed, right, on, how)
     return joined.drop(bucket, "_low", "_high", *[new for _, new in renamed])
 
 
@@ -111,9 +121,9 @@ def best_point(
     in_order = Window.partitionBy(*keys).orderBy(F.desc(bucket) if side == "after" else F.asc(bucket))
     carried = every.select(*keys, bucket, F.min("_own").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"))
     near = (F.col("_point") >= F.col(at)) if side == "after" else (F.col("_point") <= F.col(at))
-    inside = listed.join(valued, [*keys, bucket]).where(near).groupBy(*keys, at).agg(F.min("_order").alias("_near"))
+    inside = join_growing(listed, valued, [*keys, bucket]).where(near).groupBy(*keys, at).agg(F.min("_order").alias("_near"))
     return (
-        listed.join(carried, [*keys, bucket]).join(inside, [*keys, at], "left")
+        join_growing(join_growing(listed, carried, [*keys, bucket]), inside, [*keys, at], "left")
         .withColumn("best", F.least("_carried", "_near")).drop(bucket, "_carried", "_near")
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from care_episodes.functions.dates import day_of
 from care_episodes.functions.fixed_values import REPORT_ORDER
-from care_episodes.functions.primitives import points_in_intervals
+from care_episodes.functions.primitives import join_growing, points_in_intervals
 from care_episodes.functions.rules import is_in
 from care_episodes.functions.scan import PART, neighbours, ordered_parts, running_sums
 from care_episodes.session import materialize, small_table
@@ -38,7 +38,7 @@ def load_predictions(df: DataFrame) -> DataFrame:
 
 def link_ids(registry_to_cohort: DataFrame, cohort_to_person: DataFrame) -> DataFrame:
     """V2: registry id to person id."""
-    return registry_to_cohort.join(cohort_to_person, "cohort_id").select("emrn", "person_id").distinct()
+    return join_growing(registry_to_cohort, cohort_to_person, "cohort_id").select("emrn", "person_id").distinct()
 
 
 def linkage_overlap(
@@ -49,7 +49,7 @@ def linkage_overlap(
     def check(name: str, ids: DataFrame, known: DataFrame) -> DataFrame:
         key = ids.columns[0]
         ids, known = ids.distinct(), known.distinct().withColumn("found", F.lit(1))
-        return ids.join(known, key, "left").agg(
+        return join_growing(ids, known, key, "left").agg(
             F.lit(name).alias("check"), F.count(F.lit(1)).alias("ids"), F.count("found").alias("known")
         )
 
@@ -72,7 +72,7 @@ def derive_registry_outcome(pregnancies: DataFrame, deliveries: DataFrame, linka
     )
     counts = ("para", "abortion", "therapeutic", "spontaneous", "ectopic")
     order = ["gravida_count", "emrn"]
-    known = pregnancies.join(linkage, "emrn")
+    known = join_growing(pregnancies, linkage, "emrn")
     previous = {"prev_emrn": "emrn"} | {f"prev_{c}": f"{c}_count" for c in counts}
     in_order = neighbours(ordered_parts(known, ["person_id"], order), ["person_id"], order, previous)
 
@@ -94,7 +94,7 @@ def derive_registry_outcome(pregnancies: DataFrame, deliveries: DataFrame, linka
         .otherwise("PREG")
     )
     return (
-        in_order.join(mothers, "emrn", "left")
+        join_growing(in_order, mothers, "emrn", "left")
         .withColumns(changes)
         .select(
             "person_id", "emrn", F.col("gravida_count").alias("gt_episode_num"),
@@ -176,8 +176,8 @@ def match_episodes(predictions: DataFrame, registry: DataFrame, window_days: int
         matched = materialize(_match_in_order(algo, gt))
     return MatchResult(
         matched=matched,
-        unmatched_predicted=algo.join(matched, ["person_id", "algo_episode_num"], "left_anti"),
-        unmatched_registry=gt.join(matched, ["person_id", "gt_episode_num"], "left_anti"),
+        unmatched_predicted=join_growing(algo, matched, ["person_id", "algo_episode_num"], "left_anti"),
+        unmatched_registry=join_growing(gt, matched, ["person_id", "gt_episode_num"], "left_anti"),
         by_date=by_date,
     )
 
@@ -188,8 +188,8 @@ def _match_in_order(algo: DataFrame, gt: DataFrame) -> DataFrame:
         in_order = running_sums(ordered_parts(df, ["person_id"], order), ["person_id"], order, {"algo_order": F.lit(1)})
         return in_order.withColumn("algo_order", F.col("algo_order").cast("int")).drop(PART)
 
-    pairs = numbered(algo, "algo_end", "algo_episode_num").join(
-        numbered(gt, "gt_end", "gt_episode_num"), ["person_id", "algo_order"]
+    pairs = join_growing(
+        numbered(algo, "algo_end", "algo_episode_num"), numbered(gt, "gt_end", "gt_episode_num"), ["person_id", "algo_order"]
     )
     return pairs.withColumn("end_date_diff", F.lit(None).cast("int"))
 
@@ -300,8 +300,8 @@ def person_counts(predictions: DataFrame, registry: DataFrame) -> DataFrame:
             F.count_if(o == "ECT").alias(f"{p}_ect"),
         )
 
-    both = counts(predictions, "outcome_category", "algo").join(
-        counts(registry, "gt_outcome", "gt"), "person_id", "full"
+    both = join_growing(
+        counts(predictions, "outcome_category", "algo"), counts(registry, "gt_outcome", "gt"), "person_id", "full"
     ).fillna(0)
     return both.withColumns(
         {

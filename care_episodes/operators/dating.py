@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from care_episodes.config import MONTH_DAYS, EpisodeConfig
 from care_episodes.functions.dates import date_of, day_of, precision_category
 from care_episodes.functions.fixed_values import TIMING_CONCEPT_IDS, WEEK_CONCEPTS
-from care_episodes.functions.primitives import points_in_intervals, quartile_bounds
+from care_episodes.functions.primitives import join_growing, points_in_intervals, quartile_bounds
 from care_episodes.functions.rules import Rules, is_in, lookup
 from care_episodes.session import materialize
 
@@ -244,7 +244,7 @@ def refine_start(
     all are.  Episodes with ranges only stay undated unless the configuration asks otherwise.
     """
     inside = F.col("implied_start").between(F.col("consensus_start"), F.col("consensus_end"))
-    joined = weeks.join(consensus, EPISODE, "left").withColumn("inside", F.coalesce(inside, F.lit(False)))
+    joined = join_growing(weeks, consensus, EPISODE, "left").withColumn("inside", F.coalesce(inside, F.lit(False)))
     chosen = F.when(F.col("inside"), F.col("implied_start"))
     stats = joined.groupBy(*EPISODE).agg(
         F.sum("n").alias("total"),
@@ -268,7 +268,7 @@ def refine_start(
     if config is None or not config.use_range_midpoint:
         return refined
     width = F.col("consensus_end") - F.col("consensus_start")
-    ranges_only = consensus.join(refined.select(*EPISODE), EPISODE, "left_anti").select(
+    ranges_only = join_growing(consensus, refined.select(*EPISODE), EPISODE, "left_anti").select(
         *EPISODE,
         (F.col("consensus_start") + (width / 2).cast("int")).alias("inferred_start"),
         width.alias("precision_days"),
@@ -281,7 +281,7 @@ def apply_refinement(episodes: DataFrame, refined: DataFrame) -> DataFrame:
     end = day_of(F.col("episode_end_date"))
     start = F.col("inferred_start")
     return (
-        episodes.join(refined, EPISODE, "left")
+        join_growing(episodes, refined, EPISODE, "left")
         .withColumns(
             {
                 "episode_start_date": F.coalesce(date_of(start), F.col("episode_start_date")),

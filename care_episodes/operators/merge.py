@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from care_episodes.config import MONTH_DAYS, REPORTED_MONTH_DAYS, EpisodeConfig
 from care_episodes.functions.dates import date_of, day_of
-from care_episodes.functions.primitives import clip_to_previous
+from care_episodes.functions.primitives import clip_to_previous, join_growing
 from care_episodes.functions.rules import is_in
 from care_episodes.operators.progression import best_outcome
 from care_episodes.session import materialize
@@ -63,8 +63,8 @@ def episode_overlaps(hip: DataFrame, pps: DataFrame) -> DataFrame:
         )
 
     h, p = side(hip, "hip"), side(pps, "pps").withColumnRenamed("person_id", "_person")
-    pairs = h.join(
-        p,
+    pairs = join_growing(
+        h, p,
         (F.col("person_id") == F.col("_person"))
         & (F.col("hip_window_start") <= F.col("pps_window_end"))
         & (F.col("hip_window_end") >= F.col("pps_window_start")),
@@ -111,8 +111,8 @@ def interval_full_join(hip: DataFrame, pps: DataFrame) -> DataFrame:
         F.col("outcome_category").alias("pps_category"),
         F.col("gestational_age_days").alias("pps_gest_days"),
     )
-    joined = h.join(
-        p,
+    joined = join_growing(
+        h, p,
         (F.col("h_person") == F.col("p_person"))
         & (F.col("hip_start") <= F.date_add("pps_end", 2 * MONTH_DAYS))
         & (F.col("hip_end") >= F.col("pps_start")),
@@ -168,7 +168,7 @@ def _with_losers(pairs: DataFrame, matched: DataFrame) -> DataFrame:
     out = matched
     for own, other in (("hip", "pps"), ("pps", "hip")):
         key = ["person_id", f"{own}_id"]
-        lost = pairs.filter(F.col(f"{own}_id").isNotNull()).join(matched.select(*key), key, "left_anti")
+        lost = join_growing(pairs.filter(F.col(f"{own}_id").isNotNull()), matched.select(*key), key, "left_anti")
         blank = {c: F.lit(None).cast(t) for c, t in pairs.dtypes if c.startswith(f"{other}_")}
         single = lost.withColumns(blank).withColumn(f"{own}_dup", F.lit(0))
         out = out.unionByName(single.dropDuplicates(key))

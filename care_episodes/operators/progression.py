@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from care_episodes.config import MONTH_DAYS, EpisodeConfig
 from care_episodes.functions.dates import date_of, day_of
 from care_episodes.functions.fixed_values import OUTCOME_CHOICE_ORDER
-from care_episodes.functions.primitives import best_point, number_groups, points_in_intervals
+from care_episodes.functions.primitives import best_point, join_growing, number_groups, points_in_intervals
 from care_episodes.functions.rules import rank_of
 from care_episodes.session import materialize
 
@@ -46,7 +46,7 @@ def timing_blocks(timing: DataFrame) -> DataFrame:
     same_months = Window.partitionBy(*months).orderBy("day", "concept_id")
     inner_gap = F.col("day") - F.lag("day").over(same_months)
     return (
-        daily.join(days, ["person_id", "day"])
+        join_growing(daily, days, ["person_id", "day"])
         .withColumn("cut", inner_gap > BLOCK_GAP)
         .withColumn("block", number_groups(F.col("cut"), months, "day", "concept_id"))
         .groupBy(*months, "block")
@@ -108,7 +108,7 @@ def record_agreement(blocks: DataFrame, reach: DataFrame) -> DataFrame:
     )
     before = Window.partitionBy("person_id").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     agrees = F.coalesce(F.max("reaches_run").over(before) >= F.col("run"), F.lit(False))
-    return runs.join(reach, ["person_id", "run"], "left").withColumn("agrees", agrees).drop("reaches_run")
+    return join_growing(runs, reach, ["person_id", "run"], "left").withColumn("agrees", agrees).drop("reaches_run")
 
 
 def agreement_of_records(timing: DataFrame) -> DataFrame:
@@ -135,15 +135,15 @@ def agreement_of_records(timing: DataFrame) -> DataFrame:
     })
     points = groups.select("person_id", F.col("min_month").alias("b_min"), F.col("max_month").alias("b_max"), F.col("day").alias("b_day"))
     last = best_point(pairs, points, ["person_id", "b_min", "b_max"], "until", "b_day", F.struct((-F.col("b_day")).alias("order")), "before")
-    met = pairs.join(last.where("best is not null"), ["person_id", "b_min", "b_max", "until"]).withColumn("b_day", -F.col("best.order"))
+    met = join_growing(pairs, last.where("best is not null"), ["person_id", "b_min", "b_max", "until"]).withColumn("b_day", -F.col("best.order"))
     partner = F.struct(F.col("b_day").alias("day"), F.col("b_min").alias("min_month"), F.col("b_max").alias("max_month"))
     after = (F.col("b_day") - F.col("day") >= F.col("nearest")) & (partner > F.struct(*place))
     furthest = met.where(after).groupBy("person_id", *place).agg(F.max(partner).alias("reaches"))
     before = Window.partitionBy("person_id").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
-    agreeing = groups.join(furthest, ["person_id", *place], "left").withColumn(
+    agreeing = join_growing(groups, furthest, ["person_id", *place], "left").withColumn(
         "group_agrees", F.coalesce(F.max("reaches").over(before) >= F.struct(*place), F.lit(False))
     )
-    both = daily.join(agreeing.drop("reaches"), ["person_id", *place])
+    both = join_growing(daily, agreeing.drop("reaches"), ["person_id", *place])
     is_first = F.col("concept_id") == F.col("first_concept")
     one = F.when(is_first, F.struct(F.col("group_agrees").alias("agrees"), F.lit(1).cast("bigint").alias("n")))
     rest = F.struct(F.lit(True).alias("agrees"), (F.col("n") - F.when(is_first, 1).otherwise(0)).alias("n"))

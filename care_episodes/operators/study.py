@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from care_episodes.functions import study_values as sv
 from care_episodes.functions.dates import day_of
-from care_episodes.functions.primitives import best_point, points_in_intervals
+from care_episodes.functions.primitives import best_point, join_growing, points_in_intervals
 from care_episodes.functions.rules import is_in, lookup
 from care_episodes.functions.scan import PART, neighbours, ordered_parts, running_sums
 from care_episodes.sources.cdm import Tables
@@ -61,7 +61,7 @@ def closest_episode_to_survey(episodes: DataFrame) -> DataFrame:
     nearest = df.groupBy("person_id").agg(
         F.min("min_time").alias("_least"), F.bool_or("_holds").alias("_any_holds")
     )
-    df = df.join(nearest, "person_id").withColumn("_nearest", F.col("min_time") == F.col("_least"))
+    df = join_growing(df, nearest, "person_id").withColumn("_nearest", F.col("min_time") == F.col("_least"))
     flagged = F.col("_holds") | (F.col("_nearest") & ~F.col("_any_holds"))
     df = df.withColumn("_flagged", F.coalesce(flagged, F.lit(False)))
     by_length = df.groupBy("person_id", days.alias("_days")).agg(
@@ -78,7 +78,7 @@ def closest_episode_to_survey(episodes: DataFrame) -> DataFrame:
         .when((F.col("_flags") > 1) & single_longest, is_longest)
         .otherwise(F.col("_nearest"))
     )
-    out = df.join(facts, "person_id").withColumn("closest_pregnancy", F.coalesce(closest, F.lit(False)).cast("int"))
+    out = join_growing(df, facts, "person_id").withColumn("closest_pregnancy", F.coalesce(closest, F.lit(False)).cast("int"))
     return out.drop(*[c for c in out.columns if c.startswith("_")])
 
 
@@ -381,7 +381,7 @@ def events_in_window(
     points = events.withColumn("_day", day_of(F.col("concept_date")))
     if not (start and end):
         # An open side reaches to the person's first or last event, so that a heavy person still spreads over buckets.
-        rows = rows.join(event_edges(events), "person_id")
+        rows = join_growing(rows, event_edges(events), "person_id")
     from_day = day_of(F.col(start)) if start else day_of(F.col("_first"))
     to_day = day_of(F.col(end)) if end else day_of(F.col("_last"))
     joined = points_in_intervals(rows.filter(from_day <= to_day), points, ["person_id"], from_day, to_day, "_day", bucket_days)
@@ -415,9 +415,9 @@ def concept_set_events(
         found = events_in_window(cohort, events, start, end, cohort.columns, bucket_days)
         seen = window_indicator(cohort, events, start, end, "_seen", key, bucket_days).drop("_seen")
         none = {c: F.lit(None).cast(t) for c, t in found.dtypes if c not in cohort.columns}
-        return found.unionByName(cohort.join(seen, key, "left_anti").withColumns(none))
+        return found.unionByName(join_growing(cohort, seen, key, "left_anti").withColumns(none))
     found = window_indicator(cohort, events, start, end, name, key, bucket_days)
-    return cohort.join(found, key, "left").fillna(0, [name])
+    return join_growing(cohort, found, key, "left").fillna(0, [name])
 
 
 def window_indicator(
@@ -443,7 +443,7 @@ def window_indicator(
         inside = F.col("_first") <= F.col(end)
     if start:
         inside = F.col("_last") >= F.col(start)
-    return cohort.join(event_edges(events), "person_id").filter(inside).select(*key).distinct().withColumn(name, F.lit(1))
+    return join_growing(cohort, event_edges(events), "person_id").filter(inside).select(*key).distinct().withColumn(name, F.lit(1))
 
 
 def collapse_indicator(found: DataFrame, prefix: str, key: Sequence[str] = EPISODE_KEY) -> DataFrame:
@@ -475,7 +475,7 @@ def set_summary(
     )
     flag = F.col(f"{prefix}_concept_count").isNotNull().cast("int")
     episodes = cohort.select(*key).distinct()
-    return episodes.join(found, list(key), "left").withColumn(f"{prefix}_indicator", flag)
+    return join_growing(episodes, found, list(key), "left").withColumn(f"{prefix}_indicator", flag)
 
 
 def many_set_events(tables: Tables, concepts: DataFrame, domains: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -519,7 +519,7 @@ def window_summaries(
     rows = rows.select(*dict.fromkeys([*key, "person_id"]), F.explode(F.array(*asked)).alias("w")).select("*", "w.*").drop("w").where("_from <= _to")
     if any(not (start and end) for _, start, end in windows.values()):
         spans = daily.groupBy("person_id", "set_name").agg(F.min("_day").alias("_first"), F.max("_day").alias("_last"))
-        rows = rows.join(spans, ["person_id", "set_name"]).withColumns({"_from": F.greatest("_from", "_first"), "_to": F.least("_to", "_last")})
+        rows = join_growing(rows, spans, ["person_id", "set_name"]).withColumns({"_from": F.greatest("_from", "_first"), "_to": F.least("_to", "_last")})
         rows = rows.where("_from <= _to").drop("_first", "_last")
     met = points_in_intervals(rows, daily, ["person_id", "set_name"], F.col("_from"), F.col("_to"), "_day", bucket_days)
     found = []
@@ -531,7 +531,7 @@ def window_summaries(
             F.coalesce(F.max(F.when(mine, 1)), F.lit(0)).alias(f"{prefix}_indicator"),
             F.sum(F.when(mine, F.col("_n"))).alias(f"{prefix}_concept_count"),
         ]
-    joined = cohort.join(met.groupBy(*key).agg(*found), list(key), "left")
+    joined = join_growing(cohort, met.groupBy(*key).agg(*found), list(key), "left")
     return joined.fillna(0, [f"{prefix}_indicator" for prefix in windows])
 
 
@@ -558,7 +558,7 @@ def join_observation_period(df: DataFrame, periods: DataFrame) -> DataFrame:
         F.min("observation_period_start_date").alias("observation_period_start_date"),
         F.max("observation_period_end_date").alias("observation_period_end_date"),
     )
-    return df.join(spans, "person_id")
+    return join_growing(df, spans, "person_id")
 
 
 def observed_throughout(df: DataFrame, periods: DataFrame, start: str, end: str) -> DataFrame:
@@ -568,7 +568,7 @@ def observed_throughout(df: DataFrame, periods: DataFrame, start: str, end: str)
         F.col("observation_period_end_date").alias("_to"),
     ).distinct()
     inside = (F.col("person_id") == F.col("_person")) & (F.col(start) >= F.col("_from")) & (F.col(end) <= F.col("_to"))
-    return df.join(p, inside, "left_semi")
+    return join_growing(df, p, inside, "left_semi")
 
 
 def assemble_analysis(cohort: DataFrame, parts: Sequence[DataFrame], key: Sequence[str] = EPISODE_KEY) -> DataFrame:
@@ -578,7 +578,7 @@ def assemble_analysis(cohort: DataFrame, parts: Sequence[DataFrame], key: Sequen
     repeats all earlier joins inside its own plan.
     """
     for part in parts:
-        cohort = cohort.join(part, list(key), "left")
+        cohort = join_growing(cohort, part, list(key), "left")
     return cohort
 
 
@@ -700,8 +700,8 @@ def nearest_measurement(
     until = rows.withColumn("at", F.col("at") + F.least(F.coalesce(latest, F.lit(0)), F.lit(0)))
     earlier = best_point(until, daily, ["person_id"], "at", "day", F.struct((-F.col("day")).alias("order"), "day", "value"), "before")
     later = best_point(rows.withColumn("at", F.col("at") + 1), daily, ["person_id"], "at", "day", F.struct(F.col("day").alias("order"), "day", "value"), "after")
-    both = earlier.select("person_id", F.col("best").alias("earlier")).join(later.select("person_id", F.col("best").alias("later")), "person_id")
-    linked = rows.join(both, "person_id")
+    both = join_growing(earlier.select("person_id", F.col("best").alias("earlier")), later.select("person_id", F.col("best").alias("later")), "person_id")
+    linked = join_growing(rows, both, "person_id")
 
     def candidate(side: str) -> Column:
         diff = F.col(f"{side}.day") - F.col("at")
@@ -716,7 +716,7 @@ def nearest_measurement(
 
 def closest_measurement(cohort: DataFrame, events: DataFrame, prefix: str, **limits) -> DataFrame:
     """The cohort with its nearest measurements beside it."""
-    return cohort.join(nearest_measurement(cohort, events, prefix, **limits), "person_id", "left")
+    return join_growing(cohort, nearest_measurement(cohort, events, prefix, **limits), "person_id", "left")
 
 
 def weight_timing(df: DataFrame, date: str) -> DataFrame:

@@ -15,7 +15,7 @@ from care_episodes.functions.rules import default_spacing, default_term_limits
 from care_episodes.operators import dating, merge, outcomes, progression, report
 from care_episodes.plans import pipeline
 from care_episodes.queries.base import r6, register, stages
-from care_episodes.session import shared_folder
+from care_episodes.session import materialize, shared_folder
 from care_episodes.sources import cdm, rule_files, sinks
 
 CONFIG = tm.CONFIG
@@ -933,7 +933,7 @@ def e9_range_midpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("e10_refine_start", "SELECT person_id, episode_number, inferred_start, precision_days FROM refined")
 def e10_refine_start(spark: SparkSession, sf_dir: str) -> DataFrame:
-    timing = _episode_timing(spark, sf_dir)
+    timing = materialize(_episode_timing(spark, sf_dir))  # both parts read it
     return dating.refine_start(dating.gw_outlier_filter(timing), dating.interval_consensus(timing))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from care_episodes import oracle
 from care_episodes import testmap as tm
 from care_episodes.functions import study_values as sv
+from care_episodes.functions.primitives import join_growing
 from care_episodes.operators import study
 from care_episodes.queries.base import r6, register, stages
 from care_episodes.session import materialize, small_table
@@ -190,7 +191,7 @@ def build_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
     survey = study.recode_demographics(survey_person(spark, sf_dir)).select("person_id", "min_svy_date", "race_eth_5cat")
     person = tm.person(spark, sf_dir)
     birth = F.make_date("year_of_birth", F.coalesce("month_of_birth", F.lit(1)), F.coalesce("day_of_birth", F.lit(1)))
-    df = df.join(person.select("person_id", birth.alias("dob")), "person_id").join(survey, "person_id", "left")
+    df = join_growing(join_growing(df, person.select("person_id", birth.alias("dob")), "person_id"), survey, "person_id", "left")
     df = df.withColumn("mom_age", F.datediff("inferred_episode_end", "dob") / F.lit(365.25))
     df = materialize(df)
 
@@ -247,7 +248,7 @@ def k1_survey_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _closest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return study.closest_episode_to_survey(tm.study_episodes(spark, sf_dir).join(survey_person(spark, sf_dir), "person_id"))
+    return study.closest_episode_to_survey(join_growing(tm.study_episodes(spark, sf_dir), survey_person(spark, sf_dir), "person_id"))
 
 
 @register(
@@ -329,7 +330,7 @@ FROM (SELECT *, CASE WHEN mom_age < 0 THEN NULL WHEN mom_age < 15 THEN '0-14 yea
 def k5_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     person = tm.person(spark, sf_dir)
     birth = F.make_date("year_of_birth", F.coalesce("month_of_birth", F.lit(1)), F.coalesce("day_of_birth", F.lit(1)))
-    df = tm.study_episodes(spark, sf_dir).join(person.select("person_id", birth.alias("dob")), "person_id")
+    df = join_growing(tm.study_episodes(spark, sf_dir), person.select("person_id", birth.alias("dob")), "person_id")
     return study.bands(df).select(
         "episode_id", "year_start", "year_end", r6("gestational_age_weeks"), r6("mom_age"), "year_start_cat", "year_end_cat",
         "resolution", "mom_age_cat", "mom_age_cat_table",
@@ -686,7 +687,7 @@ def k25_closest_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
 def k26_max_measurement_after(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = study_cohort(spark, sf_dir)
     top = study.max_measurement_after(first, measurements(spark, sf_dir, 3025315), "top")
-    return first.join(top, "person_id", "left").select(*_names(_NEAR.format("top")))
+    return join_growing(first, top, "person_id", "left").select(*_names(_NEAR.format("top")))
 
 
 _ASIAN = "CASE WHEN person_id % 3 = 0 THEN 'Asian' WHEN person_id % 17 <> 0 THEN 'White' END"

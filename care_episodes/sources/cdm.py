@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from care_episodes.config import EpisodeConfig
 from care_episodes.functions.dates import age_years, parse_dates
+from care_episodes.functions.primitives import join_growing
 from care_episodes.functions.rules import Rules, concepts_of_domain
 
 CDM_TABLES = (
@@ -220,7 +221,7 @@ def _of_persons(events: DataFrame, persons: DataFrame) -> DataFrame:
     An inner join with distinct ids, not a semi join: a semi join is pushed below the code-list
     join and would shuffle the whole clinical table by person.
     """
-    return events.join(persons.select("person_id").distinct(), "person_id")
+    return join_growing(events, persons.select("person_id").distinct(), "person_id")
 
 
 def extract_by_ids(
@@ -313,7 +314,7 @@ def filter_reproductive_age(
         F.col("event_date"), F.col("year_of_birth"), F.col("month_of_birth"), F.col("day_of_birth")
     )
     return (
-        timing.join(birth, "person_id")
+        join_growing(timing, birth, "person_id")
         .withColumn("age_at_event", age)
         .filter(
             (F.col("age_at_event") >= config.timing_min_age)

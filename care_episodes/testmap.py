@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from care_episodes.config import EpisodeConfig
+from care_episodes.functions.primitives import join_growing
 from care_episodes.functions.rules import OUTCOME_CONCEPT_SCHEMA, TIMING_CONCEPT_SCHEMA, Rules
 from care_episodes.session import small_table
 from care_episodes.sources.cdm import Tables
@@ -82,7 +83,7 @@ def condition_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lineitem = read(spark, sf_dir, "orders", "lineitem")
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return join_growing(lineitem, orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def procedure_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
