@@ -189,14 +189,30 @@ def _events(table: DataFrame, domain: Domain) -> DataFrame:
 _LIST_COLUMNS = (("concept_name", "string"), ("category", "string"), ("gest_value", "double"))
 
 
+#: Code lists up to this size also filter by value.
+MOST_LISTED = 20_000
+
+
+def _with_codes(events: DataFrame, codes: DataFrame) -> DataFrame:
+    """Events on a code list, with the columns of the list.
+
+    The codes also go into a filter, because Spark moves a filter down to the scan: below the joins that
+    a clinical view may be made of, which then shuffle listed rows only.  It moves no join below them.  A very
+    long list is left to the join, which decides in either case.
+    """
+    ids = [r.concept_id for r in codes.select("concept_id").distinct().limit(MOST_LISTED + 1).collect()]
+    if len(ids) <= MOST_LISTED:
+        events = events.filter(F.col("concept_id").isin(ids))
+    return events.join(codes, "concept_id")
+
+
 def _listed(tables: Tables, domain: Domain, concepts: DataFrame) -> DataFrame:
     """Rows of one domain whose concept is on the list, with the columns of the list."""
     listed = concepts_of_domain(concepts, domain.name).select(
         "concept_id", "concept_name", "category", "gest_value"
     )
     return (
-        _events(tables[domain.table], domain)
-        .join(listed, "concept_id")
+        _with_codes(_events(tables[domain.table], domain), listed)
         .select(
             "person_id", "concept_id", "event_date", "domain", "concept_name", "category",
             "gest_value", "value_as_number", "value_as_string",
@@ -263,7 +279,7 @@ def extract_listed(
             # A row per concept: both lists hold a concept once.
             codes = codes.unionByName(timing)
             codes = codes.groupBy("concept_id").agg(*[F.max(c).alias(c) for c in codes.columns[1:]])
-        part = _events(tables[domain.table], domain).join(codes, "concept_id")
+        part = _with_codes(_events(tables[domain.table], domain), codes)
         out = part if out is None else out.unionByName(part)
     return _of_persons(out, persons)
 
@@ -300,7 +316,7 @@ def extract_timing(
     for domain in DOMAINS:
         if domain.name == "Measurement" and not config.timing_from_measurement:
             continue
-        part = _events(tables[domain.table], domain).join(months, "concept_id")
+        part = _with_codes(_events(tables[domain.table], domain), months)
         out = part if out is None else out.unionByName(part)
     return _with_months(_of_persons(out, persons), config)
 

@@ -85,3 +85,29 @@ def test_person_filters_broadcast_no_persons(spark):
     table = materialize(stored_timing(spark).select("person_id", F.lit(1000).cast("bigint").alias("condition_concept_id"), F.col("event_date").alias("condition_start_date")))
     domain = next(d for d in cdm.DOMAINS if d.name == "Condition")
     assert broadcasts(cdm.extract_domain({"condition_occurrence": table}, domain, rules(spark).outcome_concepts, persons)) == 1
+
+
+def test_code_lists_filter_below_the_joins_of_a_view(spark):
+    lines = materialize(spark.range(100).select(F.col("id").alias("line"), (F.col("id") % 7).alias("kind")))
+    owners = materialize(spark.range(100).select(F.col("id").alias("line_id"), (F.col("id") % 5).alias("person_id")))
+    view = lines.join(owners, F.col("line") == F.col("line_id")).select(
+        "person_id", F.when(F.col("kind") < 3, F.col("kind") + 1000).otherwise(0).alias("condition_concept_id"),
+        F.lit("2020-01-01").cast("date").alias("condition_start_date"),
+    )
+    persons = owners.select("person_id").distinct()
+    domain = next(d for d in cdm.DOMAINS if d.name == "Condition")
+    codes = rules(spark).outcome_concepts.where("concept_id = 1002")
+    found = cdm.extract_domain({"condition_occurrence": view}, domain, codes, persons)
+    assert found.count() == 14 and {r.concept_id for r in found.select("concept_id").distinct().collect()} == {1002}
+    scans = re.findall(r"Filter ([^\n]*)\n[ :|+-]*Relation \[line#", found._jdf.queryExecution().optimizedPlan().toString())
+    assert len(scans) == 1 and "1002" in scans[0]
+
+
+def test_very_long_code_lists_are_left_to_the_join(spark, monkeypatch):
+    table = stored_timing(spark).select("person_id", (F.lit(998) + F.month("event_date")).cast("bigint").alias("condition_concept_id"), F.col("event_date").alias("condition_start_date"))
+    domain = next(d for d in cdm.DOMAINS if d.name == "Condition")
+    persons = spark.range(10).select(F.col("id").alias("person_id"))
+    asked = lambda: sorted(map(tuple, cdm.extract_domain({"condition_occurrence": table}, domain, rules(spark).outcome_concepts, persons).collect()), key=str)
+    by_value = asked()
+    monkeypatch.setattr(cdm, "MOST_LISTED", 2)
+    assert by_value == asked() and len(by_value) == 30
