@@ -18,7 +18,7 @@ from care_episodes.functions.dates import day_of
 from care_episodes.functions.primitives import best_point, join_growing, points_in_intervals
 from care_episodes.functions.rules import is_in, lookup
 from care_episodes.functions.scan import PART, neighbours, ordered_parts, running_sums
-from care_episodes.sources.cdm import Tables
+from care_episodes.sources.cdm import Tables, with_codes
 
 EPISODE_KEY = ("person_id", "inferred_episode_end")
 
@@ -356,10 +356,10 @@ def set_events(tables: Tables, concepts: DataFrame, domains: Sequence[str] = ("c
         table, concept, date = DOMAIN_TABLES[domain]
         source = tables[table]
         value = F.col("value_as_number") if "value_as_number" in source.columns else F.lit(None)
-        part = source.select(
+        part = with_codes(source.select(
             "person_id", F.col(concept).cast("bigint").alias("concept_id"),
             F.col(date).cast("date").alias("concept_date"), value.cast("double").alias("value_as_number"),
-        ).join(wanted, "concept_id")
+        ), wanted)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -490,10 +490,10 @@ def many_set_events(tables: Tables, concepts: DataFrame, domains: Mapping[str, S
         source = tables[table]
         value = F.col("value_as_number") if "value_as_number" in source.columns else F.lit(None)
         wanted = concepts.where(F.col("set_name").isin(names)).select("set_name", "concept_id").distinct()
-        part = source.select(
+        part = with_codes(source.select(
             "person_id", F.col(concept).cast("bigint").alias("concept_id"), F.col(date).cast("date").alias("concept_date"),
             value.cast("double").alias("value_as_number"),
-        ).join(wanted, "concept_id").select("person_id", "set_name", "concept_id", "concept_date", "value_as_number")
+        ), wanted).select("person_id", "set_name", "concept_id", "concept_date", "value_as_number")
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -674,9 +674,10 @@ _NEAR = "person_id, {0}_date, {0}_value, {0}_days_from_start"
 FROM first_eps f LEFT JOIN near_weight USING (person_id) LEFT JOIN near_height USING (person_id)""",
 )
 def k25_closest_measurement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first = study_cohort(spark, sf_dir)
+    first = materialize(study_cohort(spark, sf_dir))  # each look-up reads it more than once
     df = study.closest_measurement(first, measurements(spark, sf_dir, 3025315), "weight", latest_day=91)
-    df = study.closest_measurement(df, measurements(spark, sf_dir, 3036277), "height", low=90, high=210)
+    height = study.nearest_measurement(first, measurements(spark, sf_dir, 3036277), "height", low=90, high=210)
+    df = study.assemble_analysis(df, [height], ["person_id"])
     bmi = study.body_mass_index(F.col("weight_value"), F.col("height_value"))
     return study.weight_timing(df, "weight_date").select(
         *_names(_NEAR.format("weight")), "height_value", r6(bmi, "bmi_prepreg"), "weight_timing"

@@ -193,7 +193,7 @@ _LIST_COLUMNS = (("concept_name", "string"), ("category", "string"), ("gest_valu
 MOST_LISTED = 20_000
 
 
-def _with_codes(events: DataFrame, codes: DataFrame) -> DataFrame:
+def with_codes(events: DataFrame, codes: DataFrame) -> DataFrame:
     """Events on a code list, with the columns of the list.
 
     The codes also go into a filter, because Spark moves a filter down to the scan: below the joins that
@@ -212,7 +212,7 @@ def _listed(tables: Tables, domain: Domain, concepts: DataFrame) -> DataFrame:
         "concept_id", "concept_name", "category", "gest_value"
     )
     return (
-        _with_codes(_events(tables[domain.table], domain), listed)
+        with_codes(_events(tables[domain.table], domain), listed)
         .select(
             "person_id", "concept_id", "event_date", "domain", "concept_name", "category",
             "gest_value", "value_as_number", "value_as_string",
@@ -279,7 +279,7 @@ def extract_listed(
             # A row per concept: both lists hold a concept once.
             codes = codes.unionByName(timing)
             codes = codes.groupBy("concept_id").agg(*[F.max(c).alias(c) for c in codes.columns[1:]])
-        part = _with_codes(_events(tables[domain.table], domain), codes)
+        part = with_codes(_events(tables[domain.table], domain), codes)
         out = part if out is None else out.unionByName(part)
     return _of_persons(out, persons)
 
@@ -316,7 +316,7 @@ def extract_timing(
     for domain in DOMAINS:
         if domain.name == "Measurement" and not config.timing_from_measurement:
             continue
-        part = _with_codes(_events(tables[domain.table], domain), months)
+        part = with_codes(_events(tables[domain.table], domain), months)
         out = part if out is None else out.unionByName(part)
     return _with_months(_of_persons(out, persons), config)
 
