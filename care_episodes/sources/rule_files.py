@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from care_episodes.functions import fixed_values as fv
 from care_episodes.functions import rules as r
+from care_episodes.functions.primitives import join_growing
 from care_episodes.session import small_table
 
 
@@ -274,7 +275,7 @@ def enrich_domains(concepts: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Fill a missing domain from the vocabulary table."""
     known = vocabulary.select("concept_id", F.col("domain_id").alias("_domain")).distinct()
     return (
-        concepts.join(known, "concept_id", "left")
+        join_growing(concepts, known, "concept_id", "left")
         .withColumn("domain_name", F.coalesce("domain_name", "_domain"))
         .drop("_domain")
     )
