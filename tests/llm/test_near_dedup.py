@@ -51,6 +51,22 @@ def test_documents_with_null_ids_only(spark):
     assert len(rows(lsh_forest.keep_first(df))) == 4
 
 
+def test_growing_tables_are_merged_and_sets_stay_where_they_are_made(spark, monkeypatch):
+    plans, store = [], lsh_forest.materialize
+
+    def stored(df):
+        plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString()))
+        return store(df)
+
+    monkeypatch.setattr(lsh_forest, "materialize", stored)
+    texts = corpus(2, 80)
+    found = lsh_forest.deduplicate(docs_of(spark, texts))
+    plans.append((found.columns, found._jdf.queryExecution().executedPlan().toString()))
+    assert not [c for c, plan in plans if "BroadcastHashJoin" in plan]
+    (of_sets,) = [plan for c, plan in plans if c == ["set_id", "shingles"]]
+    assert of_sets.index("MapInArrow") < of_sets.index("Exchange")
+
+
 def test_finer_sketch_estimates_similarity():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 1 << 63, 800, dtype=np.uint64)
