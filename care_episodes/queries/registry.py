@@ -97,8 +97,13 @@ def _known(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agreement.derive_registry_outcome(pregnancies, deliveries, agreement.link_ids(emrn_cohort, cohort_person))
 
 
-def _match(spark: SparkSession, sf_dir: str) -> agreement.MatchResult:
-    return agreement.match_episodes(stages(spark, sf_dir).hip, _known(spark, sf_dir), 30)
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, stored: for queries that read it more than once."""
+    return stages(spark, sf_dir).once("registry", lambda: _known(spark, sf_dir))
+
+
+def _match(spark: SparkSession, sf_dir: str, registry: DataFrame | None = None) -> agreement.MatchResult:
+    return agreement.match_episodes(stages(spark, sf_dir).hip, _known(spark, sf_dir) if registry is None else registry, 30)
 
 
 @register(
@@ -156,7 +161,7 @@ JOIN gt_side g ON a.person_id = g.person_id AND algo_order = gt_order""",
 )
 def v4_match_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry dates shifted far away: no date matches, so the order within persons decides."""
-    shifted = _known(spark, sf_dir).withColumn("gt_end", F.date_add("gt_end", 36500))
+    shifted = _stored(spark, sf_dir).withColumn("gt_end", F.date_add("gt_end", 36500))
     result = agreement.match_episodes(stages(spark, sf_dir).hip, shifted, 30)
     return result.matched.select("person_id", "algo_episode_num", "gt_episode_num", "algo_order", "end_date_diff")
 
@@ -167,7 +172,7 @@ _TOTALS = ["matched", "unmatched_algo", "unmatched_gt", "total_algo", "total_gt"
 
 @register("v4_match_stats", rounded("match_stats", _RATES, _TOTALS))
 def v4_match_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _match(spark, sf_dir).stats().select(*_TOTALS, *[r6(c) for c in _RATES])
+    return _match(spark, sf_dir, _stored(spark, sf_dir)).stats().select(*_TOTALS, *[r6(c) for c in _RATES])
 
 
 @register("v5_confusion_matrix", "SELECT * FROM cells")
@@ -246,4 +251,5 @@ UNION ALL SELECT 'GA within 14 days', pct_within_14d FROM ga_summary
 UNION ALL SELECT 'Person exact count match', pct_exact_total_match FROM person_summary)""",
 )
 def v9_validation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return agreement.validation_summary(_match(spark, sf_dir), stages(spark, sf_dir).hip, _known(spark, sf_dir))
+    registry = _stored(spark, sf_dir)
+    return agreement.validation_summary(_match(spark, sf_dir, registry), stages(spark, sf_dir).hip, registry)

@@ -1,12 +1,15 @@
 """Tables that grow with the input are never broadcast, however small their files look."""
 
+import os
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from care_episodes.config import EpisodeConfig
 from care_episodes.functions.scan import day_parts, running_sums
 from care_episodes.operators import agreement, dating, merge, outcomes, progression, study
+from care_episodes.queries import QUERIES
 from care_episodes.session import materialize, small_table
 from care_episodes.sources import cdm
 from tests.helpers import episodes, events, rules, timing
@@ -111,3 +114,17 @@ def test_very_long_code_lists_are_left_to_the_join(spark, monkeypatch):
     by_value = asked()
     monkeypatch.setattr(cdm, "MOST_LISTED", 2)
     assert by_value == asked() and len(by_value) == 30
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
+def test_queries_that_read_the_registry_twice_read_stored_rows(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "tables"
+    folder.symlink_to("/root/testdata/sf0.001")  # a path of its own: nothing stored before
+    derived, passed = [], []
+    derive, match = agreement.derive_registry_outcome, agreement.match_episodes
+    monkeypatch.setattr(agreement, "derive_registry_outcome", lambda *a: derived.append(1) or derive(*a))
+    monkeypatch.setattr(agreement, "match_episodes", lambda p, registry, days: passed.append(registry) or match(p, registry, days))
+    for name in ("v4_match_by_order", "v9_validation_summary", "v4_match_stats"):
+        assert QUERIES[name](spark, str(folder)).count() > 0
+    assert len(derived) == 1 and len(passed) == 3
+    assert not any("Join" in df._jdf.queryExecution().optimizedPlan().toString() for df in passed)
