@@ -47,9 +47,9 @@ from care_episodes.llm.components import components
 from care_episodes.session import materialize
 
 THRESHOLD = 0.93
-BLOCK, PIVOTS, PER_PIVOT = 32768, 16, 8
+BLOCK, PIVOTS, PER_PIVOT = 65536, 16, 8
 #: Long vectors: a block holds so many numbers at most, or so many points if that is more.
-BLOCK_NUMBERS, BLOCK_LONG = 1 << 21, 4000
+BLOCK_NUMBERS, BLOCK_LONG = 1 << 22, 4000
 RADII = (1.0, 0.5, 0.25, 0.125)
 #: A ball of fewer points is no node of its own; so many centers are tried at a time, and so many node pairs are looked at.
 LEAST, TRIES, NODE_PAIRS = 64, 64, 1 << 14
@@ -428,7 +428,8 @@ def blocks(points: DataFrame, kind: str) -> tuple[DataFrame, list[DataFrame]]:
         done = here if done is None else done.unionByName(here)
         if large.isEmpty():
             return done, levels
-        wanted = F.least(F.lit(PIVOTS), F.ceil(F.col("count") * 2 / F.col("most"))).cast("int")
+        # Few blocks, as each is sent once for each that it meets.
+        wanted = F.least(F.lit(PIVOTS), F.ceil(F.col("count") * 4 / (F.col("most") * 3))).cast("int")
         share = F.lit(float(PIVOTS * PER_PIVOT)) / F.col("count") * float(1 << 31)
         place = F.pmod(F.xxhash64("cls", F.lit(len(levels) - 1)), F.lit(1 << 31))
         sample = points.join(large.withColumn("wanted", wanted), "node").where(place < share).select("node", "cls", "vector", "wanted")
